@@ -27,8 +27,8 @@ def file_extension(name: Column) -> Column:
 
 
 def _lookup(table: dict[str, str], key: Column) -> Column:
-    entries = [F.lit(part) for pair in sorted(table.items()) for part in pair]
-    return F.try_element_at(F.create_map(*entries), key)
+    literals = ", ".join(f"'{part}'" for pair in sorted(table.items()) for part in pair)
+    return F.try_element_at(F.expr(f"map({literals})"), key)
 
 
 def mime_from_name(name: Column) -> Column:

@@ -27,8 +27,11 @@ def _accent_table() -> tuple[str, str]:
 
 
 def normalise(text: Column) -> Column:
+    """Lower case without accents. Pure ASCII text, told by its length in bytes, skips the table."""
     source, target = _accent_table()
-    return F.translate(F.lower(text), source, target)
+    lowered = F.lower(text)
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    return F.when(ascii_only, lowered).otherwise(F.translate(lowered, source, target))
 
 
 def tokens(text: Column) -> Column:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text, tokens
 from quire.functions.stemmer import stem_arrays, stem_english
-from quire.session import spread
+from quire.session import shared_dir, spread
 
 # The customary BM25 parameters and result size.
 BM25_K = 1.2
@@ -36,6 +36,16 @@ SCORE_DECIMALS = 9
 # Up to this many result rows, their keys are sent as literals so the page scan can skip files.
 LITERAL_KEYS = 1000
 
+# Batch search: plain scoring makes at most this many (query, page) pairs.
+DIRECT_PAIRS = 50_000_000
+# At most this many asked terms are broadcast (some tens of bytes each).
+BROADCAST_ROWS = 100_000
+SALTS = 32
+# The rarest terms are added up to this many times the wanted pages to find the score floor.
+SEED_FACTOR = 10
+# Far above the noise of sums and the rounding of compared scores.
+FLOOR_MARGIN = 1e-6
+
 PAGES_PER_BUCKET = 200_000
 MIN_BUCKETS, MAX_BUCKETS = 8, 4096
 
@@ -159,7 +169,7 @@ def build_index(
     postings = page_postings(pages, words, stemmer).withColumn("bucket", bucket_of(F.col("term"), buckets))
     (
         postings.hint("rebalance", "bucket")
-        .sortWithinPartitions("bucket", "term", *PAGE_KEY)
+        .sortWithinPartitions("bucket", "term")
         .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
     )
     index = SearchIndex(spark, path)
@@ -270,21 +280,23 @@ def with_page_heads(top: DataFrame, documents: DataFrame, pages: DataFrame, top_
 
 
 def query_term_sets(index: SearchIndex, queries: DataFrame) -> DataFrame:
-    """(query_id, query) -> (query_id, term_set): the query's distinct index terms, sorted."""
-    words = tokens.tokens(F.col("query"))
-    out = queries.withColumn("_words", F.coalesce(words, F.array().cast("array<string>")))
+    """(query_id, query) -> (query_id, terms_key, n_terms): the distinct index terms, sorted and joined."""
+    words = F.coalesce(tokens.tokens(F.col("query")), F.array().cast("array<string>"))
+    out = queries.withColumn("_words", words)
     if index.settings.stemmer == "english":
         out = out.withColumn("_words", stem_arrays("_words"))
-    return out.select("query_id", F.array_sort(F.array_distinct("_words")).alias("term_set"))
+    terms = F.array_sort(F.array_distinct("_words"))
+    out = out.withColumn("_terms", terms)
+    return out.select("query_id", F.array_join("_terms", " ").alias("terms_key"), F.size("_terms").alias("n_terms"))
 
 
-def top_per_group(rows: DataFrame, group: list[str], order: list[Column], k: int, salts: int = 32) -> DataFrame:
+def top_per_group(rows: DataFrame, group: list[str], order: list[Column], k: int) -> DataFrame:
     """The first ``k`` rows of each group, with ``rank``. Exact, and no group meets in one task whole.
 
-    Each group is first cut to k within ``salts`` hash parts (Spark trims map-side as well),
-    so the final ranking sees at most k x salts rows of a group, however large it is.
+    Each group is first cut to k within ``SALTS`` hash parts (Spark trims map-side as well),
+    so the final ranking sees at most k x SALTS rows of a group, however large it is.
     """
-    part = F.pmod(F.xxhash64(*[F.col(c) for c in PAGE_KEY]), F.lit(salts)).alias("_part")
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in PAGE_KEY]), F.lit(SALTS)).alias("_part")
     first = Window.partitionBy(*group, "_part").orderBy(*order)
     final = Window.partitionBy(*group).orderBy(*order)
     trimmed = rows.select("*", part).withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= k)
@@ -304,36 +316,141 @@ def search_ranked_batch(
     live_pages: DataFrame | None = None,
     k: float = BM25_K,
     b: float = BM25_B,
+    direct_pairs: int = DIRECT_PAIRS,
 ) -> DataFrame:
     """Ranked search for a table (query_id, query): query_id, rank, file_name, page_number, score, document_id.
 
-    Queries with the same terms are scored once, however many copies there are.
+    Queries with the same terms are scored once, however many copies there are. The number of
+    (query, page) pairs that plain scoring makes is known beforehand from the term statistics;
+    above ``direct_pairs`` the scoring that rules out pages by bounds is used. Both are exact.
     """
-    sets = query_term_sets(index, queries)
-    distinct_sets = sets.where(F.size("term_set") > 0).select("term_set").distinct()
-    top = _top_pages_of_sets(index, distinct_sets, top_k, all_terms, live_pages, k, b)
-    answered = sets.join(top, "term_set")
+    spark, stats = index.spark, index.settings
+    scratch = shared_dir(spark, "ranked-batch")
+    query_term_sets(index, queries).write.parquet(f"{scratch}/sets")
+    sets = spark.read.parquet(f"{scratch}/sets").where(F.col("n_terms") > 0)
+
+    n_pages, avg_len = F.lit(stats.n_pages), F.lit(float(stats.avg_len or 1.0))
+    asked = sets.select("terms_key", "n_terms").distinct()
+    asked = asked.withColumn("term", F.explode(F.split("terms_key", " ")))
+    bound = F.col("idf") * tf_weight(F.col("max_tf"), F.col("min_len"), avg_len, k, b)
+    asked = (
+        asked.join(index.terms.drop("bucket"), "term")
+        .withColumn("idf", idf(F.col("df"), n_pages))
+        .select("terms_key", "n_terms", "term", "df", "idf", bound.alias("bound"))
+    )
+    asked.write.parquet(f"{scratch}/terms")
+    asked = spark.read.parquet(f"{scratch}/terms")
+
+    scoring = _Scoring(index, tf_weight(F.col("tf"), F.col("page_len"), avg_len, k, b), live_pages, scratch)
+    pairs = asked.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+    if pairs <= direct_pairs:
+        scored = scoring.page_scores(asked)
+    else:
+        scored = scoring.bounded_scores(asked, top_k, all_terms)
+    if all_terms:
+        scored = scored.where(F.col("matched") == F.col("n_terms"))
+    top = top_per_group(scored, ["terms_key"], best_first(), top_k)
+    answered = sets.select("query_id", "terms_key").join(top.drop("n_terms", "matched"), "terms_key")
     named = answered.join(documents.select("document_id", "file_name"), "document_id")
     return named.select(
         "query_id", "rank", "file_name", "page_number", F.round("score", 3).alias("score"), "document_id"
     )
 
 
-def _top_pages_of_sets(index, distinct_sets, top_k, all_terms, live_pages, k, b) -> DataFrame:
-    stats = index.settings
-    n_pages, avg_len = F.lit(stats.n_pages), F.lit(float(stats.avg_len or 1.0))
-    wanted = (
-        distinct_sets.select("term_set", F.explode("term_set").alias("term"))
-        .join(index.terms.select("term", "df"), "term")
-        .select("term_set", "term", idf(F.col("df"), n_pages).alias("idf"))
-    )
-    part = F.col("idf") * tf_weight(F.col("tf"), F.col("page_len"), avg_len, k, b)
-    scored = (
-        index.postings.join(wanted, "term")
-        .select("term_set", *PAGE_KEY, part.alias("part"))
-        .groupBy("term_set", *PAGE_KEY)
-        .agg(F.sum("part").alias("score"), F.count("*").alias("matched"))
-    )
-    if all_terms:
-        scored = scored.where(F.col("matched") == F.size("term_set"))
-    return top_per_group(_only_live(scored.drop("matched"), live_pages), ["term_set"], best_first(), top_k)
+@dataclass(frozen=True)
+class _Scoring:
+    """Scores of pages for many term sets. Terms come as (terms_key, n_terms, term, df, idf, bound)."""
+
+    index: SearchIndex
+    weight: Column
+    live_pages: DataFrame | None
+    scratch: str
+
+    def matches(self, asked: DataFrame) -> DataFrame:
+        """One row per asked term and page holding it, with its ``part`` of the score.
+
+        Few asked terms are broadcast. More are joined by (term, part of the pages), so that a
+        term with very many pages or in very many queries is spread over ``SALTS`` tasks.
+        """
+        postings = self.index.postings.drop("bucket")
+        if asked.count() <= BROADCAST_ROWS:
+            joined = postings.join(F.broadcast(asked), "term")
+        else:
+            salt = F.pmod(F.xxhash64(*PAGE_KEY), F.lit(SALTS)).cast("int")
+            every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+            joined = postings.withColumn("_salt", salt).join(
+                asked.withColumn("_salt", every), ["term", "_salt"]
+            )
+        return joined.withColumn("part", F.col("idf") * self.weight)
+
+    def page_scores(self, asked: DataFrame) -> DataFrame:
+        scored = self.matches(asked).groupBy("terms_key", "n_terms", *PAGE_KEY).agg(
+            F.sum("part").alias("score"), F.count("*").alias("matched")
+        )
+        return _only_live(scored, self.live_pages)
+
+    def bounded_scores(self, asked: DataFrame, top_k: int, all_terms: bool) -> DataFrame:
+        """Scores of all pages that can be among the ``top_k``; exact, without scoring the rest.
+
+        1. The rarest terms of a set, enough to name some pages, give real scores. Their k-th
+           best is a floor: the final k-th best score cannot be below it.
+        2. The most frequent terms whose bounds together stay below the floor are *optional*: a
+           page with no other term cannot get in, so their long lists name no candidates.
+        3. Candidates that cannot reach the floor even with all optional terms are dropped.
+        4. The others look up their optional terms by (term, page), a unique key.
+
+        If every term is asked for, a page must hold the rarest one: all others are optional.
+        """
+        spark = self.index.spark
+        rarest_first = Window.partitionBy("terms_key").orderBy("df", "term")
+        if all_terms:
+            sorted_terms = asked.withColumn("_nth", F.row_number().over(rarest_first))
+            split = sorted_terms.withColumn("optional", F.col("_nth") > 1).withColumn(
+                "floor", F.lit(None).cast("double")
+            ).drop("_nth")
+        else:
+            before = F.sum("df").over(rarest_first.rowsBetween(Window.unboundedPreceding, -1))
+            seeds = asked.withColumn("_before", F.coalesce(before, F.lit(0))).where(
+                F.col("_before") < top_k * SEED_FACTOR
+            ).drop("_before")
+            best = top_per_group(self.page_scores(seeds), ["terms_key"], best_first(), top_k)
+            floor = best.where(F.col("rank") == top_k).select(
+                "terms_key", (F.col("score") - FLOOR_MARGIN).alias("floor")
+            )
+            frequent_first = Window.partitionBy("terms_key").orderBy(F.col("df").desc(), F.col("term").desc())
+            reach = F.sum("bound").over(frequent_first.rowsBetween(Window.unboundedPreceding, 0))
+            split = asked.join(floor, "terms_key", "left").withColumn(
+                "optional", F.coalesce(reach < F.col("floor"), F.lit(False))
+            )
+        split.write.parquet(f"{self.scratch}/split")
+        split = spark.read.parquet(f"{self.scratch}/split")
+
+        columns = asked.columns
+        candidates = self.page_scores(split.where(~F.col("optional")).select(*columns))
+        optional = split.where("optional")
+        extra = optional.groupBy("terms_key").agg(
+            F.collect_list(F.struct("term", "idf")).alias("_optional"), F.sum("bound").alias("_reach"),
+            F.first("floor").alias("floor"),
+        )
+        joined = candidates.join(extra, "terms_key", "left")
+        hopeful = joined.where(
+            F.col("floor").isNull() | (F.col("score") + F.col("_reach") >= F.col("floor"))
+        )
+        probes = hopeful.select(
+            "terms_key", "n_terms", *PAGE_KEY, "score", "matched", F.inline_outer("_optional")
+        )
+        listed = self.index.postings.drop("bucket").join(
+            optional.select("term").distinct(), "term", "left_semi"
+        )
+        found = probes.join(listed, ["term", *PAGE_KEY], "left")
+        part = F.when(F.col("tf").isNotNull(), F.col("idf") * self.weight)
+        return (
+            found.withColumn("part", part)
+            .groupBy("terms_key", "n_terms", *PAGE_KEY, F.col("score").alias("_score"), F.col("matched").alias("_matched"))
+            .agg(F.coalesce(F.sum("part"), F.lit(0.0)).alias("_more"), F.count("part").alias("_found"))
+            .select(
+                "terms_key", "n_terms", *PAGE_KEY,
+                (F.col("_score") + F.col("_more")).alias("score"),
+                (F.col("_matched") + F.col("_found")).alias("matched"),
+            )
+        )
