@@ -31,3 +31,13 @@ def document_id(sha256: Column) -> Column:
 
 def page_id(document: Column, page_number: Column) -> Column:
     return F.concat(document, F.lit(":"), page_number.cast("string"))
+
+
+def document_key(document: Column) -> Column:
+    """The 16 bytes of an id: less than half its text, in the same order."""
+    return F.unhex(F.replace(document, F.lit("-")))
+
+
+def document_of_key(key: Column) -> Column:
+    text = F.lower(F.hex(key))
+    return F.concat_ws("-", *[F.substring(text, at, size) for at, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])

@@ -15,28 +15,37 @@ PDF_DATE_PATTERN = (
 )
 
 
+_FIELDS = 9
+_MARK = "\x01"
+
+
 def parse_pdf_date(value: Column) -> Column:
     """UTC instant of a date string; NULL for anything that is not a real calendar moment.
 
     An offset counts only with a sign and hours. One of 24 hours or more gives NULL.
     """
     raw = strip(value)
+    # One match gives all fields, as a list behind an empty first entry; missing ones are ''.
+    listed = "".join(f"{_MARK}${group}" for group in range(1, _FIELDS + 1))
+    fields = F.split(F.regexp_replace(raw, f"(?s){PDF_DATE_PATTERN}.*", listed), _MARK)
+    matched = raw.startswith("D:") & (F.get(fields, F.lit(0)) == "")
+    # The list is bound to a variable, so that it is worked out once per row.
+    return F.get(F.transform(F.array(F.when(matched, fields)), _moment), F.lit(0))
+
 
-    def field(group: int, default: int) -> Column:
-        text = F.nullif(F.regexp_extract(raw, PDF_DATE_PATTERN, group), F.lit(""))
-        return F.coalesce(text.cast("int"), F.lit(default))
+def _moment(fields: Column) -> Column:
+    def number(group: int, default: int) -> Column:
+        return F.coalesce(F.nullif(F.get(fields, F.lit(group)), F.lit("")).cast("int"), F.lit(default))
 
-    year, second = field(1, 0), field(6, 0)
+    year, second = number(1, 0), number(6, 0)
     moment = F.try_make_timestamp(
-        year, field(2, 1), field(3, 1), field(4, 0), field(5, 0),
+        year, number(2, 1), number(3, 1), number(4, 0), number(5, 0),
         second.cast("decimal(8,6)"), F.lit("UTC"),
     )
-    sign = F.regexp_extract(raw, PDF_DATE_PATTERN, 7)
-    hours, minutes = field(8, -1), field(9, 0)
+    sign, hours, minutes = F.get(fields, F.lit(7)), number(8, -1), number(9, 0)
     shift = F.when(
         sign.isin("+", "-") & (hours >= 0),
         (hours * 60 + minutes) * F.when(sign == "-", -1).otherwise(1),
     ).otherwise(0)
     valid = (year >= 1) & (second <= 59) & (F.abs(shift) < 24 * 60)
-    # A conversion outside years 1..9999 cannot be held by the target type.
     return F.when(valid, moment - F.make_dt_interval(F.lit(0), F.lit(0), shift))

@@ -2,9 +2,9 @@
 
 The index is ordinary Parquet:
 
-``postings`` (bucket, term, document_id, page_number, tf, page_len)
+``postings`` (bucket, term, doc_key, page_number, tf, page_len)
     one row per term and page, in folders by a hash bucket of the term, sorted by term.
-    ``page_len`` rides along, so scoring joins nothing.
+    ``page_len`` rides along, so scoring joins nothing. ``doc_key`` is the document id in 16 bytes.
 ``terms`` (bucket, term, df, total_tf, max_tf, min_len)
 ``stats`` one row: page and token totals and the settings; written last, it marks the index complete.
 
@@ -22,7 +22,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.functions import text, tokens
+from quire.functions import identity, text, tokens
 from quire.functions.stemmer import stem_arrays, stem_english
 from quire.session import shared_dir, spread
 
@@ -34,7 +34,9 @@ TOP_K = 20
 # Scores are compared at this many decimals, as the order of a sum leaves noise beyond it.
 SCORE_DECIMALS = 9
 # Up to this many result rows, their keys are sent as literals so the page scan can skip files.
-LITERAL_KEYS = 1000
+LITERAL_KEYS = 200
+# Values per IN list that Parquet checks one by one (spark.sql.parquet.pushdown.inFilterThreshold).
+IN_LIST = 10
 
 # Batch search: plain scoring makes at most this many (query, page) pairs.
 DIRECT_PAIRS = 50_000_000
@@ -47,11 +49,11 @@ SEED_FACTOR = 10
 FLOOR_MARGIN = 1e-6
 
 PAGES_PER_BUCKET = 200_000
-MIN_BUCKETS, MAX_BUCKETS = 8, 4096
+MIN_BUCKETS, MAX_BUCKETS = 8, 32_768
 
-PAGE_KEY = ["document_id", "page_number"]
+PAGE_KEY = ["doc_key", "page_number"]
 
-POSTINGS = "document_id string, page_number int, term string, tf int, page_len int, bucket int"
+POSTINGS = "doc_key binary, page_number int, term string, tf int, page_len int, bucket int"
 TERMS = "term string, df long, total_tf long, max_tf int, min_len int, bucket int"
 
 
@@ -76,9 +78,14 @@ def check_stemmer(stemmer: str | None) -> str:
 def page_postings(
     pages: DataFrame, stop_words: list[str] | None = None, stemmer: str | None = None
 ) -> DataFrame:
-    """(document_id, page_number, term, tf, page_len), all within the row of each page: no shuffle."""
-    cut = tokenize_pages(spread(pages.select(*PAGE_KEY, "page_text")), stop_words, stemmer)
-    slim = cut.select(*PAGE_KEY, "tokens", F.size("tokens").alias("page_len"))
+    """(doc_key, page_number, term, tf, page_len), all within the row of each page: no shuffle."""
+    cut = tokenize_pages(
+        spread(pages.select("document_id", "page_number", "page_text")), stop_words, stemmer
+    )
+    slim = cut.select(
+        identity.document_key(F.col("document_id")).alias("doc_key"), "page_number", "tokens",
+        F.size("tokens").alias("page_len"),
+    )
     counted = tokens.with_term_counts(slim, "tokens")
     # The outer form, since for the plain one the optimizer adds a size test before it that
     # would work out the whole array a second time.
@@ -143,7 +150,20 @@ class SearchIndex:
     def only_terms(self, table: DataFrame, terms: list[str]) -> DataFrame:
         """Rows of these terms, by literals that prune folders and row groups."""
         buckets = sorted({zlib.crc32(t.encode()) % self.settings.buckets for t in terms})
-        return table.where(F.col("bucket").isin(buckets) & F.col("term").isin(terms))
+        return table.where(F.col("bucket").isin(buckets) & any_of("term", terms))
+
+
+def any_of(column: str, values: list) -> Column:
+    """``column IN values`` in the form that Parquet can use for skipping.
+
+    Lists of more than ten values reach the scan as a mere range, which tells nothing about
+    random ids. Lists of ten, joined by OR, are checked against statistics and Bloom filters.
+    """
+    groups = [F.col(column).isin(values[i:i + IN_LIST]) for i in range(0, len(values), IN_LIST)]
+    while len(groups) > 1:
+        pairs = [groups[i:i + 2] for i in range(0, len(groups), 2)]
+        groups = [pair[0] | pair[1] if len(pair) == 2 else pair[0] for pair in pairs]
+    return groups[0] if groups else F.lit(False)
 
 
 def bucket_count(n_pages: int) -> int:
@@ -191,43 +211,65 @@ def build_index(
     return index
 
 
+def query_weights(index: SearchIndex, query: str) -> tuple[list[str], dict[str, tuple]]:
+    """The query's distinct terms, and those in the index with (df, idf, max_tf, min_len)."""
+    wanted, n_pages = index.query_terms(query), index.settings.n_pages
+    if not wanted or not n_pages:
+        return wanted, {}
+    rows = index.only_terms(index.terms, wanted).select("term", "df", "max_tf", "min_len").collect()
+    return wanted, {
+        row.term: (row.df, math.log10((n_pages - row.df + 0.5) / (row.df + 0.5) + 1), row.max_tf, row.min_len)
+        for row in rows
+    }
+
+
 def score_pages(
     index: SearchIndex,
     query: str,
     all_terms: bool = False,
     k: float = BM25_K,
     b: float = BM25_B,
+    best: int | None = None,
+    live_pages: DataFrame | None = None,
+    direct_pairs: int = DIRECT_PAIRS,
 ) -> DataFrame:
-    """(document_id, page_number, score) of every page holding any (or all) of the query's terms.
+    """(doc_key, page_number, score) of the pages holding any (or all) of the query's terms.
 
     The few query terms and their df become literals, so this is one filtered scan of
-    postings, one aggregate, and no join.
+    postings, one aggregate, and no join. If only the ``best`` pages are wanted and the terms
+    are on more than ``direct_pairs`` pages, those that cannot be among them may be left out.
     """
-    wanted = index.query_terms(query)
-    stats = index.settings
-    found = {}
-    if wanted and stats.n_pages:
-        rows = index.only_terms(index.terms, wanted).select("term", "df").collect()
-        found = {row.term: math.log10((stats.n_pages - row.df + 0.5) / (row.df + 0.5) + 1) for row in rows}
+    wanted, found = query_weights(index, query)
     if not found or (all_terms and len(found) < len(wanted)):
-        return index.spark.createDataFrame([], "document_id string, page_number int, score double")
-    weights = F.create_map(*[F.lit(v) for pair in found.items() for v in pair])
-    part = F.element_at(weights, F.col("term")) * tf_weight(
-        F.col("tf"), F.col("page_len"), F.lit(float(stats.avg_len)), k, b
-    )
-    scored = (
-        index.only_terms(index.postings, list(found))
-        .select(*PAGE_KEY, part.alias("part"))
-        .groupBy(*PAGE_KEY)
-        .agg(F.sum("part").alias("score"), F.count("*").alias("matched"))
-    )
+        return index.spark.createDataFrame([], "doc_key binary, page_number int, score double")
+    avg_len = F.lit(float(index.settings.avg_len))
+    weight = tf_weight(F.col("tf"), F.col("page_len"), avg_len, k, b)
+    if best is not None and sum(values[0] for values in found.values()) > direct_pairs:
+        asked = index.spark.createDataFrame(
+            [(0, len(wanted), t, *values) for t, values in found.items()],
+            "set_no long, n_terms int, term string, df long, idf double, max_tf int, min_len int",
+        )
+        bound = F.col("idf") * tf_weight(F.col("max_tf"), F.col("min_len"), avg_len, k, b)
+        asked = asked.withColumn("bound", bound).drop("max_tf", "min_len")
+        scoring = _Scoring(index, weight, live_pages, shared_dir(index.spark, "ranked"))
+        scored = scoring.bounded_scores(asked, best, all_terms)
+    else:
+        weights = F.create_map(*[F.lit(v) for t, values in found.items() for v in (t, values[1])])
+        scored = index.only_terms(index.postings, sorted(found)).select(
+            *PAGE_KEY, (F.element_at(weights, F.col("term")) * weight).alias("score")
+        )
+        if len(found) > 1:
+            scored = scored.groupBy(*PAGE_KEY).agg(F.sum("score").alias("score"), F.count("*").alias("matched"))
+        else:
+            scored = scored.withColumn("matched", F.lit(1))
+        scored = _only_live(scored, live_pages)
     if all_terms:
         scored = scored.where(F.col("matched") == len(wanted))
     return scored.select(*PAGE_KEY, "score")
 
 
 def best_first() -> list[Column]:
-    return [F.round("score", SCORE_DECIMALS).desc(), F.col("document_id"), F.col("page_number")]
+    return [F.round("score", SCORE_DECIMALS).desc(), F.col("doc_key"), F.col("page_number")]
 
 
 def search_ranked(
@@ -245,8 +287,8 @@ def search_ranked(
     The index is a snapshot. ``live_pages`` (page keys) drops index rows of pages that are gone,
     before the cut, so that they take no result's place; None says that none are gone.
     """
-    scored = _only_live(score_pages(index, query, all_terms, **parameters), live_pages)
-    top = scored.orderBy(*best_first()).limit(top_k)
+    scored = score_pages(index, query, all_terms, best=top_k, live_pages=live_pages, **parameters)
+    top = with_document_id(scored.orderBy(*best_first()).limit(top_k))
     return with_page_heads(top, documents, pages, top_k).orderBy(*best_first()).select(
         "file_name", "page_number", F.round("score", 3).alias("score"), "snippet", "document_id"
     )
@@ -255,7 +297,12 @@ def search_ranked(
 def _only_live(scored: DataFrame, live_pages: DataFrame | None) -> DataFrame:
     if live_pages is None:
         return scored
-    return scored.join(live_pages.select(*PAGE_KEY), PAGE_KEY, "left_semi")
+    keys = live_pages.select(identity.document_key(F.col("document_id")).alias("doc_key"), "page_number")
+    return scored.join(keys, PAGE_KEY, "left_semi")
+
+
+def with_document_id(scored: DataFrame) -> DataFrame:
+    return scored.withColumn("document_id", identity.document_of_key(F.col("doc_key")))
 
 
 def with_page_heads(top: DataFrame, documents: DataFrame, pages: DataFrame, top_k: int) -> DataFrame:
@@ -268,12 +315,12 @@ def with_page_heads(top: DataFrame, documents: DataFrame, pages: DataFrame, top_
         rows = top.collect()
         top = top.sparkSession.createDataFrame(rows, top.schema)
         ids = sorted({row.document_id for row in rows})
-        documents = documents.where(F.col("document_id").isin(ids))
-        pages = pages.where(
-            F.col("document_id").isin(ids) & F.col("page_number").isin(sorted({row.page_number for row in rows}))
-        )
-    heads = pages.select(*PAGE_KEY, text.snippet_head(F.col("page_text")).alias("snippet"))
-    return heads.join(top, PAGE_KEY).join(documents.select("document_id", "file_name"), "document_id")
+        documents = documents.where(any_of("document_id", ids))
+        pages = pages.where(any_of("document_id", ids))
+    heads = pages.select(
+        "document_id", "page_number", text.snippet_head(F.col("page_text")).alias("snippet")
+    )
+    return heads.join(top, ["document_id", "page_number"]).join(documents.select("document_id", "file_name"), "document_id")
 
 
 # --- many queries at once ---------------------------------------------------------------
@@ -326,17 +373,21 @@ def search_ranked_batch(
     """
     spark, stats = index.spark, index.settings
     scratch = shared_dir(spark, "ranked-batch")
-    query_term_sets(index, queries).write.parquet(f"{scratch}/sets")
-    sets = spark.read.parquet(f"{scratch}/sets").where(F.col("n_terms") > 0)
+    query_term_sets(index, queries).write.parquet(f"{scratch}/queries")
+    asking = spark.read.parquet(f"{scratch}/queries").where(F.col("n_terms") > 0)
+    # Written out, so the numbers stay what they are whatever is computed again.
+    asking.select("terms_key", "n_terms").distinct().withColumn(
+        "set_no", F.monotonically_increasing_id()
+    ).write.parquet(f"{scratch}/sets")
+    sets = spark.read.parquet(f"{scratch}/sets")
 
     n_pages, avg_len = F.lit(stats.n_pages), F.lit(float(stats.avg_len or 1.0))
-    asked = sets.select("terms_key", "n_terms").distinct()
-    asked = asked.withColumn("term", F.explode(F.split("terms_key", " ")))
+    asked = sets.withColumn("term", F.explode(F.split("terms_key", " ")))
     bound = F.col("idf") * tf_weight(F.col("max_tf"), F.col("min_len"), avg_len, k, b)
     asked = (
         asked.join(index.terms.drop("bucket"), "term")
         .withColumn("idf", idf(F.col("df"), n_pages))
-        .select("terms_key", "n_terms", "term", "df", "idf", bound.alias("bound"))
+        .select("set_no", "n_terms", "term", "df", "idf", bound.alias("bound"))
     )
     asked.write.parquet(f"{scratch}/terms")
     asked = spark.read.parquet(f"{scratch}/terms")
@@ -349,8 +400,9 @@ def search_ranked_batch(
         scored = scoring.bounded_scores(asked, top_k, all_terms)
     if all_terms:
         scored = scored.where(F.col("matched") == F.col("n_terms"))
-    top = top_per_group(scored, ["terms_key"], best_first(), top_k)
-    answered = sets.select("query_id", "terms_key").join(top.drop("n_terms", "matched"), "terms_key")
+    top = with_document_id(top_per_group(scored, ["set_no"], best_first(), top_k))
+    numbered = asking.select("query_id", "terms_key").join(sets.select("terms_key", "set_no"), "terms_key")
+    answered = numbered.join(top.drop("n_terms", "matched"), "set_no")
     named = answered.join(documents.select("document_id", "file_name"), "document_id")
     return named.select(
         "query_id", "rank", "file_name", "page_number", F.round("score", 3).alias("score"), "document_id"
@@ -359,7 +411,7 @@ def search_ranked_batch(
 
 @dataclass(frozen=True)
 class _Scoring:
-    """Scores of pages for many term sets. Terms come as (terms_key, n_terms, term, df, idf, bound)."""
+    """Scores of pages for many term sets. Terms come as (set_no, n_terms, term, df, idf, bound)."""
 
     index: SearchIndex
     weight: Column
@@ -384,8 +436,8 @@ class _Scoring:
         return joined.withColumn("part", F.col("idf") * self.weight)
 
     def page_scores(self, asked: DataFrame) -> DataFrame:
-        scored = self.matches(asked).groupBy("terms_key", "n_terms", *PAGE_KEY).agg(
-            F.sum("part").alias("score"), F.count("*").alias("matched")
+        scored = self.matches(asked).groupBy("set_no", *PAGE_KEY).agg(
+            F.sum("part").alias("score"), F.count("*").alias("matched"), F.first("n_terms").alias("n_terms")
         )
         return _only_live(scored, self.live_pages)
 
@@ -402,7 +454,7 @@ class _Scoring:
         If every term is asked for, a page must hold the rarest one: all others are optional.
         """
         spark = self.index.spark
-        rarest_first = Window.partitionBy("terms_key").orderBy("df", "term")
+        rarest_first = Window.partitionBy("set_no").orderBy("df", "term")
         if all_terms:
             sorted_terms = asked.withColumn("_nth", F.row_number().over(rarest_first))
             split = sorted_terms.withColumn("optional", F.col("_nth") > 1).withColumn(
@@ -413,13 +465,13 @@ class _Scoring:
             seeds = asked.withColumn("_before", F.coalesce(before, F.lit(0))).where(
                 F.col("_before") < top_k * SEED_FACTOR
             ).drop("_before")
-            best = top_per_group(self.page_scores(seeds), ["terms_key"], best_first(), top_k)
+            best = top_per_group(self.page_scores(seeds), ["set_no"], best_first(), top_k)
             floor = best.where(F.col("rank") == top_k).select(
-                "terms_key", (F.col("score") - FLOOR_MARGIN).alias("floor")
+                "set_no", (F.col("score") - FLOOR_MARGIN).alias("floor")
             )
-            frequent_first = Window.partitionBy("terms_key").orderBy(F.col("df").desc(), F.col("term").desc())
+            frequent_first = Window.partitionBy("set_no").orderBy(F.col("df").desc(), F.col("term").desc())
             reach = F.sum("bound").over(frequent_first.rowsBetween(Window.unboundedPreceding, 0))
-            split = asked.join(floor, "terms_key", "left").withColumn(
+            split = asked.join(floor, "set_no", "left").withColumn(
                 "optional", F.coalesce(reach < F.col("floor"), F.lit(False))
             )
         split.write.parquet(f"{self.scratch}/split")
@@ -428,16 +480,16 @@ class _Scoring:
         columns = asked.columns
         candidates = self.page_scores(split.where(~F.col("optional")).select(*columns))
         optional = split.where("optional")
-        extra = optional.groupBy("terms_key").agg(
+        extra = optional.groupBy("set_no").agg(
             F.collect_list(F.struct("term", "idf")).alias("_optional"), F.sum("bound").alias("_reach"),
             F.first("floor").alias("floor"),
         )
-        joined = candidates.join(extra, "terms_key", "left")
+        joined = candidates.join(extra, "set_no", "left")
         hopeful = joined.where(
             F.col("floor").isNull() | (F.col("score") + F.col("_reach") >= F.col("floor"))
         )
         probes = hopeful.select(
-            "terms_key", "n_terms", *PAGE_KEY, "score", "matched", F.inline_outer("_optional")
+            "set_no", "n_terms", *PAGE_KEY, "score", "matched", F.inline_outer("_optional")
         )
         listed = self.index.postings.drop("bucket").join(
             optional.select("term").distinct(), "term", "left_semi"
@@ -446,11 +498,10 @@ class _Scoring:
         part = F.when(F.col("tf").isNotNull(), F.col("idf") * self.weight)
         return (
             found.withColumn("part", part)
-            .groupBy("terms_key", "n_terms", *PAGE_KEY, F.col("score").alias("_score"), F.col("matched").alias("_matched"))
-            .agg(F.coalesce(F.sum("part"), F.lit(0.0)).alias("_more"), F.count("part").alias("_found"))
-            .select(
-                "terms_key", "n_terms", *PAGE_KEY,
-                (F.col("_score") + F.col("_more")).alias("score"),
-                (F.col("_matched") + F.col("_found")).alias("matched"),
+            .groupBy("set_no", *PAGE_KEY)
+            .agg(
+                (F.first("score") + F.coalesce(F.sum("part"), F.lit(0.0))).alias("score"),
+                (F.first("matched") + F.count("part")).alias("matched"),
+                F.first("n_terms").alias("n_terms"),
             )
         )

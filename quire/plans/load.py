@@ -121,7 +121,7 @@ def _write_load(store, load_id, staging, files, chosen, options) -> DataFrame:
         chunks = cut_chunks(source, options.chunk_bytes)
     else:
         chunks = sources.read_chunks(source, options.chunk_bytes, options.opener)
-    stored_chunks = store.write(CHUNKS, conform(chunks, schemas.CHUNKS), load_id)
+    stored_chunks = store.write(CHUNKS, conform(chunks, schemas.CHUNKS), load_id, options.chunk_bytes)
 
     rolled = loading.roll_up(chosen, stored_pages, stored_chunks).withColumns({
         "hidden_layers_revealed": F.lit(options.reveal_hidden_layers) & (F.size("hidden_layer_names") > 0),

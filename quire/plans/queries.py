@@ -383,7 +383,7 @@ def tokenize_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def index_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    postings = loaded_store(spark, sf_dir).index().postings
+    postings = ranking.with_document_id(loaded_store(spark, sf_dir).index().postings)
     return postings.select(
         identity.page_id(F.col("document_id"), F.col("page_number")).alias("page_id"), "term", "tf", "page_len"
     )

@@ -22,12 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire import schemas
-from quire.operators.ranking import SearchIndex
 from quire.operators import loading, ranking, search
+from quire.operators.chunks import MAX_CHUNK_BYTES
+from quire.operators.ranking import SearchIndex
 
 DOCUMENTS, PAGES, CHUNKS, RETIRED = "documents", "document_pages", "document_chunks", "retired"
 TABLES = {DOCUMENTS: schemas.DOCUMENTS, PAGES: schemas.PAGES, CHUNKS: schemas.CHUNKS}
 _RETIRED_SCHEMA = T.StructType([T.StructField("document_id", T.StringType())])
+ROW_GROUP_BYTES = 64 * 1024 * 1024
 _LOAD_ID = T.StructField("load_id", T.StringType())
 
 
@@ -119,10 +121,14 @@ class PageStore:
         number = int(used[-1].split("-")[0]) + 1 if used else 1
         return f"{number:010d}-{uuid.uuid4().hex[:8]}"
 
-    def write(self, table: str, rows: DataFrame, load_id: str) -> DataFrame:
+    def write(self, table: str, rows: DataFrame, load_id: str, chunk_bytes: int = MAX_CHUNK_BYTES) -> DataFrame:
         """Write the rows of one load and return them as stored."""
         schema = TABLES.get(table, _RETIRED_SCHEMA)
         writer = rows.write.mode("errorifexists")
+        if table == CHUNKS:
+            # Readers hold a row group of chunks at a time, so its rows are limited by their size.
+            rows_at_once = max(1, ROW_GROUP_BYTES // chunk_bytes)
+            writer = writer.option("parquet.block.row.count.limit", str(rows_at_once))
         if table != RETIRED:
             # Look-ups by id skip files and row groups that cannot hold it.
             writer = writer.option("parquet.bloom.filter.enabled#document_id", "true")
@@ -186,7 +192,10 @@ class PageStore:
                 source = DOCUMENTS if name == RETIRED else name
                 kept = self.table(source, at).where(F.col("load_id").isin(affected))
                 columns = ["document_id"] if name == RETIRED else TABLES[name].fieldNames()
-                self.write(name, kept.select(*columns), load_id)
+                largest = 0
+                if name == CHUNKS:
+                    largest = kept.agg(F.max("chunk_length_bytes")).first()[0] or 0
+                self.write(name, kept.select(*columns), load_id, max(1, largest))
             for old in affected:
                 self.discard(old)
             # All dead rows are gone with their folders, so nothing is left to retire.
@@ -247,7 +256,7 @@ class PageStore:
         known = {row[0] for row in self.spark.read.parquet(f"{index.path}/loads").collect()}
         if known <= set(at.loads) and all(x in known for x in at.retiring):
             return None
-        return self.pages(at).select(*ranking.PAGE_KEY)
+        return self.pages(at).select("document_id", "page_number")
 
     # --- searches -----------------------------------------------------------------------
 
