@@ -26,6 +26,11 @@ def file_extension(name: Column) -> Column:
     return F.lower(suffix(name))
 
 
+def _ending(name: Column) -> Column:
+    """Last suffix as media types see it: dots at the start of a name do not count."""
+    return F.lower(F.regexp_extract(name, r"(?s)[^.].*\.([^.]+)$", 1))
+
+
 def _lookup(table: dict[str, str], key: Column) -> Column:
     literals = ", ".join(f"'{part}'" for pair in sorted(table.items()) for part in pair)
     return F.try_element_at(F.expr(f"map({literals})"), key)
@@ -42,9 +47,9 @@ def mime_from_name(name: Column) -> Column:
     packed = "|".join(sorted(ext.lstrip(".") for ext in mimetypes.encodings_map))
 
     stem = F.regexp_replace(name, r"\.[^.]+$", "")
-    spelled = F.coalesce(F.concat(stem, _lookup(short, F.lower(suffix(name)))), name)
+    spelled = F.coalesce(F.concat(stem, _lookup(short, _ending(name))), name)
     plain = F.regexp_replace(spelled, rf"(?<=[^.])\.({packed})$", "")
-    return _lookup(types, F.lower(suffix(plain)))
+    return _lookup(types, _ending(plain))
 
 
 def mime_type(name: Column, head: Column) -> Column:

@@ -55,7 +55,8 @@ def scan_files(
     if paths:
         keys = [(_path_key_of(path), i) for i, path in enumerate(paths)]
         given = spark.createDataFrame(keys, "_key string, _given int")
-        rows = _file_columns(spark.read.format("binaryFile").load(sorted(set(paths))))
+        rows = spark.read.format("binaryFile").load(sorted(set(paths)))
+        rows = _file_columns(rows).unionByName(_empty_files(spark, sorted(set(paths))))
         # A path named twice is two inputs, as every named path gets its own load result.
         listed.append(rows.withColumn("_key", _path_key("file_path")).join(given, "_key").drop("_key"))
     if source_dir:
@@ -66,7 +67,8 @@ def scan_files(
             .option("recursiveFileLookup", "false")
             .load(source_dir)
         )
-        in_dir = _file_columns(rows).withColumn("_given", F.lit(None).cast("int"))
+        in_dir = _file_columns(rows).unionByName(_empty_files(spark, [source_dir]))
+        in_dir = in_dir.withColumn("_given", F.lit(None).cast("int"))
         listed.append(in_dir.where(mime.file_extension(F.col("file_name")) == suffix.lower()))
     if not listed:
         raise ValueError("no files given: name paths or a source directory")
@@ -85,6 +87,33 @@ def _path_key(column: str) -> Column:
     return F.concat(F.lit("/"), F.regexp_replace(F.col(column), r"^(?:[A-Za-z0-9]+:)?/*", ""))
 
 
+def _empty_files(spark: SparkSession, places: list[str]) -> DataFrame:
+    """Files without bytes among these paths or directories: Spark's file sources pass over them."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for place in batch.column("place").to_pylist():
+                uri = place if "://" in place or place.startswith("file:") else os.path.abspath(place)
+                system, path = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+                here = system.get_file_info(path)
+                infos = [here] if here.is_file else system.get_file_info(fs.FileSelector(path))
+                empty = [i for i in infos if i.is_file and i.size == 0]
+                head = uri[: uri.index("://") + 3] if "://" in uri else "file:"
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([head + i.path for i in empty], pa.string()),
+                        pa.array([i.mtime for i in empty], pa.timestamp("us", "UTC")),
+                        pa.array([0 for _ in empty], pa.int64()),
+                    ],
+                    names=["path", "modificationTime", "length"],
+                )
+
+    listed = spark.createDataFrame([(p,) for p in places], "place string")
+    return _file_columns(listed.mapInArrow(found, "path string, modificationTime timestamp, length long"))
+
+
 def _file_columns(rows: DataFrame) -> DataFrame:
     return rows.select(
         F.col("path").alias("file_path"),
