@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.identity import page_id
+from quire.functions.identity import document_id, page_id
 
 # A key with more rows than this is joined apart, against a broadcast of just such keys.
 HOT_ROWS = 1_000_000
+# At most this many ordinals of eight bytes are broadcast.
+BROADCAST_ORDINALS = 5_000_000
 
 
 def already_loaded(files: DataFrame, documents: DataFrame) -> DataFrame:
@@ -47,6 +49,29 @@ def files_to_load(files: DataFrame, documents: DataFrame, replace: bool = False)
     ).drop("_stored")
 
 
+def chosen_content(files: DataFrame, described: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(document_id, content) of the chosen files, where the bytes are in a table.
+
+    Bytes are not shuffled for it: the shorter list, chosen or skipped ordinals, is broadcast
+    (eight bytes each, up to a counted limit) and the ids are worked out from the bytes again.
+    """
+    n_chosen = chosen.count()
+    n_skipped = described.count() - n_chosen
+    content = files.select("ordinal", "content")
+    if n_skipped > n_chosen:
+        kept = content.join(_listed(chosen.select("ordinal"), n_chosen), "ordinal", "left_semi")
+    elif n_skipped:
+        skipped = described.select("ordinal").join(chosen.select("ordinal"), "ordinal", "left_anti")
+        kept = content.join(_listed(skipped, n_skipped), "ordinal", "left_anti")
+    else:
+        kept = content
+    return kept.select(document_id(F.sha2("content", 256)).alias("document_id"), "content")
+
+
+def _listed(ordinals: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(ordinals) if n <= BROADCAST_ORDINALS else ordinals
+
+
 def join_unique(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Equi-join to a side with unique keys, where a few keys may hold most of ``rows``.
 

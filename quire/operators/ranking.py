@@ -43,6 +43,8 @@ DIRECT_PAIRS = 50_000_000
 # At most this many asked terms are broadcast (some tens of bytes each).
 BROADCAST_ROWS = 100_000
 SALTS = 32
+# Largest k that Spark trims groups to before a shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
+MAP_SIDE_LIMIT = 1000
 # The rarest terms are added up to this many times the wanted pages to find the score floor.
 SEED_FACTOR = 10
 # Far above the noise of sums and the rounding of compared scores.
@@ -340,18 +342,17 @@ def query_term_sets(index: SearchIndex, queries: DataFrame) -> DataFrame:
 def top_per_group(rows: DataFrame, group: list[str], order: list[Column], k: int) -> DataFrame:
     """The first ``k`` rows of each group, with ``rank``. Exact, and no group meets in one task whole.
 
-    Each group is first cut to k within ``SALTS`` hash parts (Spark trims map-side as well),
-    so the final ranking sees at most k x SALTS rows of a group, however large it is.
+    Up to ``MAP_SIDE_LIMIT`` Spark itself trims every group to k rows in each task before the
+    shuffle (WindowGroupLimit). Beyond that each group is first cut to k within ``SALTS`` hash
+    parts, so the final ranking sees at most k x SALTS rows of a group.
     """
-    part = F.pmod(F.xxhash64(*[F.col(c) for c in PAGE_KEY]), F.lit(SALTS)).alias("_part")
-    first = Window.partitionBy(*group, "_part").orderBy(*order)
+    if k > MAP_SIDE_LIMIT:
+        part = F.pmod(F.xxhash64(*[F.col(c) for c in PAGE_KEY]), F.lit(SALTS)).alias("_part")
+        within = Window.partitionBy(*group, "_part").orderBy(*order)
+        numbered = rows.select("*", part).withColumn("_n", F.row_number().over(within))
+        rows = numbered.where(F.col("_n") <= k).drop("_n", "_part")
     final = Window.partitionBy(*group).orderBy(*order)
-    trimmed = rows.select("*", part).withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= k)
-    return (
-        trimmed.drop("_n", "_part")
-        .withColumn("rank", F.row_number().over(final))
-        .where(F.col("rank") <= k)
-    )
+    return rows.withColumn("rank", F.row_number().over(final)).where(F.col("rank") <= k)
 
 
 def search_ranked_batch(

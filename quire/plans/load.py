@@ -104,7 +104,7 @@ def _write_load(store, load_id, staging, files, chosen, options) -> DataFrame:
         return empty.withColumn("hidden_layers_revealed", F.lit(False))
     source = chosen
     if "content" in files.columns:
-        source = files.select("ordinal", "content").join(chosen.select("ordinal", "document_id"), "ordinal")
+        source = loading.chosen_content(files, spark.read.parquet(f"{staging}/files"), chosen)
 
     pages = _extract(source, options)
     if options.ocr_engine:
@@ -139,6 +139,16 @@ def _write_load(store, load_id, staging, files, chosen, options) -> DataFrame:
     return rolled
 
 
+def load_and_index(
+    store: PageStore, files: DataFrame, options: LoadOptions = LoadOptions(), **index: object
+) -> DataFrame:
+    """Load, then rebuild the index if anything was loaded; ``index`` goes to ``build_index``."""
+    report = load_files(store, files, options)
+    if report.where("status = 'loaded'").limit(1).count():
+        store.build_index(**index)
+    return report
+
+
 def dry_run(files: DataFrame, options: LoadOptions = LoadOptions()) -> DataFrame:
     """What a load would find in each input file; writes nothing."""
     described = describe_files(files, options)

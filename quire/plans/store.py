@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire import schemas
+from quire.functions import identity
 from quire.operators import loading, ranking, search
 from quire.operators.chunks import MAX_CHUNK_BYTES
 from quire.operators.ranking import SearchIndex
@@ -29,6 +30,7 @@ from quire.operators.ranking import SearchIndex
 DOCUMENTS, PAGES, CHUNKS, RETIRED = "documents", "document_pages", "document_chunks", "retired"
 TABLES = {DOCUMENTS: schemas.DOCUMENTS, PAGES: schemas.PAGES, CHUNKS: schemas.CHUNKS}
 _RETIRED_SCHEMA = T.StructType([T.StructField("document_id", T.StringType())])
+INDEX_MODES = ("in-place", "copy", "skip")
 ROW_GROUP_BYTES = 64 * 1024 * 1024
 _LOAD_ID = T.StructField("load_id", T.StringType())
 
@@ -108,7 +110,10 @@ class PageStore:
         return self.table(DOCUMENTS, at).select(*schemas.DOCUMENTS.fieldNames())
 
     def pages(self, at: Snapshot | None = None) -> DataFrame:
-        return self.table(PAGES, at).select(*schemas.PAGES.fieldNames())
+        """Live pages. Rows stored before ``page_id`` existed get theirs on reading."""
+        rows = self.table(PAGES, at).select(*schemas.PAGES.fieldNames())
+        made = identity.page_id(F.col("document_id"), F.col("page_number"))
+        return rows.withColumn("page_id", F.coalesce("page_id", made))
 
     def chunks(self, at: Snapshot | None = None) -> DataFrame:
         return self.table(CHUNKS, at).select(*schemas.CHUNKS.fieldNames())
@@ -211,22 +216,26 @@ class PageStore:
     def build_index(
         self,
         location: str | None = None,
-        copy: bool | None = None,
+        mode: str | None = None,
         stemmer: str | None = "english",
         stop_words: str | list[str] | None = "english",
     ) -> int:
         """(Re)build the search index; returns the number of pages indexed, blank ones included.
 
-        It lies within the store, or at another ``location``; there, unless ``copy`` is False,
-        with a snapshot of the page text, which is then what is indexed.
+        ``in-place``: over the stored pages; the default within the store. ``copy``: over a
+        snapshot of the page text kept with the index; the default at another ``location``.
+        ``skip``: nothing is built.
         """
+        mode = mode or ("copy" if location else "in-place")
+        if mode not in INDEX_MODES:
+            raise ValueError(f"unknown index mode {mode!r}; known: {', '.join(INDEX_MODES)}")
+        if mode == "skip":
+            return 0
         at = self.snapshot()
         base = self._index_root(location)
         version = f"{base}/version={self._next_version(base):010d}"
         pages = self.pages(at)
-        if copy is None:
-            copy = location is not None
-        if copy:
+        if mode == "copy":
             copy_pages(pages).write.parquet(f"{version}/pages")
             pages = self.spark.read.parquet(f"{version}/pages")
         loads = self.spark.createDataFrame([(x,) for x in at.loads], "load_id string")

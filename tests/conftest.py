@@ -13,7 +13,7 @@ from quire.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("quire-tests", cores=8)
+    session = local_session("quire-tests", cores=8, **{"spark.sql.shuffle.partitions": "4"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

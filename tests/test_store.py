@@ -199,3 +199,18 @@ def test_winners(spark):
     assert sorted(r.ordinal for r in loading.choose_winners(rows).collect()) == [0, 1, 2]
     last = {r.sha256_hex: r.file_path for r in loading.choose_winners(rows, replace=True).collect()}
     assert last == {"h0": "p6", "h1": "p7", "h2": "p8"}
+
+
+@pytest.mark.parametrize("skipped", [0, 2, 15])
+def test_content_is_not_shuffled(spark, tmp_path, skipped):
+    rows = [(i, f"/f{i}", f"f{i}", 2, f"c{i}".encode()) for i in range(20)]
+    table = spark.createDataFrame(rows, "ordinal long, file_path string, file_name string, file_size_bytes long, content binary")
+    table.write.parquet(str(tmp_path / "files"))
+    table = spark.read.parquet(str(tmp_path / "files"))
+    chosen = table.drop("content").where(F.col("ordinal") >= skipped)
+    found = loading.chosen_content(table, table.drop("content"), chosen)
+    assert sorted(bytes(r.content) for r in found.collect()) == sorted(f"c{i}".encode() for i in range(skipped, 20))
+    expected = files.with_identity(files.with_hash(table)).where(F.col("ordinal") >= skipped)
+    assert {r.document_id for r in found.collect()} == {r.document_id for r in expected.collect()}
+    shuffles = [x for x in found._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning" in x]
+    assert all("content" not in x for x in shuffles) and len(shuffles) <= 2
