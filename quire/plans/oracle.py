@@ -5,7 +5,7 @@ from __future__ import annotations
 from quire.functions.identity import DOCUMENT_ID_NAMESPACE
 from quire.functions.pdf_dates import PDF_DATE_PATTERN
 from quire.operators.ranking import BM25_B, BM25_K
-from quire.plans.queries import ALL_TERMS, CHUNK_BYTES, RANKED, SUBSTRING, WILDCARD
+from quire.plans.queries import ALL_TERMS, CHUNK_BYTES, RANKED, STOP_WORDS, SUBSTRING, WILDCARD
 from quire.sources.adapters import DATE_CASES, FIRST_MODIFIED, MIXED_ENDINGS, PAGE_CHARS
 
 _NS = DOCUMENT_ID_NAMESPACE.replace("-", "")
@@ -75,13 +75,15 @@ _NOT_FRENCH = "SELECT * FROM docs WHERE sha256_hex NOT IN (SELECT sha256_hex FRO
 _SPLIT = "string_split_regex(lower(strip_accents({0})), '[^a-z]+')"
 
 
-def _index(pages: str = "doc_pages") -> str:
+def _index(pages: str = "doc_pages", form: str = "term", left_out: str = "''") -> str:
     """Postings, document frequencies and totals over page rows."""
     return f"""
 words AS (
   SELECT document_id, page_number, unnest({_SPLIT.format('page_text')}) AS term FROM {pages}),
 postings AS (
-  SELECT document_id, page_number, term, count(*) AS tf FROM words WHERE term <> '' GROUP BY ALL),
+  SELECT document_id, page_number, form AS term, count(*) AS tf
+    FROM (SELECT document_id, page_number, {form} AS form FROM words WHERE term NOT IN ('', {left_out}))
+   GROUP BY ALL),
 lengths AS (SELECT document_id, page_number, sum(tf)::BIGINT AS page_len FROM postings GROUP BY ALL),
 terms AS (
   SELECT term, count(*) AS df, sum(tf)::BIGINT AS total_tf, max(tf) AS max_tf, min(page_len) AS min_len
@@ -96,12 +98,14 @@ _WEIGHT = f"""log10((n_pages - df + 0.5) / (df + 0.5) + 1)
   * (tf * ({BM25_K} + 1) / (tf + {BM25_K} * (1 - {BM25_B} + {BM25_B} * page_len / avg_len)))"""
 
 
-def _ranked(query: str, top_k: int, all_terms: bool = False, decimals: int = 3, live: str | None = None) -> str:
+def _ranked(
+    query: str, top_k: int, all_terms: bool = False, decimals: int = 3, live: str | None = None, **index: str
+) -> str:
     terms = sorted(set(query.split()))
     listed = ", ".join(f"'{t}'" for t in terms)
     having = f"HAVING count(*) = {len(terms)}" if all_terms else ""
     alive = f"WHERE document_id IN (SELECT document_id FROM ({live}))" if live else ""
-    return f"""WITH {_PAGES}, {_index()},
+    return f"""WITH {_PAGES}, {_index(**index)},
 scored AS (
   SELECT document_id, page_number, sum({_WEIGHT}) AS score
     FROM postings JOIN terms USING (term) JOIN lengths USING (document_id, page_number), totals
@@ -129,6 +133,11 @@ SELECT query_id, rank, file_name, page_number, round(score, 3) AS score, documen
   FROM ranked JOIN docs USING (document_id) WHERE rank <= 10"""
 
 
+# The forms that share the stems of the stemmed query; all other words keep their own form here.
+_STEMS = """CASE WHEN term IN ('license', 'licenses', 'licensed', 'licensing') THEN 'licens'
+  WHEN term IN ('warranty', 'warranties') THEN 'warranti' ELSE term END"""
+
+
 def _substring(pattern: str, literal: str | None) -> str:
     """``literal`` is where the snippet starts from; None where the pattern is found by wildcards only."""
     at = f"greatest(1, instr(lower(page_text), lower('{literal}')) - 120)" if literal else "1"
@@ -220,6 +229,10 @@ def statements() -> dict[str, str]:
             document_id || ':' || page_number AS page_id, {_METHOD}, length(page_text) AS char_count FROM path_pages""",
         "mime_guess": _mime(),
         "pdf_date_parse": _dates(),
+        "document_info": """SELECT page_id AS ordinal, page_id || '.html' AS file_name, 1 AS page_count,
+            'HTML' AS pdf_format, NULL::VARCHAR AS author, false AS is_encrypted, false AS needs_password,
+            nullif(trim(replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&amp;', '&')), '') AS title
+            FROM pages""",
         "extract_pages": f"""WITH {_PATH_PAGES} SELECT ordinal, page_number, {_METHOD},
             length(page_text) AS char_count, page_text FROM path_pages""",
         "extract_pages_capped": f"""WITH {_PATH_PAGES} SELECT ordinal, page_number, {_METHOD},
@@ -322,6 +335,9 @@ def statements() -> dict[str, str]:
             page_number, page_text FROM doc_pages""",
         "search_ranked": _ranked(RANKED, 20),
         "search_ranked_all_terms": _ranked(ALL_TERMS, 10, all_terms=True, decimals=2),
+        "search_ranked_stemmed": _ranked(
+            "licens warranti", 20, form=_STEMS, left_out=", ".join(f"'{w}'" for w in STOP_WORDS)
+        ),
         "search_ranked_batch": _BATCH,
         "index_staleness": _ranked("la de license", 30, live=_NOT_FRENCH),
     }

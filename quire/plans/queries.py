@@ -17,7 +17,7 @@ from quire.functions.pdf_dates import parse_pdf_date
 from quire.operators import chunks, loading, ocr, ranking, search
 from quire.operators.checks import not_null_violations
 from quire.plans.load import LoadOptions, dry_run, load_files
-from quire.plans.store import PageStore, copy_pages
+from quire.plans.store import PageStore
 from quire.schemas import CHUNKS, DOCUMENTS, PAGES, required
 from quire.session import shared_dir, ship_package, spread
 from quire.sources import adapters, files
@@ -30,7 +30,8 @@ SUBSTRING = "License"
 WILDCARD = "un_er%licen_e"
 RANKED = "mit license software"
 ALL_TERMS = "the and of that"
-STEMMED = "licensed warranties"
+STEMMED = "licensing warranties"
+STOP_WORDS = ("the", "and", "of", "de", "la")
 
 _STORES: dict[tuple[str, str, str], PageStore] = {}
 
@@ -54,20 +55,28 @@ def _micros(column: str) -> F.Column:
 
 
 def loaded_store(spark: SparkSession, sf_dir: str) -> PageStore:
-    """All documents loaded once, with a plain index (no stemming, no stop words)."""
+    """All documents loaded once."""
+    return _store(
+        spark, sf_dir, "loaded",
+        lambda store: load_files(store, adapters.file_rows(spark, sf_dir), OPTIONS),
+    )
 
-    def prepare(store: PageStore) -> None:
-        load_files(store, adapters.file_rows(spark, sf_dir), OPTIONS)
-        store.build_index(stemmer=None, stop_words=None)
 
-    return _store(spark, sf_dir, "loaded", prepare)
+def indexed_store(spark: SparkSession, sf_dir: str) -> PageStore:
+    """The loaded store with a plain index (no stemming, no stop words)."""
+    store = loaded_store(spark, sf_dir)
+    _store(spark, sf_dir, "indexed", lambda _: store.build_index(stemmer=None, stop_words=None))
+    return store
 
 
 def stemmed_store(spark: SparkSession, sf_dir: str) -> tuple[PageStore, str]:
-    """The loaded store with a second index beside it: stemmed, without stop words, over a copy."""
+    """The loaded store with an index elsewhere: stemmed, some stop words left out, over a copy."""
     store = loaded_store(spark, sf_dir)
     location = f"{store.root}-stemmed-index"
-    _store(spark, sf_dir, "stemmed", lambda _: store.build_index(location=location))
+    _store(
+        spark, sf_dir, "stemmed",
+        lambda _: store.build_index(location=location, stemmer="english", stop_words=list(STOP_WORDS)),
+    )
     return store, location
 
 
@@ -156,7 +165,7 @@ def document_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     rows = spread(adapters.html_rows(spark, sf_dir))
     return files.inspect_files(rows, HTML.inspect).select(
-        "ordinal", "file_name", "page_count", "pdf_format", "title", "author", "is_encrypted"
+        "ordinal", "file_name", "page_count", "pdf_format", "title", "author", "is_encrypted", "needs_password"
     )
 
 
@@ -383,32 +392,34 @@ def tokenize_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def index_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    postings = ranking.with_document_id(loaded_store(spark, sf_dir).index().postings)
+    postings = ranking.with_document_id(indexed_store(spark, sf_dir).index().postings)
     return postings.select(
         identity.page_id(F.col("document_id"), F.col("page_number")).alias("page_id"), "term", "tf", "page_len"
     )
 
 
 def index_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loaded_store(spark, sf_dir).index().terms.select("term", "df", "total_tf", "max_tf", "min_len")
+    return indexed_store(spark, sf_dir).index().terms.select("term", "df", "total_tf", "max_tf", "min_len")
 
 
 def index_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loaded_store(spark, sf_dir).index().stats.select(
+    return indexed_store(spark, sf_dir).index().stats.select(
         "n_pages", "n_terms", "n_tokens", F.round("avg_len", 6).alias("avg_len")
     )
 
 
 def index_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return copy_pages(loaded_store(spark, sf_dir).pages())
+    """The snapshot of the page text that the index elsewhere was built over."""
+    store, location = stemmed_store(spark, sf_dir)
+    return spark.read.parquet(f"{store.index(location).path}/pages")
 
 
 def search_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loaded_store(spark, sf_dir).search_pages_ranked(RANKED)
+    return indexed_store(spark, sf_dir).search_pages_ranked(RANKED)
 
 
 def search_ranked_all_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = loaded_store(spark, sf_dir).search_pages_ranked(ALL_TERMS, top_k=10, all_terms=True)
+    found = indexed_store(spark, sf_dir).search_pages_ranked(ALL_TERMS, top_k=10, all_terms=True)
     return found.withColumn("score", F.round("score", 2))
 
 
@@ -419,7 +430,7 @@ def search_ranked_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def search_ranked_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     queries = adapters.query_rows(spark, sf_dir)
-    return loaded_store(spark, sf_dir).search_pages_ranked_batch(queries, top_k=10)
+    return indexed_store(spark, sf_dir).search_pages_ranked_batch(queries, top_k=10)
 
 
 def index_staleness(spark: SparkSession, sf_dir: str) -> DataFrame:
