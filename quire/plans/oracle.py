@@ -206,6 +206,25 @@ def _nulls() -> str:
     return " UNION ALL ".join(rows)
 
 
+# Visible text of the given web pages: only their tags and character references are handled.
+_HTML = r"""WITH shown AS (
+  SELECT page_id, regexp_replace(html,
+    '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<title>.*?</title>|<!--.*?-->|<![^>]*>', '', 'g') AS t
+    FROM pages),
+cut AS (
+  SELECT page_id, regexp_replace(regexp_replace(t,
+    '(?i)</?(p|br|div|li|tr|h1|h2|h3|h4|h5|h6|article|section|td|th)(\s[^>]*)?/?>', chr(10), 'g'),
+    '<[^>]*>', '', 'g') AS t FROM shown),
+plain AS (
+  SELECT page_id, regexp_replace(
+    replace(replace(replace(t, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g') AS t FROM cut),
+lines AS (
+  SELECT page_id, list_transform(string_split(t, chr(10)), lambda x:
+    trim(regexp_replace(x, '[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{3000}]+', ' ', 'g'))) AS l FROM plain)
+SELECT page_id AS ordinal, 1 AS page_number,
+       array_to_string(list_filter(l, lambda x: x <> ''), chr(10)) AS page_text,
+       CASE WHEN page_text <> '' THEN 'native' ELSE 'none' END AS extraction_method FROM lines"""
+
 _METHOD = f"CASE WHEN {_NONBLANK} THEN 'native' ELSE 'none' END AS extraction_method"
 _SCANNED = f"""{_PATH_PAGES},
 scanned AS (
@@ -237,6 +256,7 @@ def statements() -> dict[str, str]:
             length(page_text) AS char_count, page_text FROM path_pages""",
         "extract_pages_capped": f"""WITH {_PATH_PAGES} SELECT ordinal, page_number, {_METHOD},
             length(page_text) AS char_count, page_text FROM path_pages WHERE page_number <= 1""",
+        "html_pages": _HTML,
         "max_pages": f"""WITH {_PATH_PAGES} SELECT document_id || ':' || page_number AS page_id, page_number, page_text
             FROM path_pages WHERE page_number <= 2""",
         "not_null_violations": _nulls(),
