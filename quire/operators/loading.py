@@ -94,11 +94,13 @@ def page_totals(pages: DataFrame) -> DataFrame:
 
     A page has text exactly if its extraction method is not ``none``, so ``page_text`` is not read.
     """
+    is_unread = (F.col("extraction_method") == "none") & (F.col("image_count") > 0)
     return pages.groupBy("document_id").agg(
         F.count("*").cast("int").alias("pages_extracted"),
         F.count_if(F.col("extraction_method") != "none").cast("int").alias("pages_with_text"),
         F.count_if(F.col("extraction_method") == "ocr").cast("int").alias("pages_ocr"),
         F.sum(F.col("char_count").cast("long")).alias("total_text_chars"),
+        F.count_if(is_unread).cast("int").alias("pages_needing_ocr"),
     )
 
 
@@ -113,19 +115,20 @@ def roll_up(files: DataFrame, pages: DataFrame, chunks: DataFrame) -> DataFrame:
         chunk_totals(chunks), "document_id", "left"
     )
     zero = {"pages_extracted": "int", "pages_with_text": "int", "pages_ocr": "int",
-            "total_text_chars": "long", "chunk_count": "int"}
+            "total_text_chars": "long", "pages_needing_ocr": "int", "chunk_count": "int"}
     return joined.withColumns({c: F.coalesce(c, F.lit(0).cast(kind)) for c, kind in zero.items()})
 
 
 def load_report(files: DataFrame, loaded: DataFrame, replace: bool = False) -> DataFrame:
-    """One row per input file, in load order.
+    """One row per input file. ``pages_needing_ocr`` are blank pages with images, left as they are
+    for want of an OCR engine or because it found nothing.
 
     ``loaded`` holds the rolled-up winners. Without ``replace`` a file is ``loaded`` exactly if
     it is its content's winner, a join on the unique ordinal. With ``replace`` every file
     reports ``loaded`` with its content's numbers.
     """
-    counts = ["chunk_count", "pages_extracted", "pages_with_text", "pages_ocr", "total_text_chars",
-              "hidden_layers_revealed"]
+    counts = ["chunk_count", "pages_extracted", "pages_with_text", "pages_ocr", "pages_needing_ocr",
+              "total_text_chars", "hidden_layers_revealed"]
     if replace:
         joined = join_unique(files, loaded.select("document_id", *counts), "document_id")
     else:
@@ -139,6 +142,7 @@ def load_report(files: DataFrame, loaded: DataFrame, replace: bool = False) -> D
         F.coalesce("pages_extracted", "page_count", F.lit(0)).alias("page_count"),
         F.coalesce("pages_with_text", F.lit(0)).alias("pages_with_text"),
         F.coalesce("pages_ocr", F.lit(0)).alias("pages_ocr"),
+        F.coalesce("pages_needing_ocr", F.lit(0)).alias("pages_needing_ocr"),
         F.coalesce("total_text_chars", F.lit(0).cast("long")).alias("total_text_chars"),
         F.coalesce("hidden_layers_revealed", F.lit(False)).alias("hidden_layers_revealed"),
     )

@@ -232,7 +232,7 @@ def score_pages(
     k: float = BM25_K,
     b: float = BM25_B,
     best: int | None = None,
-    live_pages: DataFrame | None = None,
+    live: LiveCheck | None = None,
     direct_pairs: int = DIRECT_PAIRS,
 ) -> DataFrame:
     """(doc_key, page_number, score) of the pages holding any (or all) of the query's terms.
@@ -253,7 +253,7 @@ def score_pages(
         )
         bound = F.col("idf") * tf_weight(F.col("max_tf"), F.col("min_len"), avg_len, k, b)
         asked = asked.withColumn("bound", bound).drop("max_tf", "min_len")
-        scoring = _Scoring(index, weight, live_pages, shared_dir(index.spark, "ranked"))
+        scoring = _Scoring(index, weight, live, shared_dir(index.spark, "ranked"))
         scored = scoring.bounded_scores(asked, best, all_terms)
     else:
         weights = F.create_map(*[F.lit(v) for t, values in found.items() for v in (t, values[1])])
@@ -264,7 +264,7 @@ def score_pages(
             scored = scored.groupBy(*PAGE_KEY).agg(F.sum("score").alias("score"), F.count("*").alias("matched"))
         else:
             scored = scored.withColumn("matched", F.lit(1))
-        scored = _only_live(scored, live_pages)
+        scored = _only_live(scored, live)
     if all_terms:
         scored = scored.where(F.col("matched") == len(wanted))
     return scored.select(*PAGE_KEY, "score")
@@ -281,26 +281,47 @@ def search_ranked(
     query: str,
     top_k: int = TOP_K,
     all_terms: bool = False,
-    live_pages: DataFrame | None = None,
+    live: LiveCheck | None = None,
     **parameters: float,
 ) -> DataFrame:
     """The ``top_k`` best pages: file_name, page_number, score, snippet, document_id.
 
-    The index is a snapshot. ``live_pages`` (page keys) drops index rows of pages that are gone,
-    before the cut, so that they take no result's place; None says that none are gone.
+    The index is a snapshot. ``live`` drops its rows of pages that are gone, before the cut, so
+    that they take no result's place; None says that none are gone.
     """
-    scored = score_pages(index, query, all_terms, best=top_k, live_pages=live_pages, **parameters)
+    scored = score_pages(index, query, all_terms, best=top_k, live=live, **parameters)
     top = with_document_id(scored.orderBy(*best_first()).limit(top_k))
     return with_page_heads(top, documents, pages, top_k).orderBy(*best_first()).select(
         "file_name", "page_number", F.round("score", 3).alias("score"), "snippet", "document_id"
     )
 
 
-def _only_live(scored: DataFrame, live_pages: DataFrame | None) -> DataFrame:
-    if live_pages is None:
-        return scored
-    keys = live_pages.select(identity.document_key(F.col("document_id")).alias("doc_key"), "page_number")
-    return scored.join(keys, PAGE_KEY, "left_semi")
+@dataclass(frozen=True)
+class LiveCheck:
+    """Which index rows still stand for a page.
+
+    ``pages`` (document_id, page_number): the pages that are alive; with ``changed`` (distinct
+    document_id) only those of documents that were replaced or deleted since the index was
+    built. Rows of all other documents then pass without being looked up among all pages.
+    """
+
+    pages: DataFrame
+    changed: DataFrame | None = None
+
+    def keep(self, scored: DataFrame) -> DataFrame:
+        key = identity.document_key(F.col("document_id")).alias("doc_key")
+        alive = self.pages.select(key, "page_number")
+        if self.changed is None:
+            return scored.join(alive, PAGE_KEY, "left_semi")
+        changed = self.changed.select(key, F.lit(True).alias("_changed"))
+        marked = scored.join(changed, "doc_key", "left").join(
+            alive.withColumn("_alive", F.lit(True)), PAGE_KEY, "left"
+        )
+        return marked.where(F.col("_changed").isNull() | F.col("_alive")).drop("_changed", "_alive")
+
+
+def _only_live(scored: DataFrame, live: LiveCheck | None) -> DataFrame:
+    return scored if live is None else live.keep(scored)
 
 
 def with_document_id(scored: DataFrame) -> DataFrame:
@@ -361,7 +382,7 @@ def search_ranked_batch(
     queries: DataFrame,
     top_k: int = TOP_K,
     all_terms: bool = False,
-    live_pages: DataFrame | None = None,
+    live: LiveCheck | None = None,
     k: float = BM25_K,
     b: float = BM25_B,
     direct_pairs: int = DIRECT_PAIRS,
@@ -393,7 +414,7 @@ def search_ranked_batch(
     asked.write.parquet(f"{scratch}/terms")
     asked = spark.read.parquet(f"{scratch}/terms")
 
-    scoring = _Scoring(index, tf_weight(F.col("tf"), F.col("page_len"), avg_len, k, b), live_pages, scratch)
+    scoring = _Scoring(index, tf_weight(F.col("tf"), F.col("page_len"), avg_len, k, b), live, scratch)
     pairs = asked.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
     if pairs <= direct_pairs:
         scored = scoring.page_scores(asked)
@@ -416,7 +437,7 @@ class _Scoring:
 
     index: SearchIndex
     weight: Column
-    live_pages: DataFrame | None
+    live: LiveCheck | None
     scratch: str
 
     def matches(self, asked: DataFrame) -> DataFrame:
@@ -440,7 +461,7 @@ class _Scoring:
         scored = self.matches(asked).groupBy("set_no", *PAGE_KEY).agg(
             F.sum("part").alias("score"), F.count("*").alias("matched"), F.first("n_terms").alias("n_terms")
         )
-        return _only_live(scored, self.live_pages)
+        return _only_live(scored, self.live)
 
     def bounded_scores(self, asked: DataFrame, top_k: int, all_terms: bool) -> DataFrame:
         """Scores of all pages that can be among the ``top_k``; exact, without scoring the rest.

@@ -99,7 +99,9 @@ def _write_load(store, load_id, staging, files, chosen, options) -> DataFrame:
     spark = store.spark
     if chosen.isEmpty():
         empty = chosen.withColumns({
-            c: F.lit(0) for c in ("chunk_count", "pages_extracted", "pages_with_text", "pages_ocr", "total_text_chars")
+            c: F.lit(0) for c in (
+                "chunk_count", "pages_extracted", "pages_with_text", "pages_ocr", "pages_needing_ocr", "total_text_chars"
+            )
         })
         return empty.withColumn("hidden_layers_revealed", F.lit(False))
     source = chosen

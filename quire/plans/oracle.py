@@ -298,7 +298,7 @@ def statements() -> dict[str, str]:
         "replace_report": f"""WITH {_PAGES}, t AS ({with_text}), r AS ({_FULL_REPORT})
             SELECT ordinal, file_name, document_id, 'loaded' AS status, file_size_bytes, chunks AS chunk_count,
                    pages AS page_count, coalesce(with_text, 0) AS pages_with_text, 0 AS pages_ocr,
-                   chars AS total_text_chars, false AS hidden_layers_revealed
+                   0 AS pages_needing_ocr, chars AS total_text_chars, false AS hidden_layers_revealed
               FROM named JOIN r USING (document_id) LEFT JOIN t USING (document_id)""",
         "load_report": f"""WITH {_PAGES}, t AS ({with_text}), r AS ({_FULL_REPORT}),
             firsts AS (SELECT ordinal, true AS is_first FROM docs)
@@ -306,7 +306,7 @@ def statements() -> dict[str, str]:
                    CASE WHEN is_first THEN 'loaded' ELSE 'skipped' END AS status, file_size_bytes,
                    CASE WHEN is_first THEN chunks ELSE 0 END AS chunk_count, pages AS page_count,
                    CASE WHEN is_first THEN coalesce(with_text, 0) ELSE 0 END AS pages_with_text, 0 AS pages_ocr,
-                   CASE WHEN is_first THEN chars ELSE 0 END AS total_text_chars, false AS hidden_layers_revealed
+                   0 AS pages_needing_ocr, CASE WHEN is_first THEN chars ELSE 0 END AS total_text_chars, false AS hidden_layers_revealed
               FROM named JOIN r USING (document_id) LEFT JOIN t USING (document_id)
               LEFT JOIN firsts USING (ordinal)""",
         "delete_document": _table_counts(_NOT_FRENCH),

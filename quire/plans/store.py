@@ -25,7 +25,7 @@ from quire import schemas
 from quire.functions import identity
 from quire.operators import loading, ranking, search
 from quire.operators.chunks import MAX_CHUNK_BYTES
-from quire.operators.ranking import SearchIndex
+from quire.operators.ranking import LiveCheck, SearchIndex
 
 DOCUMENTS, PAGES, CHUNKS, RETIRED = "documents", "document_pages", "document_chunks", "retired"
 TABLES = {DOCUMENTS: schemas.DOCUMENTS, PAGES: schemas.PAGES, CHUNKS: schemas.CHUNKS}
@@ -137,6 +137,7 @@ class PageStore:
         if table != RETIRED:
             # Look-ups by id skip files and row groups that cannot hold it.
             writer = writer.option("parquet.bloom.filter.enabled#document_id", "true")
+            writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
         writer.parquet(f"{self.root}/{table}/load_id={load_id}")
         return self._rows(table, schema, [load_id]).drop("load_id")
 
@@ -257,15 +258,21 @@ class PageStore:
             raise LookupError("the store has no search index yet: call build_index()")
         return SearchIndex(self.spark, done[-1].rsplit("/stats/", 1)[0])
 
-    def live_index_pages(self, index: SearchIndex, at: Snapshot) -> DataFrame | None:
-        """Page keys an index may still answer with; None if all its pages are alive.
+    def live_check(self, index: SearchIndex, at: Snapshot) -> LiveCheck | None:
+        """What tells the index rows of pages that are gone; None if all its pages are alive.
 
-        Loads only add pages, so only documents retired since the index was built matter.
+        Loads only add pages, so only documents retired since the index was built matter. If
+        its loads have been rewritten since, all its pages are checked.
         """
         known = {row[0] for row in self.spark.read.parquet(f"{index.path}/loads").collect()}
-        if known <= set(at.loads) and all(x in known for x in at.retiring):
+        pages = self.pages(at).select("document_id", "page_number")
+        if not known <= set(at.loads):
+            return LiveCheck(pages)
+        since = [x for x in at.retiring if x not in known]
+        if not since:
             return None
-        return self.pages(at).select("document_id", "page_number")
+        changed = self._rows(RETIRED, _RETIRED_SCHEMA, since).select("document_id").distinct()
+        return LiveCheck(pages.join(changed, "document_id", "left_semi"), changed)
 
     # --- searches -----------------------------------------------------------------------
 
@@ -284,7 +291,7 @@ class PageStore:
         at, index = self.snapshot(), self.index(location)
         return ranking.search_ranked(
             index, self.documents(at), self.pages(at), query, top_k, all_terms,
-            self.live_index_pages(index, at), **parameters,
+            self.live_check(index, at), **parameters,
         )
 
     def search_pages_ranked_batch(
@@ -294,7 +301,7 @@ class PageStore:
         at, index = self.snapshot(), self.index(location)
         return ranking.search_ranked_batch(
             index, self.documents(at), queries, top_k, all_terms,
-            self.live_index_pages(index, at), **parameters,
+            self.live_check(index, at), **parameters,
         )
 
     def list_documents(self) -> DataFrame:

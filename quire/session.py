@@ -57,14 +57,18 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/quire/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+SPREAD_BELOW_BYTES = 4 << 30
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give CPU-heavy row-local work at least one input partition per core.
 
     A table in a few unsplittable row groups would leave most cores idle; it is small by
-    the same token, so one round-robin exchange is cheap. An input that already has enough
-    partitions, as any large table has, is returned unchanged and is never shuffled.
+    the same token, so one round-robin exchange is cheap. Anything estimated at more than a
+    few GiB, or with enough partitions already, is returned unchanged and is never shuffled.
     """
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= wanted or df.rdd.getNumPartitions() >= wanted:
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > SPREAD_BELOW_BYTES:
         return df
-    return df.repartition(wanted)
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)

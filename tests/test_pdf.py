@@ -1,0 +1,86 @@
+"""The PDF plug-in against a stand-in for the library."""
+
+import io
+
+import pytest
+
+from quire.sources import pdf
+from quire.sources.extract import PageRange
+
+
+class Page:
+    rotation, number = 90, 0
+
+    def __init__(self, number, shown):
+        self.number, self.shown = number, shown
+        self.rect = type("Rect", (), {"width": 595.0, "height": 842.0})
+
+    def get_label(self):
+        return f"p{self.number}"
+
+    def get_images(self):
+        return [object()] * self.number
+
+    def get_text(self, kind):
+        return f"text {self.number}" if self.shown() else ""
+
+
+class Document:
+    metadata = {"format": "PDF 1.7", "title": "T", "author": "", "creationDate": "D:2024", "encryption": None}
+    page_count, needs_pass = 3, 0
+
+    def __init__(self):
+        self.layer = {"on": [4], "off": [5, 9]}
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *error):
+        return False
+
+    def __getitem__(self, index):
+        return Page(index + 1, lambda: not self.layer["off"])
+
+    def get_ocgs(self):
+        return {4: {"name": "Base"}, 5: {"name": "SecretLayer"}}
+
+    def get_layer(self):
+        return dict(self.layer)
+
+    def set_layer(self, config, on, off):
+        self.layer = {"on": on, "off": off}
+
+
+@pytest.fixture
+def library(monkeypatch):
+    module = type("Library", (), {"open": staticmethod(lambda stream, filetype: Document())})
+    monkeypatch.setattr(pdf, "pymupdf", module)
+
+
+def pages(wanted):
+    return list(pdf.PDF.pages(io.BytesIO(b"%PDF-"), wanted))
+
+
+def test_information(library):
+    info = pdf.PDF.inspect(io.BytesIO(b"%PDF-"), "x.pdf")
+    assert info["page_count"] == 3 and info["title"] == "T" and info["created_raw"] == "D:2024"
+    assert info["layer_names"] == ["Base", "SecretLayer"] and info["hidden_layer_names"] == ["SecretLayer"]
+    assert info["encryption_method"] is None and info["needs_password"] is False
+
+
+def test_pages_and_layers(library):
+    assert [p["page_number"] for p in pages(PageRange())] == [1, 2, 3]
+    assert [p["page_number"] for p in pages(PageRange(2, 9))] == [2, 3]
+    assert {p["page_text"] for p in pages(PageRange())} == {""}
+    revealed = pages(PageRange(1, 1, reveal_hidden_layers=True))
+    assert revealed == [{
+        "page_number": 1, "page_label": "p1", "rotation": 90, "width_pt": 595.0, "height_pt": 842.0,
+        "image_count": 1, "page_text": "text 1",
+    }]
+
+
+def test_library_is_optional(monkeypatch):
+    monkeypatch.setattr(pdf, "pymupdf", None)
+    assert not pdf.available()
+    with pytest.raises(RuntimeError, match="PyMuPDF"):
+        pages(PageRange())

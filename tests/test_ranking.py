@@ -169,3 +169,38 @@ def test_plans(spark, store):
         assert "CartesianProduct" not in shown and "BroadcastNestedLoop" not in shown
     postings = plan(ranking.page_postings(store.pages()))
     assert postings.count("regexp") == 0 and "hashpartitioning" not in postings
+
+
+def test_stale_index_in_every_way(spark, texts, tmp_path):
+    """Deleted, replaced-with-fewer-pages and re-loaded documents, by single and batch search."""
+    store = PageStore(spark, str(tmp_path / "store"))
+    rows = [(i, f"/f{i}.txt", f"f{i}.txt", 1, f"common file\fwaa common common {i}\fwab".encode()) for i in range(12)]
+    files = spark.createDataFrame(rows, "ordinal long, file_path string, file_name string, file_size_bytes long, content binary")
+    files = files.withColumn("file_modified_at", F.current_timestamp())
+    load_files(store, files, LoadOptions(page_chars=0))
+    store.build_index(stemmer=None, stop_words=None)
+    name = {r.document_id: r.file_name for r in store.documents().collect()}
+    ids = {v: k for k, v in name.items()}
+    store.delete_documents(spark.createDataFrame([(ids["f3.txt"],), (ids["f4.txt"],)], "document_id string"))
+    load_files(store, files.where("ordinal in (4, 5, 6)"), LoadOptions(page_chars=0, replace=True, max_pages=1))
+    want = {(f"f{i}.txt", 2) for i in range(12) if i not in (3, 4, 5, 6)}
+    want_common = want | {(f"f{i}.txt", 1) for i in range(12) if i != 3}
+    queries = spark.createDataFrame([(1, "waa"), (2, "common")], "query_id long, query string")
+
+    def check(*ways):
+        for pairs in ways:
+            found = store.search_pages_ranked("waa", 50, direct_pairs=pairs).collect()
+            assert {(r.file_name, r.page_number) for r in found} == want and len(found) == len(want)
+            batch = store.search_pages_ranked_batch(queries, 50, direct_pairs=pairs).collect()
+            assert {(r.file_name, r.page_number) for r in batch if r.query_id == 1} == want
+            assert {(r.file_name, r.page_number) for r in batch if r.query_id == 2} == want_common
+
+    assert store.live_check(store.index(), store.snapshot()).changed.count() == 4
+    check(ranking.DIRECT_PAIRS, 0)
+    assert len(store.search_pages_ranked("waa", 3).collect()) == 3
+    store.vacuum()
+    assert store.live_check(store.index(), store.snapshot()).changed is None
+    check(ranking.DIRECT_PAIRS)
+    store.build_index(stemmer=None, stop_words=None)
+    assert store.live_check(store.index(), store.snapshot()) is None
+    assert len(store.search_pages_ranked("waa", 50).collect()) == len(want)

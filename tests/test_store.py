@@ -151,7 +151,9 @@ def test_documents_without_pages_stay(spark, store, folder):
 
 
 def test_recognition_in_a_load(spark, store, folder):
-    options = LoadOptions(plugin=Plugin(_scanned), ocr_engine=_read_image)
+    report = load_files(store, scan(spark, folder), LoadOptions(plugin=Plugin(_scanned)))
+    assert {r.pages_needing_ocr for r in report.where("status = 'loaded'").collect()} == {1}
+    options = LoadOptions(plugin=Plugin(_scanned), ocr_engine=_read_image, replace=True)
     load_files(store, scan(spark, folder), options)
     assert {(r.pages_with_text, r.pages_ocr, r.page_count) for r in store.documents().collect()} == {(1, 1, 2)}
     assert store.search_pages("valve PRESSURE").count() == 3
