@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from functools import cache
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,8 @@ def local_session(name: str = "quire", cores: int | str = "*", **conf: str) -> S
     settings = {
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.adaptive.enabled": "true",
+        # Small data on one machine: pieces small enough for every core to get some.
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "12g",
@@ -44,16 +47,22 @@ def ship_package(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _single_machine_dir(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="quire-")
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the cluster's shared checkpoint folder.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only where that
-    is unset (a single machine, as in tests) a temporary folder is taken and recorded.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only where that is
+    unset, on a single machine as in tests, a temporary folder of the application is taken.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
-        base = tempfile.mkdtemp(prefix="quire-")
-        spark.conf.set(CHECKPOINT_DIR, base)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
+        base = _single_machine_dir(spark.sparkContext.applicationId)
     return f"{base.rstrip('/')}/quire/{purpose}-{uuid.uuid4().hex[:12]}"
 
 

@@ -91,7 +91,7 @@ def pdf_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.lit("Z"), F.lit("+09'00'"), F.lit("-05'30'"), F.lit("")), (key % 4 + 1).cast("int")
     )
     stamp = F.regexp_replace(F.substring(F.col("o_orderdate").cast("string"), 1, 19), "[^0-9]", "")
-    orders = table(spark, sf_dir, "orders").select(
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")).select(
         key.alias("date_id"), F.concat(F.lit("D:"), stamp, zone).alias("raw")
     )
     cases = spark.createDataFrame(
