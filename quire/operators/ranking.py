@@ -39,14 +39,12 @@ LITERAL_KEYS = 200
 IN_LIST = 10
 
 # Batch search: plain scoring makes at most this many (query, page) pairs.
-DIRECT_PAIRS = 50_000_000
+DIRECT_PAIRS = 5_000_000
 # At most this many asked terms are broadcast (some tens of bytes each).
 BROADCAST_ROWS = 100_000
 SALTS = 32
 # Largest k that Spark trims groups to before a shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
 MAP_SIDE_LIMIT = 1000
-# The rarest terms are added up to this many times the wanted pages to find the score floor.
-SEED_FACTOR = 10
 # Far above the noise of sums and the rounding of compared scores.
 FLOOR_MARGIN = 1e-6
 
@@ -440,22 +438,41 @@ class _Scoring:
     live: LiveCheck | None
     scratch: str
 
-    def matches(self, asked: DataFrame) -> DataFrame:
-        """One row per asked term and page holding it, with its ``part`` of the score.
+    def postings_of(self, few: DataFrame) -> DataFrame:
+        """Postings joined to rows that carry a ``term``.
 
-        Few asked terms are broadcast. More are joined by (term, part of the pages), so that a
-        term with very many pages or in very many queries is spread over ``SALTS`` tasks.
+        Few rows are broadcast. More are joined by (term, part of the pages), so that a term
+        with very many pages or in very many queries is spread over ``SALTS`` tasks.
         """
         postings = self.index.postings.drop("bucket")
-        if asked.count() <= BROADCAST_ROWS:
-            joined = postings.join(F.broadcast(asked), "term")
-        else:
-            salt = F.pmod(F.xxhash64(*PAGE_KEY), F.lit(SALTS)).cast("int")
-            every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-            joined = postings.withColumn("_salt", salt).join(
-                asked.withColumn("_salt", every), ["term", "_salt"]
-            )
-        return joined.withColumn("part", F.col("idf") * self.weight)
+        if few.count() <= BROADCAST_ROWS:
+            return postings.join(F.broadcast(few), "term")
+        salt = F.pmod(F.xxhash64(*PAGE_KEY), F.lit(SALTS)).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        return postings.withColumn("_salt", salt).join(few.withColumn("_salt", every), ["term", "_salt"])
+
+    def matches(self, asked: DataFrame) -> DataFrame:
+        """One row per asked term and page holding it, with its ``part`` of the score."""
+        return self.postings_of(asked).withColumn("part", F.col("idf") * self.weight)
+
+    def floors(self, asked: DataFrame, top_k: int) -> DataFrame:
+        """(set_no, floor): a score that the set's final k-th best page reaches for sure.
+
+        The ``top_k`` best pages of each single term do not depend on the set, so they are found
+        once per term. Added up within a set they are lower bounds of those pages' scores.
+        """
+        weighed = self.postings_of(asked.select("term").distinct()).withColumn("weight", self.weight)
+        best = [F.col("weight").desc(), F.col("doc_key"), F.col("page_number")]
+        heads = top_per_group(_only_live(weighed, self.live), ["term"], best, top_k)
+        heads.select("term", *PAGE_KEY, "weight").write.parquet(f"{self.scratch}/heads")
+        heads = self.index.spark.read.parquet(f"{self.scratch}/heads")
+        if heads.count() <= BROADCAST_ROWS:
+            heads = F.broadcast(heads)
+        partial = asked.join(heads, "term").groupBy("set_no", *PAGE_KEY).agg(
+            F.sum(F.col("idf") * F.col("weight")).alias("score")
+        )
+        kth = top_per_group(partial, ["set_no"], best_first(), top_k).where(F.col("rank") == top_k)
+        return kth.select("set_no", (F.col("score") - FLOOR_MARGIN).alias("floor"))
 
     def page_scores(self, asked: DataFrame) -> DataFrame:
         scored = self.matches(asked).groupBy("set_no", *PAGE_KEY).agg(
@@ -466,8 +483,7 @@ class _Scoring:
     def bounded_scores(self, asked: DataFrame, top_k: int, all_terms: bool) -> DataFrame:
         """Scores of all pages that can be among the ``top_k``; exact, without scoring the rest.
 
-        1. The rarest terms of a set, enough to name some pages, give real scores. Their k-th
-           best is a floor: the final k-th best score cannot be below it.
+        1. Each set gets a floor that its final k-th best score cannot be below (``floors``).
         2. The most frequent terms whose bounds together stay below the floor are *optional*: a
            page with no other term cannot get in, so their long lists name no candidates.
         3. Candidates that cannot reach the floor even with all optional terms are dropped.
@@ -476,21 +492,14 @@ class _Scoring:
         If every term is asked for, a page must hold the rarest one: all others are optional.
         """
         spark = self.index.spark
-        rarest_first = Window.partitionBy("set_no").orderBy("df", "term")
         if all_terms:
+            rarest_first = Window.partitionBy("set_no").orderBy("df", "term")
             sorted_terms = asked.withColumn("_nth", F.row_number().over(rarest_first))
             split = sorted_terms.withColumn("optional", F.col("_nth") > 1).withColumn(
                 "floor", F.lit(None).cast("double")
             ).drop("_nth")
         else:
-            before = F.sum("df").over(rarest_first.rowsBetween(Window.unboundedPreceding, -1))
-            seeds = asked.withColumn("_before", F.coalesce(before, F.lit(0))).where(
-                F.col("_before") < top_k * SEED_FACTOR
-            ).drop("_before")
-            best = top_per_group(self.page_scores(seeds), ["set_no"], best_first(), top_k)
-            floor = best.where(F.col("rank") == top_k).select(
-                "set_no", (F.col("score") - FLOOR_MARGIN).alias("floor")
-            )
+            floor = self.floors(asked, top_k)
             frequent_first = Window.partitionBy("set_no").orderBy(F.col("df").desc(), F.col("term").desc())
             reach = F.sum("bound").over(frequent_first.rowsBetween(Window.unboundedPreceding, 0))
             split = asked.join(floor, "set_no", "left").withColumn(
@@ -502,12 +511,13 @@ class _Scoring:
         columns = asked.columns
         candidates = self.page_scores(split.where(~F.col("optional")).select(*columns))
         optional = split.where("optional")
-        extra = optional.groupBy("set_no").agg(
-            F.collect_list(F.struct("term", "idf")).alias("_optional"), F.sum("bound").alias("_reach"),
+        if_optional = lambda value: F.when(F.col("optional"), value)
+        extra = split.groupBy("set_no").agg(
+            F.collect_list(if_optional(F.struct("term", "idf"))).alias("_optional"),
+            F.coalesce(F.sum(if_optional(F.col("bound"))), F.lit(0.0)).alias("_reach"),
             F.first("floor").alias("floor"),
         )
-        joined = candidates.join(extra, "set_no", "left")
-        hopeful = joined.where(
+        hopeful = candidates.join(extra, "set_no").where(
             F.col("floor").isNull() | (F.col("score") + F.col("_reach") >= F.col("floor"))
         )
         probes = hopeful.select(
