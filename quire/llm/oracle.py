@@ -17,5 +17,29 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 """
 
 
+#: Words as arrays, with their text's id.
+_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP7 = f"""
+WITH i AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, list_slice(w, s, s + least(len(w), 10) - 1) AS run
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM i WHERE len(w) > 0)
+), d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+places AS (
+  SELECT doc_id, n, s, list_slice(w, s, s + n - 1) AS run
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM windows))
+), hits AS (SELECT DISTINCT doc_id, item_id, s, n FROM places JOIN windows USING (n, run)),
+words AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS place FROM hits) GROUP BY ALL),
+items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, item_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op3_topk_search": OP3}
+    return {"op3_topk_search": OP3, "op7_decontaminate": OP7}

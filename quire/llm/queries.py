@@ -9,7 +9,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, topk, viterbi
+from quire.llm import bpe, decontaminate, secrets, topk, viterbi
 from quire.llm.common import documents
 from quire.session import ship_package
 
@@ -17,6 +17,18 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = documents(spark, sf_dir).select("doc_id", "text")
+    ratios = secrets.train(secrets.labelled_tokens(spark, texts))
+    found = secrets.scan(texts, ratios)
+    number = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[number(kind).alias(f"n_{kind}") for kind, *_ in secrets.FORMATS],
+        F.sha2(secrets.listed(F.filter("secrets", secrets.is_base)), 256).alias("base_sha256"),
+        secrets.listed(F.col("secrets")).alias("spans"),
+    )
+
+
 def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
@@ -43,8 +55,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return viterbi.count_tokens(documents(spark, sf_dir), unigram_scores())
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.digest(decontaminate.decontaminate(documents(spark, sf_dir), items))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    queries = (op3_topk_search, op4_byte_bpe, op6_token_counts)
+    queries = (op1_secret_scan, op3_topk_search, op4_byte_bpe, op6_token_counts, op7_decontaminate)
 
     def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: query(ship_package(spark), sf_dir)
