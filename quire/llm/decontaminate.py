@@ -11,12 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import ascii_lower, comma_sha256
+from quire.llm.common import WORD, ascii_lower, comma_sha256, keyed, with_found, word_count
 
-#: Words are runs of other than ASCII blanks, controls and punctuation, after A-Z became a-z.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: The same runs in text that still has A-Z.
-RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SPAN = 10
 GRAM = 5
 #: Fingerprints of items that are broadcast (8 bytes each); more are joined by a shuffle.
@@ -106,21 +102,14 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     no windows. Rows are told apart by id and text, so repeated ids keep their own results;
     null ids match each other. Empty ``items`` leave all clean. Items with one id are one item.
     """
-    keyed = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
-    found = occurrences(keyed, items.select(F.col("item_id").cast("string"), "text"))
-    found = found.distinct()
-    hit = (
-        found.select("doc_id", "text_key", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("at"))
-        .distinct().groupBy("doc_id", "text_key").agg(F.count("*").alias("n_hit"))
-    )
-    listed = found.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
-    hits = hit.join(listed, (hit.doc_id.eqNullSafe(listed.doc_id)) & (hit.text_key == listed.text_key)).select(
-        hit.doc_id.alias("_id"), hit.text_key.alias("_key"), "n_hit", "items"
-    )
-    words = F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(RAW_WORD), F.lit(0)))
-    counted = keyed.select("doc_id", "text_key", words.cast("long").alias("n_words"))
-    joined = counted.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
-    return joined.select(
+    rows = keyed(docs, key, text)
+    found = occurrences(rows, items.select(F.col("item_id").cast("string"), "text")).distinct()
+    keys = ["doc_id", "text_key"]
+    places = found.select(*keys, F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("at")).distinct()
+    hit = places.groupBy(*keys).agg(F.count("*").alias("n_hit"))
+    listed = found.groupBy(*keys).agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    counted = rows.select(*keys, word_count("text").alias("n_words"))
+    return with_found(counted, with_found(hit, listed)).select(
         F.col("doc_id").alias(key), "text_key", "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),

@@ -9,7 +9,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, decontaminate, secrets, topk, viterbi
+from quire.llm import bpe, decontaminate, language, licenses, lm, quality, secrets, topk, viterbi
 from quire.llm.common import documents
 from quire.session import ship_package
 
@@ -29,6 +29,17 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Labelled texts of each language that the language model learns from.
+LANGUAGE_ROWS = 300
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = documents(spark, sf_dir)
+    held_out = language.held_out(F.col("doc_id"))
+    learned = language.fit(language.sample(texts.where(~held_out & F.col("doc_id").isNotNull()), LANGUAGE_ROWS))
+    return language.predict(texts, learned).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
@@ -60,8 +71,27 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.decontaminate(documents(spark, sf_dir), items))
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = quality.good(spark.read.parquet(f"{sf_dir}/labels.parquet")).where("is_good").select("doc_id", "is_good").distinct()
+    marked = documents(spark, sf_dir).select("doc_id", "text").join(labels, "doc_id", "left")
+    return lm.score(documents(spark, sf_dir), lm.train(marked, F.col("is_good")))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = documents(spark, sf_dir).select("doc_id", "text")
+    model = quality.fit(texts, quality.good(spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return quality.classify(texts, model).select("doc_id", "weight", "sampling_key", "accepted")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    queries = (op1_secret_scan, op3_topk_search, op4_byte_bpe, op6_token_counts, op7_decontaminate)
+    queries = (
+        op1_secret_scan, op2_language_id, op3_topk_search, op4_byte_bpe, op6_token_counts, op7_decontaminate,
+        op8_lm_score, op9_license_scan, op10_quality_classifier,
+    )
 
     def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: query(ship_package(spark), sf_dir)
