@@ -41,5 +41,26 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+#: All pairs that share a shingle are counted in full; components grow until no link leaves them.
+OP5 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, list_slice(w, s, s + 4) AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS s FROM d WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM sets a JOIN sets b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY ALL
+), half AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * both >= 85 * (x.n + y.n - both)
+), edges AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
+reach AS (SELECT doc_id AS id, doc_id AS other FROM d UNION SELECT id, b FROM reach JOIN edges ON a = other),
+least AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, component_id = doc_id AS kept
+FROM d LEFT JOIN sizes USING (doc_id) JOIN least ON id = doc_id
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op3_topk_search": OP3, "op7_decontaminate": OP7}
+    return {"op3_topk_search": OP3, "op5_near_duplicates": OP5, "op7_decontaminate": OP7}

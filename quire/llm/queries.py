@@ -9,7 +9,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, decontaminate, language, licenses, lm, quality, secrets, topk, viterbi
+from quire.llm import bpe, decontaminate, language, licenses, lm, neardup, quality, secrets, topk, viterbi
 from quire.llm.common import documents
 from quire.session import ship_package
 
@@ -62,6 +62,10 @@ def unigram_scores() -> list[tuple[str, float]]:
     return viterbi.zipf_scores(model.id_to_piece(i) for i in ids)
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return viterbi.count_tokens(documents(spark, sf_dir), unigram_scores())
 
@@ -89,7 +93,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     queries = (
-        op1_secret_scan, op2_language_id, op3_topk_search, op4_byte_bpe, op6_token_counts, op7_decontaminate,
+        op1_secret_scan, op2_language_id, op3_topk_search, op4_byte_bpe, op5_near_duplicates,
+        op6_token_counts, op7_decontaminate,
         op8_lm_score, op9_license_scan, op10_quality_classifier,
     )
 
