@@ -122,6 +122,11 @@ def long_lists(values: np.ndarray, count: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int64)))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value`` worked out once: the optimizer may copy a column into lambdas, which run for each element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def ascii_lower(column: Column) -> Column:
     """A-Z to a-z and nothing else (``lower`` would change other letters too)."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import WORD, ascii_lower, comma_sha256, keyed, with_found, word_count
+from quire.llm.common import WORD, ascii_lower, comma_sha256, keyed, with_found, written
 
 SPAN = 10
 GRAM = 5
@@ -31,19 +31,23 @@ def _up_to(last: Column) -> Column:
 
 
 def _grams(words: str) -> Column:
-    """Array of (hash, -position) of all k-grams."""
+    """All k-grams as one integer each: 32 bits of hash above the position, so the smallest is the first smallest."""
     return F.transform(
         _up_to(F.size(words) - GRAM),
-        lambda i: F.struct(F.xxhash64(*[F.get(words, i + j) for j in range(GRAM)]).alias("hash"), (-i).alias("back")),
+        lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(GRAM)]).bitwiseAND(F.lit(-1 << 32)).bitwiseOR(i.cast("long")),
     )
 
 
 def _winnowed(grams: str) -> Column:
-    """Fingerprints: the smallest hash of every window of k-grams, the last among equals, each once."""
+    """Fingerprints: the smallest k-gram of every window of k-grams, each once."""
     width = SPAN - GRAM + 1
     return F.array_distinct(F.transform(_up_to(F.size(grams) - width), lambda i: F.array_min(F.slice(grams, i + 1, F.lit(width)))))
 
 
+def _hash(fingerprint: Column) -> Column:
+    return F.shiftright(fingerprint, 32)
+
+
 def _same(words: Column) -> list[Column]:
     """Two independent hashes of a run of words: equal runs agree in both."""
     return [F.xxhash64(words).alias("h1"), F.xxhash64(F.lit("second"), words).alias("h2")]
@@ -59,38 +63,28 @@ def _spans_at(spot: Column, length: int) -> Column:
     return F.transform(_up_to(F.size(spot) - length), lambda i: F.struct(i.alias("skip"), *_same(F.slice(spot, i + 1, F.lit(length)))))
 
 
-def occurrences(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc keys, item_id, start, length): every place where a window of an item stands in a text.
+def _spots(docs: DataFrame) -> DataFrame:
+    """(doc keys, hash, n_words, from, spot): fingerprints with the words that the spans around them can reach.
 
-    ``docs`` is (doc_id, text_key, text), ``items`` (item_id, text).
+    One more row for each text has no spot; it carries the number of words.
     """
-    spark = docs.sparkSession
-    keys = ["doc_id", "text_key"]
-    asked = items.select("item_id", _hashes("text").alias("words")).where(F.size("words") > 0)
-    size = F.size("words")
-    windows = _windows(asked, ["item_id"], F.least(size, F.lit(SPAN))).select("item_id", "length", "h1", "h2").distinct()
-    marks = (
-        asked.withColumn("grams", _grams("words")).select(F.explode(_winnowed("grams")).alias("f")).select("f.hash").distinct()
-    )
-    short = [row["n"] for row in asked.where(size < SPAN).select(size.alias("n")).distinct().collect()]  # at most SPAN - 1
-    if marks.count() <= BROADCAST_ROWS:
-        marks = F.broadcast(marks)
-
-    have = docs.select(*keys, _hashes("text").alias("words"))
-    # A fingerprint takes along the words that the spans around it can reach, and no more.
+    have = docs.select("doc_id", "text_key", _hashes("text").alias("words"))
+    found = have.withColumn("grams", _grams("words")).withColumn("found", _winnowed("grams"))
     before = SPAN - GRAM
-    spots = have.withColumn("grams", _grams("words")).withColumn("found", _winnowed("grams"))
-    spots = spots.select(*keys, F.explode(F.transform("found", lambda f: F.struct(
-        f["hash"].alias("hash"), F.greatest(-f["back"] - before, F.lit(0)).alias("from"),
-        F.slice("words", F.greatest(-f["back"] - before, F.lit(0)) + 1,
-                -f["back"] + SPAN - F.greatest(-f["back"] - before, F.lit(0))).alias("spot"),
-    ))).alias("f")).select(*keys, "f.*")
-    hit = spots.join(marks, "hash", "left_semi")
-    near = hit.select(*keys, "from", F.explode(_spans_at(F.col("spot"), SPAN)).alias("s"))
-    near = near.select(*keys, (F.col("from") + F.col("s.skip")).alias("start"), F.lit(SPAN).alias("length"), "s.h1", "s.h2").distinct()
-    for length in short:
-        near = near.unionByName(_windows(have, keys, F.lit(length)))
-    return near.join(windows, ["length", "h1", "h2"]).select(*keys, "item_id", "start", "length")
+    size = F.size("words").cast("long")
+
+    def spot(f: Column) -> Column:
+        at = f.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+        first = F.greatest(at - before, F.lit(0))
+        return F.struct(
+            _hash(f).alias("hash"), F.lit(None).cast("long").alias("n_words"), first.alias("from"),
+            F.slice("words", first + 1, at + SPAN - first).alias("spot"),
+        )
+
+    text = F.struct(
+        F.col("text_key").alias("hash"), size.alias("n_words"), F.lit(None).cast("int").alias("from"), F.lit(None).cast("array<bigint>").alias("spot")
+    )
+    return found.select("doc_id", "text_key", F.explode(F.concat(F.array(text), F.transform("found", spot))).alias("f")).select("doc_id", "text_key", "f.*")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -101,15 +95,32 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     ``items`` are those with such windows, sorted. A null text has no words; a null item text has
     no windows. Rows are told apart by id and text, so repeated ids keep their own results;
     null ids match each other. Empty ``items`` leave all clean. Items with one id are one item.
+
+    The text is read once, and only hits and one small row for each text are shuffled as long
+    as the items' fingerprints are few enough to be broadcast (``BROADCAST_ROWS``, counted);
+    with more of them all fingerprints of texts are shuffled.
     """
-    rows = keyed(docs, key, text)
-    found = occurrences(rows, items.select(F.col("item_id").cast("string"), "text")).distinct()
-    keys = ["doc_id", "text_key"]
+    rows, keys, size = keyed(docs, key, text), ["doc_id", "text_key"], F.size("words")
+    asked = items.select(F.col("item_id").cast("string").alias("item_id"), _hashes("text").alias("words")).where(size > 0)
+    windows = _windows(asked, ["item_id"], F.least(size, F.lit(SPAN))).select("item_id", "length", "h1", "h2").distinct()
+    found = asked.withColumn("grams", _grams("words")).select(F.explode(_winnowed("grams")).alias("f"))
+    marks = found.select(_hash(F.col("f")).alias("hash")).distinct().withColumn("known", F.lit(True))
+    if marks.count() <= BROADCAST_ROWS:
+        marks = F.broadcast(marks)
+    hit = _spots(rows).join(marks, "hash", "left").where("known OR spot IS NULL").drop("hash", "known")
+    hit = written(hit, "decontaminate-hits")
+
+    near = hit.where("spot IS NOT NULL").select(*keys, "from", F.explode(_spans_at(F.col("spot"), SPAN)).alias("s"))
+    near = near.select(*keys, (F.col("from") + F.col("s.skip")).alias("start"), F.lit(SPAN).alias("length"), "s.h1", "s.h2").distinct()
+    for row in asked.where(size < SPAN).select(size.alias("n")).distinct().collect():  # fewer than SPAN rows
+        have = rows.select(*keys, _hashes("text").alias("words"))
+        near = near.unionByName(_windows(have, keys, F.lit(row["n"])))
+    found = near.join(windows, ["length", "h1", "h2"]).select(*keys, "item_id", "start", "length").distinct()
     places = found.select(*keys, F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("at")).distinct()
-    hit = places.groupBy(*keys).agg(F.count("*").alias("n_hit"))
+    n_hit = places.groupBy(*keys).agg(F.count("*").alias("n_hit"))
     listed = found.groupBy(*keys).agg(F.array_sort(F.collect_set("item_id")).alias("items"))
-    counted = rows.select(*keys, word_count("text").alias("n_words"))
-    return with_found(counted, with_found(hit, listed)).select(
+    counted = hit.where("spot IS NULL").select(*keys, "n_words")
+    return with_found(counted, with_found(n_hit, listed)).select(
         F.col("doc_id").alias(key), "text_key", "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),

@@ -51,9 +51,9 @@ WITH RECURSIVE d AS (
   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS s FROM d WHERE len(w) > 0)
 ), sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
 common AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM sets a JOIN sets b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY ALL
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both FROM sets a JOIN sets b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY ALL
 ), half AS (
-  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * both >= 85 * (x.n + y.n - both)
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * n_both >= 85 * (x.n + y.n - n_both)
 ), edges AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
 reach AS (SELECT doc_id AS id, doc_id AS other FROM d UNION SELECT id, b FROM reach JOIN edges ON a = other),
 least AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)

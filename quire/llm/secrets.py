@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.llm.common import let
+
 #: Fixed formats: kind, pattern, group whose length counts, least length. Kinds in sort order.
 FORMATS = (
     ("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
@@ -35,21 +37,24 @@ _CODES = 128
 _BLOCK = 256
 
 
-def _running(lengths: Column) -> Column:
-    """Sums up to and with each element; by blocks, so that a long array costs little more than its length."""
+def _sums(values: Column, start: Column) -> Column:
+    """``start`` plus the sums up to and with each element."""
+    zero = F.struct(start.alias("at"), F.array().cast("array<int>").alias("sums"))
+    return F.aggregate(values, zero, lambda acc, x: F.struct(
+        (acc["at"] + x).alias("at"), F.array_append(acc["sums"], acc["at"] + x).alias("sums")
+    ))["sums"]
 
-    def sums(values: Column, start: Column) -> Column:
-        zero = F.struct(start.alias("at"), F.array().cast("array<int>").alias("sums"))
-        return F.aggregate(
-            values, zero, lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.array_append(acc["sums"], acc["at"] + x).alias("sums"))
-        )["sums"]
 
-    zero = F.lit(0)
-    block = lambda b: F.slice(lengths, b * _BLOCK + 1, F.lit(_BLOCK))
-    numbers = F.sequence(zero, F.greatest(F.floor((F.size(lengths) - 1) / _BLOCK).cast("int"), zero))
-    totals = F.transform(numbers, lambda b: F.aggregate(block(b), zero, lambda acc, x: acc + x))
-    starts = F.concat(F.array(zero), sums(totals, zero))
-    return F.flatten(F.transform(numbers, lambda b: sums(block(b), starts[b])))
+def _with_ends(df: DataFrame, lengths: str, out: str) -> DataFrame:
+    """``out``: running sums of the array ``lengths``; in blocks, so that a long array costs little more than its length."""
+    zero, size = F.lit(0), F.size(lengths)
+    numbers = F.sequence(zero, F.greatest(F.floor((size - 1) / _BLOCK).cast("int"), zero))
+    blocks = F.transform(numbers, lambda b: F.slice(lengths, b * _BLOCK + 1, F.lit(_BLOCK)))
+    df = df.withColumn(out, F.when(F.col(lengths).isNotNull(), blocks))
+    starts = F.concat(F.array(zero), _sums(F.transform(out, lambda x: F.aggregate(x, zero, lambda acc, n: acc + n)), zero))
+    # The last start has no block; arguments of zip_with are worked out once, a lambda's body for each element.
+    ends = F.flatten(F.zip_with(out, F.slice(starts, F.lit(1), F.size(out)), _sums))
+    return df.withColumn(out, F.when(F.col(out).isNotNull(), ends))
 
 
 def spans(df: DataFrame, text: str, pattern: str, group: int, out: str) -> DataFrame:
@@ -58,8 +63,7 @@ def spans(df: DataFrame, text: str, pattern: str, group: int, out: str) -> DataF
     Positions count code points, ends are exclusive, ``value`` is the group's string. Matches and
     the gaps between them cover the text, so their lengths add up to the positions.
     """
-    regex, found = F.lit(pattern), f"_{out}"
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    regex, found, lengths, ends = F.lit(pattern), f"{out}_parts", f"{out}_lengths", f"{out}_ends"
     parts = F.struct(
         F.regexp_extract_all(text, regex, F.lit(0)).alias("matches"),
         F.regexp_extract_all(text, regex, F.lit(group)).alias("values"),
@@ -67,13 +71,14 @@ def spans(df: DataFrame, text: str, pattern: str, group: int, out: str) -> DataF
     )
     df = df.withColumn(found, F.when(F.col(text).rlike(pattern), parts))
     matches, values, gaps = (F.col(found)[name] for name in ("matches", "values", "gaps"))
-    lengths = F.zip_with(gaps, matches, lambda g, m: F.length(g) + F.coalesce(F.length(m), F.lit(0)))
-    df = df.withColumn(f"{found}_ends", F.when(F.col(found).isNotNull(), _running(lengths)))
+    df = df.withColumn(lengths, F.zip_with(F.slice(gaps, F.lit(1), F.size(matches)), matches, lambda g, m: F.length(g) + F.length(m)))
+    df = _with_ends(df, lengths, ends)
     spanned = F.transform(
-        F.arrays_zip(matches.alias("m"), values.alias("v"), F.slice(F.col(f"{found}_ends"), F.lit(1), F.size(matches)).alias("e")),
+        F.arrays_zip(matches.alias("m"), values.alias("v"), F.col(ends).alias("e")),
         lambda x: F.struct((x["e"] - F.length(x["m"])).alias("start"), x["e"].alias("end"), x["v"].alias("value")),
     )
-    return df.withColumn(out, F.coalesce(spanned, none)).drop(found, f"{found}_ends")
+    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    return df.withColumn(out, F.coalesce(spanned, none)).drop(found, lengths, ends)
 
 
 def _formats(df: DataFrame, text: str) -> DataFrame:
@@ -90,7 +95,9 @@ def _formats(df: DataFrame, text: str) -> DataFrame:
 
 def _clear(spans_: Column, other: Column) -> Column:
     """The spans that overlap none of the other ones."""
-    return F.filter(spans_, lambda s: ~F.exists(other, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"])))
+    return let(other, lambda held: F.filter(
+        spans_, lambda s: ~F.exists(held, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"]))
+    ))
 
 
 def labelled_tokens(spark: SparkSession, df: DataFrame, text: str = "text", rows: int = 20_000, generated: int = 2_000) -> DataFrame:
@@ -181,13 +188,19 @@ def listed(found: Column) -> Column:
 
 def masked(text: Column, found: Column) -> Column:
     """``text`` with each run of overlapping spans replaced by one mask; null stays null."""
-    whole = F.aggregate(
-        found,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")),
-        lambda acc, s: F.when(
-            s["start"] >= acc["at"],
-            F.struct(s["end"].alias("at"), F.concat(acc["parts"], F.array(F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(MASK))).alias("parts")),
-        ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["parts"].alias("parts"))),
-        lambda acc: F.concat(F.concat_ws("", acc["parts"]), F.substr(text, acc["at"] + 1, F.length(text))),
-    )
-    return F.when(F.size(found) > 0, whole).otherwise(text)
+
+    def whole(text: Column) -> Column:
+        return F.aggregate(
+            found,
+            F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")),
+            lambda acc, s: F.when(
+                s["start"] >= acc["at"],
+                F.struct(
+                    s["end"].alias("at"),
+                    F.concat(acc["parts"], F.array(F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(MASK))).alias("parts"),
+                ),
+            ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["parts"].alias("parts"))),
+            lambda acc: F.concat(F.concat_ws("", acc["parts"]), F.substr(text, acc["at"] + 1, F.length(text))),
+        )
+
+    return F.when(F.size(found) > 0, let(text, whole)).otherwise(text)
