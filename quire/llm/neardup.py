@@ -34,6 +34,8 @@ PREFIX = COORDINATES - MATCHES + 1
 #: Sets and bytes of text of a block of a family.
 BLOCK_ROWS = 1_000
 BLOCK_BYTES = 8_000_000
+#: Members of families that are broadcast to the texts (some 40 bytes each); with more of them texts are shuffled.
+BROADCAST_ROWS = 500_000
 
 _rng = np.random.default_rng(20_25)
 _FACTORS = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -185,6 +187,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     nodes = sketched.join(heads.select("id", "text_key"), ["id", "text_key"]).dropDuplicates(["id"]).select("id", "tokens")
     family = _families(nodes)
     placed = written(_placed(heads.join(family, "id")), "neardup-blocks")
+    if placed.count() <= BROADCAST_ROWS:
+        placed = F.broadcast(placed)
     found = rows.join(placed, ["id", "text_key"]).groupBy("component", "low", "high").applyInPandas(_within, "a long, b long")
     copies = member.where("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
     joined = components(found.unionByName(copies), "neardup-links")
