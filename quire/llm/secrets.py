@@ -100,24 +100,25 @@ def _clear(spans_: Column, other: Column) -> Column:
     ))
 
 
-def labelled_tokens(spark: SparkSession, df: DataFrame, text: str = "text", rows: int = 20_000, generated: int = 2_000) -> DataFrame:
-    """(token, is_random): labelled samples from about ``rows`` whole texts of ``df``, picked by hash.
+def labelled_tokens(spark: SparkSession, df: DataFrame, text: str = "text", rows: int = 2_000, generated: int = 2_000) -> DataFrame:
+    """(token, is_random): labelled samples from about ``rows`` whole texts of ``df``, picked by hash, copies once.
 
     Random: the strings that the fixed formats find, and ``generated`` digests in each of three
     usual alphabets, so that formats which the sample lacks are covered. Ordinary: the other tokens.
     """
     total = df.count()
     chosen = F.pmod(F.xxhash64(text), F.lit(1_000_003)) < F.lit(max(1, min(1_000_003, 1_000_003 * rows // max(total, 1))))
-    some = df.where(chosen).select(F.col(text).alias("_text")).where("_text IS NOT NULL")
+    some = df.where(chosen).select(F.col(text).alias("_text")).where("_text IS NOT NULL").distinct()
     found = spans(_formats(some, "_text"), "_text", f"{TOKEN}{{{LEAST_IDENTIFIER},}}", 0, "_tokens")
     found = found.select("_base", _clear(F.col("_tokens"), F.col("_base")).alias("_tokens"))
-    label = lambda array, random: found.select(F.explode(array).alias("s")).select(F.col("s.value").alias("token"), F.lit(random).alias("is_random"))
+    labelled = lambda array, random: F.transform(array, lambda x: F.struct(x["value"].alias("token"), F.lit(random).alias("is_random")))
+    seen = found.select(F.explode(F.concat(labelled("_base", True), labelled("_tokens", False))).alias("s")).select("s.*")
     digest = F.unhex(F.sha2(F.col("id").cast("string"), 256))
     made = spark.range(generated).select(
         F.explode(F.array(F.base64(digest), F.translate(F.base64(digest), "+/=", "-_"), F.lower(F.hex(digest)))).alias("token"),
         F.lit(True).alias("is_random"),
     )
-    return label("_base", True).unionByName(label("_tokens", False)).unionByName(made)
+    return seen.unionByName(made)
 
 
 def _codes(token: Column) -> Column:
@@ -131,9 +132,10 @@ def train(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
     two rows for each of 128 * 128 pairs. Without samples every ratio is 0.
     """
     usable = samples.where((F.length("token") > 1) & F.col("is_random").isNotNull())
-    pairs = usable.select("is_random", F.explode(_pairs(F.col("token"))).alias("pair"))
+    tokens = usable.groupBy("is_random", "token").agg(F.count("*").alias("n"))
+    pairs = tokens.select("is_random", "n", F.explode(_pairs(F.col("token"))).alias("pair"))
     counts = {True: [0] * _CODES**2, False: [0] * _CODES**2}
-    for row in pairs.groupBy("is_random", "pair").agg(F.count("*").alias("n")).collect():
+    for row in pairs.groupBy("is_random", "pair").agg(F.sum("n").alias("n")).collect():
         counts[row["is_random"]][row["pair"]] = row["n"]
 
     def logs(of: list[int]) -> list[float]:
@@ -145,10 +147,8 @@ def train(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
 
 def _pairs(token: Column) -> Column:
     """Numbers of the pairs of neighbouring characters."""
-    codes = _codes(token)
-    return F.zip_with(
-        F.slice(codes, F.lit(1), F.length(token) - 1), F.slice(codes, F.lit(2), F.length(token) - 1), lambda a, b: a * _CODES + b
-    )
+    last = F.length(token) - 1
+    return let(_codes(token), lambda c: F.zip_with(F.slice(c, F.lit(1), last), F.slice(c, F.lit(2), last), lambda a, b: a * _CODES + b))
 
 
 def _ratio(token: Column, ratios: Sequence[float]) -> Column:
