@@ -17,8 +17,6 @@ _EXPORTS = {
     "PageRange": "quire.sources.extract",
     "TEXT": "quire.sources.extract",
     "HTML": "quire.sources.extract",
-    "PDF": "quire.sources.pdf",
-    "ocr_engine": "quire.sources.pdf",
     "ingest": "quire.streaming.ingest",
     "stream_files": "quire.streaming.ingest",
     "SearchIndex": "quire.operators.ranking",

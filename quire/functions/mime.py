@@ -12,6 +12,9 @@ PDF_MARK = b"%PDF-"
 PDF_TYPE = "application/pdf"
 UNKNOWN_TYPE = "application/octet-stream"
 
+# Python's own table, apart from the process-wide one that other code may extend.
+_STANDARD = mimetypes.MimeTypes(filenames=())
+
 
 def file_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]*)/*$", 1)
@@ -42,9 +45,9 @@ def mime_from_name(name: Column) -> Column:
     Short compressed forms (``.tgz``) are spelled out first, then a compression suffix is
     set aside and the suffix before it decides. NULL when the extension is not known.
     """
-    types = {ext.lstrip("."): kind for ext, kind in mimetypes.types_map.items()}
-    short = {ext.lstrip("."): full for ext, full in mimetypes.suffix_map.items()}
-    packed = "|".join(sorted(ext.lstrip(".") for ext in mimetypes.encodings_map))
+    types = {ext.lstrip("."): kind for ext, kind in _STANDARD.types_map[True].items()}
+    short = {ext.lstrip("."): full for ext, full in _STANDARD.suffix_map.items()}
+    packed = "|".join(sorted(ext.lstrip(".") for ext in _STANDARD.encodings_map))
 
     stem = F.regexp_replace(name, r"\.[^.]+$", "")
     spelled = F.coalesce(F.concat(stem, _lookup(short, _ending(name))), name)

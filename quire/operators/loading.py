@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from quire.functions.identity import document_id, page_id
 
-# A key with more rows than this is joined apart, against a broadcast of just such keys.
-HOT_ROWS = 1_000_000
-# At most this many ordinals of eight bytes are broadcast.
+# At most this many ordinals of eight bytes are broadcast; with more, Spark joins by a shuffle.
 BROADCAST_ORDINALS = 5_000_000
+# Parts that the rows of one key are dealt over where a key may be hot.
+SALTS = 16
 
 
 def already_loaded(files: DataFrame, documents: DataFrame) -> DataFrame:
@@ -75,18 +75,13 @@ def _listed(ordinals: DataFrame, n: int) -> DataFrame:
 def join_unique(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Equi-join to a side with unique keys, where a few keys may hold most of ``rows``.
 
-    Keys with more than ``HOT_ROWS`` rows are found by a partial aggregate. Their lookup rows
-    are at most rows/HOT_ROWS many, so they are broadcast; all other keys take the usual join.
-    While ``rows`` has no such key this is the usual join and nothing else.
+    The rows of each key are dealt over ``SALTS`` parts by a hash of themselves, and each lookup
+    row is copied to every part, so no key is one task's work, however many hot keys there are.
     """
-    hot = rows.groupBy(key).count().where(F.col("count") > HOT_ROWS).select(key)
-    names = [r[0] for r in hot.limit(10_001).collect()]
-    if not names or len(names) > 10_000:
-        return rows.join(lookup, key, how)
-    is_hot = F.col(key).isin(names)
-    usual = rows.where(~is_hot | F.col(key).isNull()).join(lookup, key, how)
-    apart = rows.where(is_hot).join(F.broadcast(lookup.where(is_hot)), key, how)
-    return usual.unionByName(apart)
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = rows.withColumn("_salt", salt)
+    return salted.join(lookup.withColumn("_salt", every), [key, "_salt"], how).drop("_salt")
 
 
 def page_totals(pages: DataFrame) -> DataFrame:
@@ -119,25 +114,30 @@ def roll_up(files: DataFrame, pages: DataFrame, chunks: DataFrame) -> DataFrame:
     return joined.withColumns({c: F.coalesce(c, F.lit(0).cast(kind)) for c, kind in zero.items()})
 
 
-def load_report(files: DataFrame, loaded: DataFrame, replace: bool = False) -> DataFrame:
+def load_report(
+    files: DataFrame, loaded: DataFrame, replace: bool = False, failed: DataFrame | None = None
+) -> DataFrame:
     """One row per input file. ``pages_needing_ocr`` are blank pages with images, left as they are
     for want of an OCR engine or because it found nothing.
 
     ``loaded`` holds the rolled-up winners. Without ``replace`` a file is ``loaded`` exactly if
     it is its content's winner, a join on the unique ordinal. With ``replace`` every file
-    reports ``loaded`` with its content's numbers.
+    reports ``loaded`` with its content's numbers. ``failed`` are files that have an ``error``
+    of their own, or share their content with a (document_id, error) of ``failed``.
     """
     counts = ["chunk_count", "pages_extracted", "pages_with_text", "pages_ocr", "pages_needing_ocr",
               "total_text_chars", "hidden_layers_revealed"]
+    if failed is not None:
+        files = join_unique(files, failed.withColumnRenamed("error", "_error"), "document_id")
+        files = files.withColumn("error", F.coalesce("error", "_error")).drop("_error")
     if replace:
         joined = join_unique(files, loaded.select("document_id", *counts), "document_id")
     else:
         joined = files.join(loaded.select("ordinal", *counts), "ordinal", "left")
     is_loaded = F.col("pages_extracted").isNotNull()
+    status = F.when(F.col("error").isNotNull(), "failed").when(is_loaded, "loaded").otherwise("skipped")
     return joined.select(
-        "ordinal", "file_name", "document_id",
-        F.when(is_loaded, "loaded").otherwise("skipped").alias("status"),
-        "file_size_bytes",
+        "ordinal", "file_name", "document_id", status.alias("status"), "file_size_bytes",
         F.coalesce("chunk_count", F.lit(0)).alias("chunk_count"),
         F.coalesce("pages_extracted", "page_count", F.lit(0)).alias("page_count"),
         F.coalesce("pages_with_text", F.lit(0)).alias("pages_with_text"),
@@ -145,18 +145,28 @@ def load_report(files: DataFrame, loaded: DataFrame, replace: bool = False) -> D
         F.coalesce("pages_needing_ocr", F.lit(0)).alias("pages_needing_ocr"),
         F.coalesce("total_text_chars", F.lit(0).cast("long")).alias("total_text_chars"),
         F.coalesce("hidden_layers_revealed", F.lit(False)).alias("hidden_layers_revealed"),
+        "error",
     )
 
 
-def dry_run(files: DataFrame, pages: DataFrame) -> DataFrame:
-    """What a load would find, per input file. ``pages`` carry the ordinal as their document id."""
-    totals = page_totals(pages).withColumn("ordinal", F.col("document_id").cast("long")).drop("document_id")
-    return files.join(totals, "ordinal", "left").select(
+def dry_run(
+    files: DataFrame, pages: DataFrame, failed: DataFrame | None = None, reveal_hidden_layers: bool = False
+) -> DataFrame:
+    """What a load would find, per input file. ``pages`` and ``failed`` carry the ordinal as their document id."""
+    by_ordinal = lambda rows: rows.withColumn("ordinal", F.col("document_id").cast("long")).drop("document_id")
+    joined = files.join(by_ordinal(page_totals(pages)), "ordinal", "left")
+    if failed is not None:
+        joined = joined.join(by_ordinal(failed).withColumnRenamed("error", "_error"), "ordinal", "left")
+        joined = joined.withColumn("error", F.coalesce("error", "_error"))
+    nothing = F.array().cast("array<string>")
+    return joined.select(
         "ordinal", "file_name", "file_size_bytes", "page_count",
         F.coalesce("pages_with_text", F.lit(0)).alias("pages_with_text"),
         F.coalesce("pages_ocr", F.lit(0)).alias("pages_ocr"),
         F.coalesce("total_text_chars", F.lit(0).cast("long")).alias("total_text_chars"),
         "hidden_layer_names",
+        F.when(F.lit(reveal_hidden_layers), F.col("hidden_layer_names")).otherwise(nothing).alias("revealed_layer_names"),
+        "error",
     )
 
 

@@ -147,6 +147,10 @@ class SearchIndex:
             words = [stem_english(w) for w in words]
         return list(dict.fromkeys(words))
 
+    def only_buckets(self, table: DataFrame, rows: DataFrame) -> DataFrame:
+        """Rows in the buckets of ``rows``, as literals that prune folders; at most ``MAX_BUCKETS`` numbers."""
+        return table.where(F.col("bucket").isin(sorted(row[0] for row in rows.select("bucket").distinct().collect())))
+
     def only_terms(self, table: DataFrame, terms: list[str]) -> DataFrame:
         """Rows of these terms, by literals that prune folders and row groups."""
         buckets = sorted({zlib.crc32(t.encode()) % self.settings.buckets for t in terms})
@@ -250,8 +254,10 @@ def score_pages(
             "set_no long, n_terms int, term string, df long, idf double, max_tf int, min_len int",
         )
         bound = F.col("idf") * tf_weight(F.col("max_tf"), F.col("min_len"), avg_len, k, b)
-        asked = asked.withColumn("bound", bound).drop("max_tf", "min_len")
-        scoring = _Scoring(index, weight, live, shared_dir(index.spark, "ranked"))
+        asked = asked.withColumns({"bound": bound, "bucket": bucket_of(F.col("term"), index.settings.buckets)})
+        postings = index.only_terms(index.postings, sorted(found))
+        scoring = _Scoring(index, weight, live, shared_dir(index.spark, "ranked"), postings)
+        asked = asked.drop("max_tf", "min_len")
         scored = scoring.bounded_scores(asked, best, all_terms)
     else:
         weights = F.create_map(*[F.lit(v) for t, values in found.items() for v in (t, values[1])])
@@ -384,9 +390,12 @@ def search_ranked_batch(
     k: float = BM25_K,
     b: float = BM25_B,
     direct_pairs: int = DIRECT_PAIRS,
+    pages: DataFrame | None = None,
 ) -> DataFrame:
     """Ranked search for a table (query_id, query): query_id, rank, file_name, page_number, score, document_id.
 
+    With ``pages`` also the leading snippet of each page; it is cut where the page is read.
+
     Queries with the same terms are scored once, however many copies there are. The number of
     (query, page) pairs that plain scoring makes is known beforehand from the term statistics;
     above ``direct_pairs`` the scoring that rules out pages by bounds is used. Both are exact.
@@ -403,16 +412,18 @@ def search_ranked_batch(
 
     n_pages, avg_len = F.lit(stats.n_pages), F.lit(float(stats.avg_len or 1.0))
     asked = sets.withColumn("term", F.explode(F.split("terms_key", " ")))
+    asked = asked.withColumn("bucket", bucket_of(F.col("term"), stats.buckets))
     bound = F.col("idf") * tf_weight(F.col("max_tf"), F.col("min_len"), avg_len, k, b)
     asked = (
-        asked.join(index.terms.drop("bucket"), "term")
+        asked.join(index.only_buckets(index.terms, asked), ["bucket", "term"])
         .withColumn("idf", idf(F.col("df"), n_pages))
-        .select("set_no", "n_terms", "term", "df", "idf", bound.alias("bound"))
+        .select("set_no", "n_terms", "bucket", "term", "df", "idf", bound.alias("bound"))
     )
     asked.write.parquet(f"{scratch}/terms")
     asked = spark.read.parquet(f"{scratch}/terms")
 
-    scoring = _Scoring(index, tf_weight(F.col("tf"), F.col("page_len"), avg_len, k, b), live, scratch)
+    weight = tf_weight(F.col("tf"), F.col("page_len"), avg_len, k, b)
+    scoring = _Scoring(index, weight, live, scratch, index.only_buckets(index.postings, asked))
     pairs = asked.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
     if pairs <= direct_pairs:
         scored = scoring.page_scores(asked)
@@ -424,32 +435,38 @@ def search_ranked_batch(
     numbered = asking.select("query_id", "terms_key").join(sets.select("terms_key", "set_no"), "terms_key")
     answered = numbered.join(top.drop("n_terms", "matched"), "set_no")
     named = answered.join(documents.select("document_id", "file_name"), "document_id")
-    return named.select(
-        "query_id", "rank", "file_name", "page_number", F.round("score", 3).alias("score"), "document_id"
-    )
+    columns = ["query_id", "rank", "file_name", "page_number", F.round("score", 3).alias("score"), "document_id"]
+    if pages is not None:
+        heads = pages.select("document_id", "page_number", text.snippet_head(F.col("page_text")).alias("snippet"))
+        named = named.join(heads, ["document_id", "page_number"])
+        columns.append("snippet")
+    return named.select(*columns)
 
 
 @dataclass(frozen=True)
 class _Scoring:
-    """Scores of pages for many term sets. Terms come as (set_no, n_terms, term, df, idf, bound)."""
+    """Scores of pages for many term sets. Terms come as (set_no, n_terms, bucket, term, df, idf, bound).
+
+    ``postings`` are pruned to the folders of the asked terms beforehand.
+    """
 
     index: SearchIndex
     weight: Column
     live: LiveCheck | None
     scratch: str
+    postings: DataFrame
 
     def postings_of(self, few: DataFrame) -> DataFrame:
-        """Postings joined to rows that carry a ``term``.
+        """Postings joined to rows that carry ``bucket`` and ``term``.
 
         Few rows are broadcast. More are joined by (term, part of the pages), so that a term
         with very many pages or in very many queries is spread over ``SALTS`` tasks.
         """
-        postings = self.index.postings.drop("bucket")
         if few.count() <= BROADCAST_ROWS:
-            return postings.join(F.broadcast(few), "term")
+            return self.postings.join(F.broadcast(few), ["bucket", "term"])
         salt = F.pmod(F.xxhash64(*PAGE_KEY), F.lit(SALTS)).cast("int")
         every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        return postings.withColumn("_salt", salt).join(few.withColumn("_salt", every), ["term", "_salt"])
+        return self.postings.withColumn("_salt", salt).join(few.withColumn("_salt", every), ["bucket", "term", "_salt"])
 
     def matches(self, asked: DataFrame) -> DataFrame:
         """One row per asked term and page holding it, with its ``part`` of the score."""
@@ -461,7 +478,7 @@ class _Scoring:
         The ``top_k`` best pages of each single term do not depend on the set, so they are found
         once per term. Added up within a set they are lower bounds of those pages' scores.
         """
-        weighed = self.postings_of(asked.select("term").distinct()).withColumn("weight", self.weight)
+        weighed = self.postings_of(asked.select("bucket", "term").distinct()).withColumn("weight", self.weight)
         best = [F.col("weight").desc(), F.col("doc_key"), F.col("page_number")]
         heads = top_per_group(_only_live(weighed, self.live), ["term"], best, top_k)
         heads.select("term", *PAGE_KEY, "weight").write.parquet(f"{self.scratch}/heads")
@@ -523,9 +540,7 @@ class _Scoring:
         probes = hopeful.select(
             "set_no", "n_terms", *PAGE_KEY, "score", "matched", F.inline_outer("_optional")
         )
-        listed = self.index.postings.drop("bucket").join(
-            optional.select("term").distinct(), "term", "left_semi"
-        )
+        listed = self.postings.join(optional.select("bucket", "term").distinct(), ["bucket", "term"], "left_semi")
         found = probes.join(listed, ["term", *PAGE_KEY], "left")
         part = F.when(F.col("tf").isNotNull(), F.col("idf") * self.weight)
         return (

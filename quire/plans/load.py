@@ -16,9 +16,9 @@ from quire.operators import loading, ocr
 from quire.operators.checks import conform
 from quire.operators.chunks import DEFAULT_CHUNK_BYTES, check_chunk_size, cut_chunks
 from quire.plans.store import CHUNKS, DOCUMENTS, PAGES, RETIRED, PageStore
-from quire.session import spread
+from quire.session import shared_dir, spread
 from quire.sources import files as sources
-from quire.sources.extract import TEXT, Plugin, extract_pages, pages_of_text
+from quire.sources.extract import TEXT, Plugin, failures, good_pages, pages_of_text, raw_pages
 
 
 @dataclass(frozen=True)
@@ -58,21 +58,44 @@ def describe_files(files: DataFrame, options: LoadOptions) -> DataFrame:
     return described.drop("content", "head")
 
 
-def _extract(files: DataFrame, options: LoadOptions) -> DataFrame:
+def _extract(
+    files: DataFrame, about: DataFrame, options: LoadOptions, staging: str
+) -> tuple[DataFrame, DataFrame | None]:
+    """Pages of the files, recognised text included, and (document_id, error) of the files that failed.
+
+    ``about`` has what an OCR engine may be told of a document. A plug-in's rows are written to
+    ``staging`` first, so that it runs once.
+    """
+    spark, failed = files.sparkSession, None
     if options.page_chars is not None:
-        return pages_of_text(files, options.page_chars or None, options.max_pages)
-    return extract_pages(
-        files, options.plugin, options.max_pages, options.reveal_hidden_layers, options.opener
-    )
+        pages = pages_of_text(files, options.page_chars or None, options.max_pages)
+    else:
+        raw = raw_pages(files, options.plugin, options.max_pages, options.reveal_hidden_layers, options.opener)
+        raw.write.parquet(f"{staging}/raw_pages")
+        raw = spark.read.parquet(f"{staging}/raw_pages")
+        failures(raw).write.parquet(f"{staging}/failed")
+        failed = spark.read.parquet(f"{staging}/failed")
+        pages = good_pages(raw, failed)
+    if options.ocr_engine:
+        pages.write.parquet(f"{staging}/pages")
+        pages = spark.read.parquet(f"{staging}/pages")
+        extra = [c for c in options.ocr_payload if c not in pages.columns]
+        wanted = ocr.ocr_candidates(pages)
+        if extra:
+            wanted = wanted.join(about.select("document_id", *extra), "document_id")
+        pages = ocr.merge_ocr(pages, ocr.run_ocr(wanted, options.ocr_engine, list(options.ocr_payload)))
+    return pages, failed
 
 
 def load_files(store: PageStore, files: DataFrame, options: LoadOptions = LoadOptions()) -> DataFrame:
     """Load file rows; returns the report, one row per input file.
 
     Bytes stored already are skipped before anything is extracted, or with ``replace`` loaded
-    anew. Documents are written last, which commits the load; a load that fails leaves nothing
-    behind. What later steps need is written to the store's own folder, so the loss of an
-    executor never repeats a decision with a different outcome.
+    anew. A file that cannot be read or extracted costs only itself: it is reported as
+    ``failed`` with its error, and what the store had of it stays. Documents are written last,
+    which commits the load; a load that breaks off before leaves nothing behind. What later
+    steps need is written to the store's own folder, so the loss of an executor never repeats a
+    decision with a different outcome.
     """
     check_chunk_size(options.chunk_bytes)
     spark, started = store.spark, time.monotonic()
@@ -83,13 +106,17 @@ def load_files(store: PageStore, files: DataFrame, options: LoadOptions = LoadOp
     try:
         describe_files(files, options).write.parquet(f"{staging}/files")
         staged = spark.read.parquet(f"{staging}/files")
-        chosen = loading.files_to_load(staged, store.documents(), options.replace)
+        chosen = loading.files_to_load(staged.where("error IS NULL"), store.documents(), options.replace)
         chosen.write.parquet(f"{staging}/chosen")
         chosen = spark.read.parquet(f"{staging}/chosen")
-        loaded = _write_load(store, load_id, staging, files, chosen, options)
-        report = loading.load_report(staged, loaded, options.replace)
+        loaded, failed = _write_load(store, load_id, staging, files, chosen, options)
+        report = loading.load_report(staged, loaded, options.replace, failed)
         target = f"{store.root}/reports/{load_id}"
         report.withColumn("load_seconds", F.lit(time.monotonic() - started)).write.parquet(target)
+        if loaded.isEmpty():
+            store.discard(load_id)
+        else:
+            store.write(DOCUMENTS, conform(loaded, schemas.DOCUMENTS), load_id)
     except Exception:
         store.discard(load_id)
         raise
@@ -97,30 +124,18 @@ def load_files(store: PageStore, files: DataFrame, options: LoadOptions = LoadOp
     return spark.read.parquet(target)
 
 
-def _write_load(store, load_id, staging, files, chosen, options) -> DataFrame:
-    """Write the rows of one load; returns its documents with their ordinals and totals."""
+def _write_load(store, load_id, staging, files, chosen, options) -> tuple[DataFrame, DataFrame | None]:
+    """Write all rows of one load but its documents; returns these, and the files that failed."""
     spark = store.spark
     if chosen.isEmpty():
-        empty = chosen.withColumns({
-            c: F.lit(0) for c in (
-                "chunk_count", "pages_extracted", "pages_with_text", "pages_ocr", "pages_needing_ocr", "total_text_chars"
-            )
-        })
-        return empty.withColumn("hidden_layers_revealed", F.lit(False))
+        return _rolled(chosen, store.pages().limit(0), store.chunks().limit(0), options), None
     source = chosen
     if "content" in files.columns:
         source = loading.chosen_content(files, spark.read.parquet(f"{staging}/files"), chosen)
 
-    pages = _extract(source, options)
-    if options.ocr_engine:
-        pages.write.parquet(f"{staging}/pages")
-        pages = spark.read.parquet(f"{staging}/pages")
-        extra = [c for c in options.ocr_payload if c not in pages.columns]
-        wanted = ocr.ocr_candidates(pages)
-        if extra:
-            wanted = wanted.join(chosen.select("document_id", *extra), "document_id")
-        pages = ocr.merge_ocr(pages, ocr.run_ocr(wanted, options.ocr_engine, list(options.ocr_payload)))
-
+    pages, failed = _extract(source, chosen, options, staging)
+    if failed is not None:
+        chosen, source = (rows.join(failed, "document_id", "left_anti") for rows in (chosen, source))
     if "content" in files.columns:
         chunks = cut_chunks(source, options.chunk_bytes)
     else:
@@ -134,7 +149,16 @@ def _write_load(store, load_id, staging, files, chosen, options) -> DataFrame:
         )
         stored_pages, stored_chunks = (job.result() for job in both)
 
-    rolled = loading.roll_up(chosen, stored_pages, stored_chunks).withColumns({
+    _rolled(chosen, stored_pages, stored_chunks, options).write.parquet(f"{staging}/rolled")
+    rolled = spark.read.parquet(f"{staging}/rolled")
+    if options.replace:
+        store.write(RETIRED, rolled.where("replaces").select("document_id"), load_id)
+    return rolled, failed
+
+
+def _rolled(chosen: DataFrame, pages: DataFrame, chunks: DataFrame, options: LoadOptions) -> DataFrame:
+    """Document rows of the chosen files."""
+    return loading.roll_up(chosen, pages, chunks).withColumns({
         "hidden_layers_revealed": F.lit(options.reveal_hidden_layers) & (F.size("hidden_layer_names") > 0),
         "chunk_size_bytes": F.lit(options.chunk_bytes),
         "page_count": F.coalesce("page_count", "pages_extracted"),
@@ -142,12 +166,6 @@ def _write_load(store, load_id, staging, files, chosen, options) -> DataFrame:
         "loaded_by": F.current_user(),
         "loader_version": F.lit(__version__),
     })
-    rolled.write.parquet(f"{staging}/rolled")
-    rolled = spark.read.parquet(f"{staging}/rolled")
-    if options.replace:
-        store.write(RETIRED, rolled.where("replaces").select("document_id"), load_id)
-    store.write(DOCUMENTS, conform(rolled, schemas.DOCUMENTS), load_id)
-    return rolled
 
 
 def load_and_index(
@@ -161,7 +179,18 @@ def load_and_index(
 
 
 def dry_run(files: DataFrame, options: LoadOptions = LoadOptions()) -> DataFrame:
-    """What a load would find in each input file; writes nothing."""
-    described = describe_files(files, options)
-    by_ordinal = files.withColumn("document_id", F.col("ordinal").cast("string"))
-    return loading.dry_run(described, _extract(by_ordinal, options))
+    """What a load would find in each input file, text recognition included; nothing is stored.
+
+    The described files are written to the shared folder and extracted from there, so that both
+    halves of the answer speak of the same numbered files.
+    """
+    staging = shared_dir(files.sparkSession, "dry-run")
+    if "content" in files.columns:
+        files = spread(files)
+    describe_files(files, options).write.parquet(f"{staging}/files")
+    described = files.sparkSession.read.parquet(f"{staging}/files")
+    named = F.col("ordinal").cast("string")
+    about = described.withColumn("document_id", named)
+    source = files.withColumn("document_id", named) if "content" in files.columns else about
+    pages, failed = _extract(source, about, options, staging)
+    return loading.dry_run(described, pages, failed, options.reveal_hidden_layers)

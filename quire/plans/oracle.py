@@ -117,7 +117,7 @@ SELECT file_name, page_number, round(score, {decimals}) AS score, substr(page_te
 
 _BATCH = f"""WITH {_PAGES}, {_index()},
 asked AS (
-  SELECT item_id AS query_id, array_to_string(string_split_regex(text, '\\s+')[1:5], ' ') AS query FROM benchmark),
+  SELECT item_id AS query_id, text AS query FROM benchmark),
 asked_terms AS (
   SELECT DISTINCT query_id, term
     FROM (SELECT query_id, unnest({_SPLIT.format('query')}) AS term FROM asked) WHERE term <> ''),
@@ -129,8 +129,8 @@ scored AS (
 ranked AS (
   SELECT *, row_number() OVER (
            PARTITION BY query_id ORDER BY round(score, 9) DESC, document_id, page_number) AS rank FROM scored)
-SELECT query_id, rank, file_name, page_number, round(score, 3) AS score, document_id
-  FROM ranked JOIN docs USING (document_id) WHERE rank <= 10"""
+SELECT query_id, rank, file_name, page_number, round(score, 3) AS score, document_id, substr(page_text, 1, 300) AS snippet
+  FROM ranked JOIN doc_pages USING (document_id, page_number) WHERE rank <= 10"""
 
 
 # The forms that share the stems of the stemmed query; all other words keep their own form here.
@@ -300,6 +300,20 @@ def statements() -> dict[str, str]:
                    pages AS page_count, coalesce(with_text, 0) AS pages_with_text, 0 AS pages_ocr,
                    0 AS pages_needing_ocr, chars AS total_text_chars, false AS hidden_layers_revealed
               FROM named JOIN r USING (document_id) LEFT JOIN t USING (document_id)""",
+        "file_scan": """WITH listing AS (
+              SELECT '/mixed/' || doc_id || ['.txt', '.PDF', '', '.q9', '', '.tgz', '.html.gz'][doc_id % 7 + 1] AS file_path,
+                     doc_id || ['.txt', '.PDF', '', '.q9', '', '.tgz', '.html.gz'][doc_id % 7 + 1] AS file_name,
+                     strlen(CASE WHEN doc_id % 7 = 4 THEN '%PDF-1.7 ' || text ELSE text END) AS file_size_bytes FROM documents),
+            given AS (SELECT unnest([0, 1, 2, 3])::INTEGER AS given, unnest(['/mixed/10.q9', '/mixed/1.PDF', '/mixed/2', '/mixed/10.q9']) AS file_path)
+            SELECT given, file_path, file_name, file_size_bytes FROM listing JOIN given USING (file_path)
+            UNION ALL SELECT NULL, file_path, file_name, file_size_bytes FROM listing WHERE lower(file_name) LIKE '%.pdf'""",
+        "load_failures": """WITH f AS (
+              SELECT doc_id AS ordinal, text, doc_id % 50 = 7 AS unread FROM documents),
+            w AS (SELECT text, min(ordinal) FILTER (WHERE NOT unread) AS first FROM f GROUP BY 1)
+            SELECT ordinal, CASE WHEN unread OR contains(text, 'License') THEN 'failed'
+                WHEN ordinal = first THEN 'loaded' ELSE 'skipped' END AS status,
+                CASE WHEN unread THEN 'ValueError: damaged' WHEN contains(text, 'License') THEN 'ValueError: unreadable page' END AS error
+              FROM f JOIN w USING (text)""",
         "load_report": f"""WITH {_PAGES}, t AS ({with_text}), r AS ({_FULL_REPORT}),
             firsts AS (SELECT ordinal, true AS is_first FROM docs)
             SELECT ordinal, file_name, document_id,

@@ -122,13 +122,14 @@ def streamed_store(spark: SparkSession, sf_dir: str) -> PageStore:
 # --- files ------------------------------------------------------------------------------
 
 
+#: Paths named beforehand, one of them twice; the others come from the folder.
+NAMED = ["/mixed/10.q9", "/mixed/1.PDF", "/mixed/2", "/mixed/10.q9"]
+
+
 def file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table files themselves, listed and hashed as binary files."""
-    ship_package(spark)
-    listed = files.with_hash(files.scan_files(spark, source_dir=sf_dir, suffix="parquet"))
-    return files.with_identity(listed).select(
-        "file_name", "file_extension", "mime_type", "file_size_bytes", "sha256_hex", "document_id"
-    )
+    """Which files of a listing a load takes: named paths first, then the folder's PDF files."""
+    chosen = files.choose_files(adapters.mixed_file_rows(spark, sf_dir), NAMED, "/mixed", "pdf")
+    return chosen.select("given", "file_path", "file_name", "file_size_bytes")
 
 
 def file_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -338,19 +339,40 @@ def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report of the first load of all files."""
     store = loaded_store(spark, sf_dir)
     first = store.snapshot().loads[0]
-    return spark.read.parquet(f"{store.root}/reports/{first}").drop("load_seconds")
+    return spark.read.parquet(f"{store.root}/reports/{first}").drop("load_seconds", "error")
 
 
 def replace_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report of a replacing load of all files."""
     store = replaced_store(spark, sf_dir)
     last = store.snapshot().loads[-1]
-    return spark.read.parquet(f"{store.root}/reports/{last}").drop("load_seconds")
+    return spark.read.parquet(f"{store.root}/reports/{last}").drop("load_seconds", "error")
+
+
+def _damaged(stream, name: str) -> dict:
+    if int(name.split(".")[0]) % 50 == 7:
+        raise ValueError("damaged")
+    return {}
+
+
+def _unreadable(stream, wanted):
+    text = stream.read().decode("utf-8")
+    if "License" in text:
+        raise ValueError("unreadable page")
+    yield {"page_number": 1, "page_text": text}
+
+
+def load_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a load in which some files cannot be inspected and others not extracted."""
+    ship_package(spark)
+    store = PageStore(spark, shared_dir(spark, "store-failures"))
+    report = load_files(store, adapters.file_rows(spark, sf_dir), LoadOptions(plugin=Plugin(_unreadable, _damaged)))
+    return report.select("ordinal", "status", "error")
 
 
 def dry_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dry_run(spread(adapters.file_rows(spark, sf_dir)), OPTIONS)
-    return found.drop("hidden_layer_names")
+    return found.drop("hidden_layer_names", "revealed_layer_names", "error")
 
 
 # --- listings and substring search ----------------------------------------------------------
@@ -469,6 +491,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "load_tables": load_tables,
         "document_rollup": document_rollup,
         "load_report": load_report,
+        "load_failures": load_failures,
         "dry_run_summary": dry_run_summary,
         "stream_ingest": stream_ingest,
         "document_metadata": document_metadata,

@@ -242,9 +242,9 @@ class PageStore:
         loads = self.spark.createDataFrame([(x,) for x in at.loads], "load_id string")
         loads.coalesce(1).write.parquet(f"{version}/loads")
         index = ranking.build_index(pages, version, stemmer, stop_words)
-        for old in self._folders.matching(f"{base}/version=*"):
-            if old.split("version=")[1] < version.split("version=")[1]:
-                self._folders.remove(old)
+        # The version before this one stays, as readers may still hold it.
+        for old in sorted(self._folders.matching(f"{base}/version=*"))[:-2]:
+            self._folders.remove(old)
         return index.settings.n_pages
 
     def _next_version(self, base: str) -> int:
@@ -301,7 +301,7 @@ class PageStore:
         at, index = self.snapshot(), self.index(location)
         return ranking.search_ranked_batch(
             index, self.documents(at), queries, top_k, all_terms,
-            self.live_check(index, at), **parameters,
+            self.live_check(index, at), pages=self.pages(at), **parameters,
         )
 
     def list_documents(self) -> DataFrame:

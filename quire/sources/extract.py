@@ -97,7 +97,24 @@ def extract_pages(
     reveal_hidden_layers: bool = False,
     opener: Callable[[str], BinaryIO] = open_uri,
 ) -> DataFrame:
-    """Run a plug-in over file rows (document_id with file_path or content)."""
+    """Run a plug-in over file rows (document_id with file_path or content); a failing file fails the job."""
+    raw = raw_pages(files, plugin, max_pages, reveal_hidden_layers, opener)
+    failed = F.raise_error(F.concat(F.col("document_id"), F.lit(": "), F.col("error"))).cast("string")
+    checked = raw.withColumn("document_id", F.when(F.col("error").isNull(), F.col("document_id")).otherwise(failed))
+    return finish_pages(checked.drop("error"))
+
+
+def raw_pages(
+    files: DataFrame,
+    plugin: Plugin,
+    max_pages: int | None = None,
+    reveal_hidden_layers: bool = False,
+    opener: Callable[[str], BinaryIO] = open_uri,
+) -> DataFrame:
+    """What a plug-in reports, with ``error``: a file that fails has one more row with its message and no page number.
+
+    Its pages before the failure stand beside that row; ``good_pages`` leaves them out.
+    """
     has_content = "content" in files.columns
     source = "content" if has_content else "file_path"
     last = F.lit(max_pages).cast("int")
@@ -117,7 +134,7 @@ def extract_pages(
         schema = pa.schema([
             ("document_id", pa.string()), ("page_number", pa.int32()), ("page_label", pa.string()),
             ("width_pt", pa.float64()), ("height_pt", pa.float64()), ("rotation", pa.int32()),
-            ("image_count", pa.int32()), ("page_text", pa.string()),
+            ("image_count", pa.int32()), ("page_text", pa.string()), ("error", pa.string()),
         ])
         held: list[dict] = []
         for batch in batches:
@@ -126,16 +143,30 @@ def extract_pages(
                     batch.column("_first")[i].as_py(), batch.column("_last")[i].as_py(), reveal_hidden_layers
                 )
                 document = batch.column("document_id")[i].as_py()
-                with _open_row(batch, i, has_content, opener) as stream:
-                    for page in plugin.pages(stream, wanted):
-                        held.append({key: page.get(key) for key in keys} | {"document_id": document})
-                        if len(held) == PAGES_PER_BATCH:
-                            yield pa.RecordBatch.from_pylist(held, schema=schema)
-                            held = []
+                try:
+                    with _open_row(batch, i, has_content, opener) as stream:
+                        for page in plugin.pages(stream, wanted):
+                            if page["page_number"] not in wanted:
+                                continue
+                            held.append({key: page.get(key) for key in keys} | {"document_id": document})
+                            if len(held) == PAGES_PER_BATCH:
+                                yield pa.RecordBatch.from_pylist(held, schema=schema)
+                                held = []
+                except Exception as exc:
+                    held.append({"document_id": document, "error": f"{type(exc).__name__}: {exc}"})
         if held:
             yield pa.RecordBatch.from_pylist(held, schema=schema)
 
-    return finish_pages(units.mapInArrow(extracted, RAW_PAGE))
+    return units.mapInArrow(extracted, f"{RAW_PAGE}, error string")
+
+
+def failures(raw: DataFrame) -> DataFrame:
+    """(document_id, error) of files whose extraction failed, one row each."""
+    return raw.where("error IS NOT NULL").groupBy("document_id").agg(F.min("error").alias("error"))
+
+
+def good_pages(raw: DataFrame, failed: DataFrame) -> DataFrame:
+    return finish_pages(raw.where("error IS NULL").drop("error").join(failed, "document_id", "left_anti"))
 
 
 # --- plug-ins ---------------------------------------------------------------------------

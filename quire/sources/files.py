@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Callable, Iterator
 from typing import BinaryIO
 
@@ -21,6 +22,7 @@ from quire.functions import identity, mime
 from quire.functions.pdf_dates import parse_pdf_date
 from quire.operators.chunks import DEFAULT_CHUNK_BYTES, check_chunk_size
 from quire.schemas import FILE_INFO
+from quire.session import shared_dir
 
 READ_BLOCK_BYTES = 4 * 1024 * 1024
 TASK_BYTES = 512 * 1024 * 1024
@@ -48,31 +50,59 @@ def scan_files(
     """Explicit paths first, in the given order, then the directory's files with the suffix.
 
     The directory is listed without its sub-folders, the suffix matches in any case, and its
-    files come sorted by path. Explicit paths are taken whatever their suffix. Only listing
-    columns are read here, never the bytes.
+    files come sorted by path. Explicit paths are taken whatever their suffix, and literally:
+    no character of theirs is a wildcard. One that names no file is an error. Only listing
+    columns are read here, never the bytes; the numbered listing is written to the shared
+    folder, so that every use of the result has the same numbers.
     """
-    listed = []
+    if not paths and not source_dir:
+        raise ValueError("no files given: name paths or a source directory")
+    listing = None
     if paths:
-        keys = [(_path_key_of(path), i) for i, path in enumerate(paths)]
-        given = spark.createDataFrame(keys, "_key string, _given int")
-        rows = spark.read.format("binaryFile").load(sorted(set(paths)))
-        rows = _file_columns(rows).unionByName(_empty_files(spark, sorted(set(paths))))
-        # A path named twice is two inputs, as every named path gets its own load result.
-        listed.append(rows.withColumn("_key", _path_key("file_path")).join(given, "_key").drop("_key"))
+        named = sorted({literal_path(path) for path in paths})
+        rows = spark.read.format("binaryFile").load(named)
+        listing = _file_columns(rows).unionByName(_empty_files(spark, sorted(set(paths))))
     if source_dir:
-        either_case = "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix)
-        rows = (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", f"*.{either_case}")
-            .option("recursiveFileLookup", "false")
-            .load(source_dir)
-        )
+        rows = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(literal_path(source_dir))
         in_dir = _file_columns(rows).unionByName(_empty_files(spark, [source_dir]))
-        in_dir = in_dir.withColumn("_given", F.lit(None).cast("int"))
-        listed.append(in_dir.where(mime.file_extension(F.col("file_name")) == suffix.lower()))
-    if not listed:
-        raise ValueError("no files given: name paths or a source directory")
-    return _ordinals(listed[0] if len(listed) == 1 else listed[0].unionByName(listed[1]))
+        listing = in_dir if listing is None else listing.unionByName(in_dir).dropDuplicates(["file_path"])
+    numbered = _ordinals(choose_files(listing, paths, source_dir, suffix))
+    target = shared_dir(spark, "listing")
+    numbered.write.parquet(target)
+    numbered = spark.read.parquet(target)
+    if paths:
+        keys = spark.createDataFrame([(_path_key_of(path), path) for path in paths], "_key string, path string")
+        lost = keys.join(numbered.select(_path_key("file_path").alias("_key")), "_key", "left_anti").limit(3).collect()
+        if lost:
+            raise FileNotFoundError(f"no such file: {', '.join(row['path'] for row in lost)}")
+    return numbered
+
+
+def literal_path(path: str) -> str:
+    """``path`` with the characters escaped that file listings take for wildcards."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def choose_files(
+    listing: DataFrame, paths: list[str] | None = None, source_dir: str | None = None, suffix: str = "pdf"
+) -> DataFrame:
+    """The rows of a listing that a load takes, with ``given``: the place among ``paths``, null for others.
+
+    A path named twice is two rows, as every named path gets its own load result. Of
+    ``source_dir`` its direct children with the suffix, in any case. Load order is given
+    paths by their place, then the others by path.
+    """
+    spark, key = listing.sparkSession, _path_key("file_path")
+    chosen = []
+    if paths:
+        given = spark.createDataFrame([(_path_key_of(path), i) for i, path in enumerate(paths)], "_key string, given int")
+        chosen.append(listing.withColumn("_key", key).join(given, "_key").drop("_key"))
+    if source_dir:
+        folder = F.lit(_path_key_of(source_dir).rstrip("/") + "/")
+        child = F.startswith(key, folder) & ~F.contains(F.substr(key, F.length(folder) + 1), F.lit("/"))
+        fits = mime.file_extension(F.col("file_name")) == suffix.lower()
+        chosen.append(listing.where(child & fits).withColumn("given", F.lit(None).cast("int")))
+    return chosen[0] if len(chosen) == 1 else chosen[0].unionByName(chosen[1])
 
 
 def _path_key_of(path: str) -> str:
@@ -129,7 +159,7 @@ def _ordinals(files: DataFrame) -> DataFrame:
     ``row_number`` over the whole listing would send all of it to one task. The id grows
     along the sorted partitions, which is all an ordinal needs; it may skip numbers.
     """
-    key = [F.col("_given").isNull(), F.col("_given"), F.col("file_path")]
+    key = [F.col("given").isNull(), F.col("given"), F.col("file_path")]
     return (
         files.repartitionByRange(*key)
         .sortWithinPartitions(*key)
@@ -149,35 +179,47 @@ def file_attributes(files: DataFrame) -> DataFrame:
     )
 
 
-HASHED = T.StructType([T.StructField("sha256_hex", T.StringType()), T.StructField("head", T.BinaryType())])
+HASHED = T.StructType([
+    T.StructField("sha256_hex", T.StringType()), T.StructField("head", T.BinaryType()), T.StructField("error", T.StringType())
+])
 
 
 def with_hash(files: DataFrame, opener: Callable[[str], BinaryIO] = open_uri) -> DataFrame:
-    """Add ``sha256_hex`` and ``head`` (first bytes).
+    """Add ``sha256_hex``, ``head`` (first bytes) and ``error``, null where the file could be read.
 
-    Bytes in a column are hashed by the engine's own ``sha2``. Files named by path are read
-    as a stream of blocks inside the tasks, so their size has no limit.
+    Bytes in a column are hashed by the engine's own ``sha2``. Files named by path are spread
+    over the tasks by the bytes to read and read there as streams of blocks, so their size has
+    no limit. A file that cannot be read has an error and no hash; the others go on.
     """
     if "content" in files.columns:
-        return files.withColumn("sha256_hex", identity.sha256_hex(F.col("content"))).withColumn(
-            "head", F.substring("content", 1, HEAD_BYTES)
-        )
+        return files.withColumns({
+            "sha256_hex": identity.sha256_hex(F.col("content")),
+            "head": F.substring("content", 1, HEAD_BYTES),
+            "error": F.lit(None).cast("string"),
+        })
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, heads = [], []
+            digests, heads, errors = [], [], []
             for uri in batch.column("file_path").to_pylist():
-                digest, head = hashlib.sha256(), b""
-                with opener(uri) as stream:
-                    while block := stream.read(READ_BLOCK_BYTES):
-                        head = head or bytes(block[:HEAD_BYTES])
-                        digest.update(block)
-                digests.append(digest.hexdigest())
-                heads.append(head)
+                digest, head, error = hashlib.sha256(), b"", None
+                try:
+                    with opener(uri) as stream:
+                        while block := stream.read(READ_BLOCK_BYTES):
+                            head = head or bytes(block[:HEAD_BYTES])
+                            digest.update(block)
+                except Exception as exc:
+                    error = f"{type(exc).__name__}: {exc}"
+                digests.append(None if error else digest.hexdigest())
+                heads.append(None if error else head)
+                errors.append(error)
             table = pa.table(batch).append_column("sha256_hex", pa.array(digests, pa.string()))
-            yield from table.append_column("head", pa.array(heads, pa.binary())).to_batches()
+            table = table.append_column("head", pa.array(heads, pa.binary()))
+            yield from table.append_column("error", pa.array(errors, pa.string())).to_batches()
 
-    return files.mapInArrow(hashed, T.StructType(files.schema.fields + HASHED.fields))
+    # A listing is a few bytes a file, so neither its size nor AQE tells how much there is to read.
+    spread_out = files.repartition(task_count(files), "file_path")
+    return spread_out.mapInArrow(hashed, T.StructType(files.schema.fields + HASHED.fields))
 
 
 def with_identity(files: DataFrame) -> DataFrame:
@@ -198,9 +240,12 @@ def inspect_files(
 
     The plug-in gets an open file and its name and returns values for ``schemas.FILE_INFO``.
     Empty strings become NULL, dates are parsed, a file is encrypted when a method is named.
+    A file whose plug-in fails has its message in ``error``; rows with an error stay as they are.
     """
     has_content = "content" in files.columns
-    kept = [f for f in files.schema.fields if f.name != "content"]
+    if "error" not in files.columns:
+        files = files.withColumn("error", F.lit(None).cast("string"))
+    kept = [f for f in files.schema.fields if f.name not in ("content", "error")]
     names = FILE_INFO.fieldNames()
 
     def inspected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,19 +253,23 @@ def inspect_files(
 
         arrow = to_arrow_schema(FILE_INFO)
         for batch in batches:
-            found = []
+            found, errors = [], batch.column("error").to_pylist()
             for i in range(batch.num_rows):
-                name = batch.column("file_name")[i].as_py()
-                with _open_row(batch, i, has_content, opener) as stream:
-                    info = inspector(stream, name)
+                name, info = batch.column("file_name")[i].as_py(), {}
+                if errors[i] is None:
+                    try:
+                        with _open_row(batch, i, has_content, opener) as stream:
+                            info = inspector(stream, name)
+                    except Exception as exc:
+                        errors[i] = f"{type(exc).__name__}: {exc}"
                 found.append({key: info.get(key) for key in names})
             info = pa.Table.from_pylist(found, schema=arrow)
             table = pa.table(batch).select([f.name for f in kept])
             for key in names:
                 table = table.append_column(key, info.column(key))
-            yield from table.to_batches()
+            yield from table.append_column("error", pa.array(errors, pa.string())).to_batches()
 
-    raw = files.mapInArrow(inspected, T.StructType(kept + FILE_INFO.fields))
+    raw = files.mapInArrow(inspected, T.StructType([*kept, *FILE_INFO.fields, T.StructField("error", T.StringType())]))
     return normalise_info(raw)
 
 

@@ -37,6 +37,28 @@ def test_scan_order(spark, folder):
         files.scan_files(spark)
 
 
+def test_paths_are_literal(spark, tmp_path):
+    odd = ["report[1].pdf", "a{b}.pdf", "star*.pdf", "two words.pdf", "what?.pdf"]
+    for name in [*odd, "report1.pdf", "starry.pdf"]:
+        (tmp_path / name).write_bytes(name.encode())
+    listed = files.scan_files(spark, [str(tmp_path / name) for name in odd])
+    assert names(listed) == odd
+    assert {r.file_name: r.sha256_hex for r in files.with_hash(listed).collect()} == {
+        name: hashlib.sha256(name.encode()).hexdigest() for name in odd
+    }
+    with pytest.raises(Exception, match="(?i)no such file|not exist|not_found"):
+        files.scan_files(spark, [str(tmp_path / "report1.pdf"), str(tmp_path / "report[2].pdf")])
+
+
+def test_hashing_is_spread(spark, tmp_path):
+    for i in range(60):
+        (tmp_path / f"f{i:02d}.pdf").write_bytes(b"%d" % i)
+    listed = files.scan_files(spark, source_dir=str(tmp_path))
+    assert files.with_hash(listed).select(F.spark_partition_id()).distinct().count() > 1
+    first, second = ({r.file_name: r.ordinal for r in listed.select("ordinal", *c).collect()} for c in (["file_name"], ["file_path", "file_name"]))
+    assert first == second and len(set(first.values())) == 60
+
+
 def test_hash_and_identity(spark, folder):
     listed = files.scan_files(spark, [str(folder / "blob.bin"), str(folder / "b.pdf"), str(folder / "empty.bin")])
     by_path = {r.file_name: r for r in files.with_identity(files.with_hash(listed)).collect()}

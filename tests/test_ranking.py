@@ -171,6 +171,25 @@ def test_plans(spark, store):
     assert postings.count("regexp") == 0 and "hashpartitioning" not in postings
 
 
+def scans(frame):
+    """The index scans of a plan, as text."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return [x for x in plan.split("\n") if "page_len" in x and "FileScan" in x]
+
+
+def test_every_form_prunes_folders(spark, store):
+    index, documents = store.index(), store.documents()
+    queries = spark.createDataFrame([(1, "waa common")], "query_id long, query string")
+    for frame in (
+        ranking.score_pages(index, "waa common", best=3, direct_pairs=0),
+        ranking.score_pages(index, "waa common", best=3, all_terms=True, direct_pairs=0),
+        ranking.search_ranked_batch(index, documents, queries, 3),
+        ranking.search_ranked_batch(index, documents, queries, 3, direct_pairs=0),
+    ):
+        found = scans(frame)
+        assert found and all("PartitionFilters: [" in x and "PartitionFilters: []" not in x for x in found)
+
+
 def test_stale_index_in_every_way(spark, texts, tmp_path):
     """Deleted, replaced-with-fewer-pages and re-loaded documents, by single and batch search."""
     store = PageStore(spark, str(tmp_path / "store"))

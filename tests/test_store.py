@@ -119,9 +119,33 @@ def _breaks(stream, wanted: PageRange):
     yield {"page_number": 1, "page_text": "fine"}
 
 
-def test_failed_load_leaves_nothing(spark, store, folder):
-    with pytest.raises(Exception, match="cannot read this one"):
-        load_files(store, scan(spark, folder), LoadOptions(plugin=Plugin(_breaks)))
+def test_a_bad_file_costs_only_itself(spark, store, folder):
+    options = LoadOptions(plugin=Plugin(_breaks))
+    found = {r.file_name: r for r in dry_run(scan(spark, folder), options).collect()}
+    assert "cannot read this one" in found["f2.pdf"].error and found["f1.pdf"].error is None
+    report = {r.file_name: r for r in load_files(store, scan(spark, folder), options).collect()}
+    assert report["f2.pdf"].status == "failed" and "cannot read this one" in report["f2.pdf"].error
+    assert {r.status for name, r in report.items() if name != "f2.pdf"} == {"loaded", "skipped"}
+    assert {r.file_name for r in store.documents().collect()} == {"copy of f0.pdf", "f1.pdf"}
+    assert store.pages().count() == 2 and chunks.verify_chunks(store.chunks(), store.documents()).where("not intact").count() == 0
+    assert not store._folders.matching(f"{store.root}/staging/load_id=*")
+
+
+def test_unreadable_file_is_reported(spark, store, folder):
+    def opener(uri):
+        if uri.endswith("f1.pdf"):
+            raise OSError("gone")
+        return files.open_uri(uri)
+
+    report = {r.file_name: r for r in load_files(store, scan(spark, folder), LoadOptions(opener=opener)).collect()}
+    assert (report["f1.pdf"].status, report["f1.pdf"].error) == ("failed", "OSError: gone")
+    assert {r.file_name for r in store.documents().collect()} == {"copy of f0.pdf", "f2.pdf"}
+
+
+def test_broken_load_leaves_nothing(spark, store, folder, monkeypatch):
+    monkeypatch.setattr(loading, "load_report", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        load_files(store, scan(spark, folder), OPTIONS)
     assert store.snapshot().loads == () and sizes(store) == (0, 0, 0)
     assert not store._folders.matching(f"{store.root}/*/load_id=*")
 
@@ -187,8 +211,7 @@ def test_stream_equals_batch(spark, store, folder, tmp_path):
     assert len(store.snapshot().loads) == 2
 
 
-def test_hot_key_join_is_whole(spark, monkeypatch):
-    monkeypatch.setattr(loading, "HOT_ROWS", 10)
+def test_hot_key_join_is_whole(spark):
     rows = spark.range(100).selectExpr("id", "case when id < 60 then 'hot' else cast(id as string) end as k")
     rows = rows.union(spark.sql("select 100L, cast(null as string)"))
     lookup = spark.range(50, 100).selectExpr("cast(id as string) as k", "id * 2 as v").union(spark.sql("select 'hot', -1L"))
