@@ -56,6 +56,17 @@ def search_pages(
     return found if limit is None else found.limit(limit)
 
 
+# ``search_pages`` for SQL: the same filter and snippet, by views of the store.
+SEARCH_PAGES_SQL = r"""
+CREATE OR REPLACE TEMPORARY FUNCTION {prefix}search_pages(term STRING)
+RETURNS TABLE (file_name STRING, page_number INT, page_label STRING, snippet STRING, document_id STRING)
+RETURN SELECT d.file_name, p.page_number, p.page_label,
+    substr(p.page_text, greatest(1, instr(lower(p.page_text), lower(search_pages.term)) - {lead}), {chars}), p.document_id
+  FROM {prefix}document_pages p JOIN {prefix}documents d ON d.document_id = p.document_id
+  WHERE p.page_text ILIKE concat('%', replace(search_pages.term, chr(92), chr(92) || chr(92)), '%')
+""".replace("{lead}", str(text.SNIPPET_LEAD)).replace("{chars}", str(text.SNIPPET_CHARS)).replace("search_pages.term", "{prefix}search_pages.term")
+
+
 def squeeze_snippets(hits: DataFrame) -> DataFrame:
     """Hits as shown to a reader: white space in snippets squeezed to single blanks."""
     return hits.withColumn("snippet", text.squeeze(F.col("snippet")))

@@ -352,6 +352,15 @@ def statements() -> dict[str, str]:
         "search_substring": _substring(SUBSTRING, SUBSTRING),
         "search_wildcard": _substring(WILDCARD, None),
         "search_shown": _SHOWN,
+        "sql_search_pages": _substring(WILDCARD, None),
+        "sql_document_text": f"""WITH {_PAGES} SELECT document_id, file_name,
+            sha256(string_agg(page_text, chr(12) ORDER BY page_number)) AS text_sha256 FROM doc_pages GROUP BY ALL""",
+        "null_rows": """WITH r AS (SELECT * FROM documents LEFT JOIN labels USING (doc_id))
+            SELECT unnest(['doc_id', 'text', 'lang', 'quality', 'toxic']) AS column_name,
+                   unnest([count(*) - count(doc_id), count(*) - count(text), count(*) - count(lang),
+                           count(*) - count(quality), count(*) - count(toxic)]) AS null_rows FROM r""",
+        "chunk_fetch_long": f"""WITH {_CHUNKS} SELECT document_id, chunk_index, sha256(piece) AS content_sha256
+            FROM doc_chunks WHERE file_name = (SELECT file_name FROM docs ORDER BY file_size_bytes DESC, file_name LIMIT 1)""",
         "document_text": f"""WITH {_PAGES} SELECT document_id, file_name, NULL::VARCHAR AS title,
             (length(text) + {PAGE_CHARS - 1}) // {PAGE_CHARS} AS page_count,
             string_agg(page_text, chr(12) ORDER BY page_number) AS document_text

@@ -220,6 +220,13 @@ def null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def null_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULLs per column of the documents with their labels, which many of them lack."""
+    labels = adapters.table(spark, sf_dir, "labels")
+    rows = adapters.table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
+    return not_null_violations(rows, ["doc_id", "text", "lang", "quality", "toxic"])
+
+
 # --- text recognition ---------------------------------------------------------------------
 
 
@@ -258,6 +265,25 @@ def chunk_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chunk_fetch_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All chunks of the longest file, in order."""
+    store = loaded_store(spark, sf_dir)
+    longest = store.documents().orderBy(F.desc("file_size_bytes"), "file_name").first().file_name
+    return chunks.fetch_chunks(store.chunks(), store.documents(), longest).select(
+        "document_id", "chunk_index", F.sha2("content", 256).alias("content_sha256")
+    )
+
+
+def sql_document_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loaded_store(spark, sf_dir).register_sql("store_")
+    return spark.sql("SELECT document_id, file_name, sha2(document_text, 256) AS text_sha256 FROM store_document_text")
+
+
+def sql_search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loaded_store(spark, sf_dir).register_sql("store_")
+    return spark.sql(f"SELECT * FROM store_search_pages('{WILDCARD}')")
+
+
 def chunk_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = loaded_store(spark, sf_dir)
     return chunks.verify_chunks(store.chunks(), store.documents())
@@ -479,6 +505,10 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ocr_merge": ocr_merge,
         "chunk_content": chunk_content,
         "chunk_fetch": chunk_fetch,
+        "chunk_fetch_long": chunk_fetch_long,
+        "null_rows": null_rows,
+        "sql_document_text": sql_document_text,
+        "sql_search_pages": sql_search_pages,
         "chunk_verify": chunk_verify,
         "chunk_gaps": chunk_gaps,
         "chunk_order": chunk_order,

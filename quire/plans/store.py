@@ -304,6 +304,20 @@ class PageStore:
             self.live_check(index, at), pages=self.pages(at), **parameters,
         )
 
+    def register_sql(self, prefix: str = "") -> None:
+        """Make the store usable from SQL in this session, as it is now.
+
+        Views ``documents``, ``document_pages``, ``document_chunks`` and ``document_text``, and
+        the table function ``search_pages(term)``, each with ``prefix`` before its name. A view
+        keeps the snapshot it was made from; call again after a load.
+        """
+        at = self.snapshot()
+        views = {"documents": self.documents(at), "document_pages": self.pages(at), "document_chunks": self.chunks(at),
+                 "document_text": search.document_text(self.documents(at), self.pages(at))}
+        for name, rows in views.items():
+            rows.createOrReplaceTempView(f"{prefix}{name}")
+        self.spark.sql(search.SEARCH_PAGES_SQL.format(prefix=prefix))
+
     def list_documents(self) -> DataFrame:
         return search.list_documents(self.documents())
 
