@@ -239,3 +239,30 @@ def test_content_is_not_shuffled(spark, tmp_path, skipped):
     assert {r.document_id for r in found.collect()} == {r.document_id for r in expected.collect()}
     shuffles = [x for x in found._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning" in x]
     assert all("content" not in x for x in shuffles) and len(shuffles) <= 2
+
+
+def test_index_is_built_only_if_something_loaded(spark, store, folder):
+    from quire.plans.load import load_and_index
+
+    load_and_index(store, scan(spark, folder), OPTIONS, stemmer=None, stop_words=None)
+    first = store.index().path
+    load_and_index(store, scan(spark, folder), OPTIONS, stemmer=None, stop_words=None)
+    assert store.index().path == first
+    assert store.build_index(mode="skip") == 0 and store.index().path == first
+    with pytest.raises(ValueError, match="unknown index mode"):
+        store.build_index(mode="elsewhere")
+    # The version before the newest stays for its readers, older ones go.
+    for _ in range(2):
+        store.build_index(stemmer=None, stop_words=None)
+    versions = store._folders.matching(f"{store.root}/index/version=*")
+    assert len(versions) == 2 and first not in store.index().path
+
+
+def test_sql_surface(spark, store, folder):
+    load_files(store, scan(spark, folder), OPTIONS)
+    store.register_sql("t_")
+    assert spark.sql("SELECT * FROM t_document_text").count() == 3
+    found = spark.sql("SELECT * FROM t_search_pages('RELIEF valve')")
+    plain = store.search_pages("RELIEF valve")
+    assert found.columns == plain.columns and sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
+    assert spark.sql(r"SELECT * FROM t_search_pages('back\\slash')").count() == 0
