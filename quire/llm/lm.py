@@ -27,6 +27,8 @@ VOCABULARY = 50_000
 BUCKETS = 1 << 20
 #: Weight of the unigram in words: counts of a history are smoothed by as many imagined ones.
 PRIOR = 200.0
+#: Target keys that are broadcast (some 40 bytes each).
+BROADCAST_ROWS = 500_000
 #: Distinct words that a task counts before it hands them on.
 HELD = 200_000
 
@@ -114,16 +116,21 @@ def count(df: DataFrame, vocabulary: list[bytes], is_target: Column, text: str =
     return parts.groupBy("place").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
 
 
-def train(df: DataFrame, is_target: Column, text: str = "text") -> tuple[list[bytes], Model, Model]:
+def train(df: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[list[bytes], Model, Model]:
     """The shared vocabulary, the target model and the background model.
 
-    Of ``df`` all rows are background, those where ``is_target`` holds are target as well. What
-    comes to the driver is bounded by ``VOCABULARY`` and ``BUCKETS``; ties in frequency go to the
-    smaller word.
+    All rows of ``df`` are background; those whose key is among the rows (key) of ``targets`` are
+    target as well. Null keys are no targets. What comes to the driver is bounded by
+    ``VOCABULARY`` and ``BUCKETS``; ties in frequency go to the smaller word. Up to
+    ``BROADCAST_ROWS`` target keys, counted, are broadcast; with more the texts are shuffled.
     """
     ranked = word_counts(df, text).orderBy(F.desc("n"), "word").limit(VOCABULARY)
     vocabulary = [bytes(row["word"]) for row in ranked.collect()]
-    table = count(df, vocabulary, is_target, text).toArrow()
+    keys = targets.where(F.col(key).isNotNull()).select(F.col(key).alias("_key")).distinct().withColumn("_target", F.lit(True))
+    if keys.count() <= BROADCAST_ROWS:
+        keys = F.broadcast(keys)
+    marked = df.join(keys, df[key] == F.col("_key"), "left").select(df[text].alias("text"), "_target")
+    table = count(marked, vocabulary, F.col("_target")).toArrow()
     size = len(vocabulary) + 2
     models = []
     for name in ("target", "background"):

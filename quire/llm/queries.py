@@ -76,9 +76,9 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = quality.good(spark.read.parquet(f"{sf_dir}/labels.parquet")).where("is_good").select("doc_id", "is_good").distinct()
-    marked = documents(spark, sf_dir).select("doc_id", "text").join(labels, "doc_id", "left")
-    return lm.score(documents(spark, sf_dir), lm.train(marked, F.col("is_good")))
+    texts = documents(spark, sf_dir).select("doc_id", "text")
+    wanted = quality.good(spark.read.parquet(f"{sf_dir}/labels.parquet")).where("is_good")
+    return lm.score(texts, lm.train(texts, wanted.select("doc_id")))
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

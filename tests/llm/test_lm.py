@@ -3,20 +3,22 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 from llm_cases import awkward, frame
-from pyspark.sql import functions as F
 
 from quire.llm import lm, queries
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
-def test_counts_and_losses_by_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("broadcast_rows", [lm.BROADCAST_ROWS, 0])
+def test_counts_and_losses_by_brute_force(spark, monkeypatch, broadcast_rows):
     rng = random.Random(8)
     monkeypatch.setattr(lm, "VOCABULARY", 6)
+    monkeypatch.setattr(lm, "BROADCAST_ROWS", broadcast_rows)
     texts = [" ".join(rng.choice("aa bb cc dd ee ff gg hh".split()) for _ in range(rng.randint(0, 30))) for _ in range(40)] + [None]
     df = frame(spark, texts, "'x' AS score")
-    trained = lm.train(df, F.col("doc_id") % 3 == 0)
+    trained = lm.train(df, df.where("doc_id % 3 = 0").select("doc_id"))
     vocabulary, target, background = trained
     counts = Counter(w for t in texts for w in (t or "").split())
     assert vocabulary == [w.encode() for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:6]]
@@ -58,9 +60,9 @@ def test_word_counts(spark, monkeypatch):
 
 def test_awkward(spark):
     df = awkward(spark)
-    trained = lm.train(df, F.lit(None).cast("boolean"))
+    trained = lm.train(df, df.limit(0).select("doc_id"))
     assert lm.score(df, trained).count() == 9
-    empty = lm.train(df.limit(0), F.lit(True))
+    empty = lm.train(df.limit(0), df.select("doc_id"))
     assert lm.score(df, empty).count() == 9 and lm.score(df.limit(0), trained).count() == 0
 
 
