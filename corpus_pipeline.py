@@ -17,12 +17,26 @@ from quire.session import ship_package
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+#: Keys of dropped documents that are broadcast (some 50 bytes each); with more of them texts are shuffled.
+BROADCAST_ROWS = 500_000
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """(row, text_key): whole rows in one column, so that no column name can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64("text").alias("text_key"))
+
+
+def _picked(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    keys = keys.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).distinct()
+    if keys.count() <= BROADCAST_ROWS:
+        keys = F.broadcast(keys)
+    return rows.join(keys, rows["row.doc_id"].eqNullSafe(keys["id"]) & (rows["text_key"] == keys["key"]), how)
+
+
 def _kept(docs: DataFrame, decided: DataFrame, condition: str) -> DataFrame:
-    """Rows of ``docs`` for whose (doc_id, text) ``decided`` meets the condition; columns and repeated rows stay."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64("text").alias("text_key"))
-    keys = decided.where(condition).select(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).distinct()
-    match = rows["row.doc_id"].eqNullSafe(keys["id"]) & (rows["text_key"] == keys["key"])
-    return rows.join(keys, match, "left_semi").select("row.*")
+    """Rows of ``docs`` but those whose (doc_id, text) fails the condition in ``decided``, which has every row."""
+    decided = written(decided.select("doc_id", "text_key", F.expr(condition).alias("stays")), "pipeline-decisions")
+    return _picked(_rows(docs), decided.where("NOT stays"), "left_anti").select("row.*")
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +46,14 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near copies the document with the smallest id, once if it is repeated."""
-    return _kept(docs, neardup.near_duplicates(docs), "kept").dropDuplicates(["doc_id", "text"])
+    """Keeps of each group of near copies the document with the smallest id, once if its row is repeated."""
+    found = written(neardup.near_duplicates(docs), "pipeline-near-duplicates")
+    kept = _kept(docs, found, "kept")
+    repeated = found.where("kept").groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1")
+    if repeated.isEmpty():
+        return kept
+    once = _picked(_rows(kept), repeated, "left_anti").select("row.*")
+    return once.unionByName(_picked(_rows(kept), repeated, "left_semi").select("row.*").dropDuplicates(["doc_id", "text"]))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
