@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from quire.llm.common import map_text
 
 #: Distinct pre-tokens whose ids a worker remembers; only speed depends on it.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 #: Longer pre-tokens are not remembered.
 REMEMBERED_BYTES = 64
 
@@ -190,3 +190,20 @@ def decode(df: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", id
         data = df.sparkSession.sparkContext.broadcast(file.read())
     columns = df.select(key, ids, df[ids].alias("_ids"))
     return map_text(columns, partial(_each, "decode", data, pattern), (key, ids, "_ids"), "decoded binary", [pa.binary()])
+
+
+def _both(data, pattern: str):
+    encoder = _shared(data.value, pattern)
+
+    def work(texts: list) -> list[list]:
+        packed = [encoder.encode(text) for text in texts]
+        return [packed, [encoder.decode(ids) for ids in packed]]
+
+    return work
+
+
+def round_trip(df: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, token_ids, decoded): ``encode`` and then ``decode`` of its ids, in one Python worker a task instead of two."""
+    with open(vocabulary, "rb") as file:
+        data = df.sparkSession.sparkContext.broadcast(file.read())
+    return map_text(df, partial(_both, data, pattern), (key, text), "token_ids binary, decoded binary", [pa.binary()] * 2)

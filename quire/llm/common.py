@@ -22,7 +22,7 @@ RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 #: Rows and characters that one call of a row-local function sees at a time: bounds a worker's lists.
 SLICE_ROWS = 512
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_000_000
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:

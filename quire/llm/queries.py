@@ -46,8 +46,7 @@ def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, RANKS, public_tokenizers.PATTERN).select(
+    return bpe.round_trip(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN).select(
         "doc_id",
         (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"),

@@ -62,6 +62,8 @@ def test_awkward(spark):
     rows = bpe.decode(encoded, queries.RANKS, public_tokenizers.PATTERN).collect()
     given = sorted((str(r.doc_id), (r.text or "").encode()) for r in df.collect())
     assert sorted((str(r.doc_id), bytes(r.decoded)) for r in rows) == given
+    both = bpe.round_trip(df, queries.RANKS, public_tokenizers.PATTERN).collect()
+    assert sorted(map(repr, both)) == sorted(map(repr, rows))
     assert bpe.encode(df.limit(0), queries.RANKS, public_tokenizers.PATTERN).count() == 0
 
 
