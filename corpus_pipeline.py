@@ -73,9 +73,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, token_ids, n_tokens, ids_sha256, decoded_sha256): packed ids and digests of ids and their decoding."""
-    encoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
-    decoded = bpe.decode(encoded, RANKS, public_tokenizers.PATTERN)
-    return decoded.select(
+    return bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN).select(
         "doc_id", "token_ids", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
