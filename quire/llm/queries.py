@@ -77,7 +77,7 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = documents(spark, sf_dir).select("doc_id", "text")
     wanted = quality.good(spark.read.parquet(f"{sf_dir}/labels.parquet")).where("is_good")
-    return lm.score(texts, lm.train(texts, wanted.select("doc_id")))
+    return lm.score_whole(texts, wanted.select("doc_id"))
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
