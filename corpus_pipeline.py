@@ -17,6 +17,8 @@ from quire.session import ship_package
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+#: Similarity of near copies in hundredths.
+NEAR_PERCENT = 80
 #: Keys of dropped documents that are broadcast (some 50 bytes each); with more of them texts are shuffled.
 BROADCAST_ROWS = 500_000
 
@@ -47,7 +49,7 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of near copies the document with the smallest id, once if its row is repeated."""
-    found = written(neardup.near_duplicates(docs), "pipeline-near-duplicates")
+    found = written(neardup.near_duplicates(docs, percent=NEAR_PERCENT), "pipeline-near-duplicates")
     kept = _kept(docs, found, "kept")
     repeated = found.where("kept").groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1")
     if repeated.isEmpty():

@@ -1,8 +1,8 @@
 """Near-duplicate classes by MinHash signatures and an inverted join on their coordinates.
 
 Every distinct set of word shingles is posted under its pairs of coordinate and value. Two sets
-that are similar enough agree in ``MATCHES`` coordinates at least (but for a chance under one in
-10^8), so they share one of the ``COORDINATES - MATCHES + 1`` rarest pairs of either: only this
+that are similar enough agree in ``matches`` coordinates at least (but for a chance under one in
+10^8), so they share one of the ``COORDINATES`` less matches plus 1 rarest pairs of either: only this
 prefix is posted, the frequent rest is skipped. Postings that hang together make a family; within
 it collisions of whole signatures are counted, pairs above the match threshold are confirmed on
 full sets, and pairs that are connected already are skipped. Links then make the classes.
@@ -13,7 +13,8 @@ task for each pair of blocks, and a task gives only links that connect something
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,12 +26,11 @@ from quire.llm.common import blank_words, grams, long_lists, map_text, mixed, wo
 from quire.llm.components import components
 
 SHINGLE = 5
-#: Similarity in hundredths: links have 100 * intersection >= PERCENT * union.
+#: Similarity in hundredths, unless given: links have 100 * intersection >= percent * union.
 PERCENT = 85
 COORDINATES = 64
-#: At 85 % similarity fewer agree with a chance of 8e-9.
-MATCHES = 36
-PREFIX = COORDINATES - MATCHES + 1
+#: Chance under which sets of just that similarity may agree in too few coordinates.
+MISSED = 1e-8
 #: Sets and bytes of text of a block of a family.
 BLOCK_ROWS = 1_000
 BLOCK_BYTES = 8_000_000
@@ -42,6 +42,16 @@ _FACTORS = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2)
 _SHIFTS = _rng.integers(0, 2**63, COORDINATES, dtype=np.uint64)
 
 
+def matches(percent: int) -> int:
+    """Coordinates in which sets of that similarity agree at least, but for a chance under ``MISSED``."""
+    same, chance = percent / 100, 0.0
+    for n in range(COORDINATES + 1):
+        chance += math.comb(COORDINATES, n) * same**n * (1 - same) ** (COORDINATES - n)
+        if chance >= MISSED:
+            return n
+    return COORDINATES
+
+
 def shingles(texts: list[str | None]) -> list[np.ndarray]:
     """The distinct shingles of each text as sorted 64-bit hashes."""
     hashes, lengths = word_hashes([blank_words(text) for text in texts])
@@ -73,19 +83,19 @@ def _sketch(texts: list[str | None]) -> list:
     return [count, whole, second, long_lists(tokens.ravel(), np.full(len(sets), COORDINATES))]
 
 
-def _prefixes(nodes: DataFrame) -> DataFrame:
+def _prefixes(nodes: DataFrame, percent: int) -> DataFrame:
     """(id, token): postings of each node under its rarest coordinate-value pairs that another node has too."""
     every = nodes.select("id", F.explode("tokens").alias("token"))
     shared = every.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     have = every.join(shared, "token").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
     # Pairs that no other node has come first in the order by frequency.
-    rarest = F.slice("t", F.lit(1), F.greatest(F.lit(0), F.size("t") - (COORDINATES - PREFIX)))
+    rarest = F.slice("t", F.lit(1), F.greatest(F.lit(0), F.size("t") - (matches(percent) - 1)))
     return have.select("id", F.explode(rarest).alias("t")).select("id", "t.token")
 
 
-def _families(nodes: DataFrame) -> DataFrame:
+def _families(nodes: DataFrame, percent: int) -> DataFrame:
     """(id, component): nodes that hang together by postings."""
-    posted = written(_prefixes(nodes), "neardup-postings")
+    posted = written(_prefixes(nodes, percent), "neardup-postings")
     heads = posted.groupBy("token").agg(F.min("id").alias("head"), F.count("*").alias("n")).where("n > 1")
     edges = posted.join(heads, "token").select(F.col("id").alias("a"), F.col("head").alias("b"))
     return components(edges, "neardup-families")
@@ -106,13 +116,13 @@ class _Forest:
         return i != j
 
 
-def links(sets: list[np.ndarray], side: np.ndarray) -> Iterator[tuple[int, int]]:
+def links(sets: list[np.ndarray], side: np.ndarray, percent: int = PERCENT) -> Iterator[tuple[int, int]]:
     """Confirmed links between the sets, enough to connect whatever links connect.
 
     ``side`` is 0 for all sets of one block; of two blocks only pairs of different sides count.
     """
     n = len(sets)
-    signs = signatures(sets)
+    signs, least = signatures(sets), matches(percent)
     sizes = np.fromiter(map(len, sets), np.int64, n)
     codes = np.unique(np.concatenate(sets), return_inverse=True)[1] if n else np.zeros(0, np.int64)
     parts = np.split(codes, np.cumsum(sizes)[:-1])
@@ -127,11 +137,11 @@ def links(sets: list[np.ndarray], side: np.ndarray) -> Iterator[tuple[int, int]]
     order = np.argsort(-common, kind="stable")
     for place, i in enumerate(order):
         later = order[place + 1 :]
-        near = (100 * np.minimum(sizes[later], sizes[i]) >= PERCENT * np.maximum(sizes[later], sizes[i]))
+        near = (100 * np.minimum(sizes[later], sizes[i]) >= percent * np.maximum(sizes[later], sizes[i]))
         if two:
             near &= side[later] != side[i]
         later = later[near]
-        later = later[np.count_nonzero(signs[later] == signs[i], axis=1) >= MATCHES]
+        later = later[np.count_nonzero(signs[later] == signs[i], axis=1) >= least]
         mine = forest.top(int(i))
         later = [int(j) for j in later if forest.top(int(j)) != mine]
         if not later:
@@ -140,17 +150,20 @@ def links(sets: list[np.ndarray], side: np.ndarray) -> Iterator[tuple[int, int]]
         starts = np.concatenate([[0], np.cumsum(sizes[later])[:-1]])
         both = np.add.reduceat(marked[np.concatenate([parts[j] for j in later])].astype(np.int64), starts)
         marked[parts[i]] = False
-        for j in np.array(later)[100 * both >= PERCENT * (sizes[later] + sizes[i] - both)]:
+        for j in np.array(later)[100 * both >= percent * (sizes[later] + sizes[i] - both)]:
             if forest.join(int(i), int(j)):
                 yield int(i), int(j)
 
 
-def _within(family: pd.DataFrame) -> pd.DataFrame:
-    family = family.drop_duplicates("id")
-    side = (family["block"] != family["low"]).to_numpy().astype(np.int64)
-    ids = family["id"].to_numpy()
-    found = [(ids[i], ids[j]) for i, j in links(shingles(list(family["text"])), side)]
-    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+def _within(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    def linked(family: pd.DataFrame) -> pd.DataFrame:
+        family = family.drop_duplicates("id")
+        side = (family["block"] != family["low"]).to_numpy().astype(np.int64)
+        ids = family["id"].to_numpy()
+        found = [(ids[i], ids[j]) for i, j in links(shingles(list(family["text"])), side, percent)]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return linked
 
 
 def _placed(members: DataFrame) -> DataFrame:
@@ -163,12 +176,12 @@ def _placed(members: DataFrame) -> DataFrame:
     return of.select("id", "text_key", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """(key, text_key, n_shingles, component_id, kept): one row per row of ``df``.
 
     A text's set holds its distinct runs of ``SHINGLE`` words (all words at once, if fewer); words
     are runs of other than ASCII white space, A-Z in lower case. Rows are linked whose sets have
-    100 * intersection >= PERCENT * union; ``component_id`` is the smallest id reachable, and
+    100 * intersection >= ``percent`` * union; ``component_id`` is the smallest id reachable, and
     ``kept`` says that the row has it. A text without words has an empty set and no links. Rows with
     one id are one node, all kept or none; of several texts of an id the one with the smallest
     hash is compared. A row without an id is linked with nothing and kept.
@@ -185,11 +198,11 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     member = written(one.join(classes, whole).select("id", "text_key", "bytes", "node"), "neardup-members")
     heads = member.where("id = node").select("id", "text_key", "bytes")
     nodes = sketched.join(heads.select("id", "text_key"), ["id", "text_key"]).dropDuplicates(["id"]).select("id", "tokens")
-    family = _families(nodes)
+    family = _families(nodes, percent)
     placed = written(_placed(heads.join(family, "id")), "neardup-blocks")
     if placed.count() <= BROADCAST_ROWS:
         placed = F.broadcast(placed)
-    found = rows.join(placed, ["id", "text_key"]).groupBy("component", "low", "high").applyInPandas(_within, "a long, b long")
+    found = rows.join(placed, ["id", "text_key"]).groupBy("component", "low", "high").applyInPandas(_within(percent), "a long, b long")
     copies = member.where("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
     joined = components(found.unionByName(copies), "neardup-links")
     out = sketched.select("id", "text_key", "n_shingles").join(joined, "id", "left")

@@ -103,3 +103,8 @@ def test_components(spark):
 def test_query(spark):
     found = queries.registered()["op5_near_duplicates"](spark, SF_DIR)
     same(found, duck(SF_DIR).execute(oracle.statements()["op5_near_duplicates"]).df())
+
+
+def test_matches():
+    assert neardup.matches(85) == 36 and neardup.matches(80) == 31
+    assert neardup.matches(100) == 64 and neardup.matches(1) == 0

@@ -1,12 +1,14 @@
 """The pipeline, stage by stage, against the operators' own results and plain Python."""
 
 import hashlib
+import random
 
 import numpy as np
 import public_tokenizers
 import tiktoken
 from test_decontaminate import plain as plain_hits
 from test_neardup import plain as plain_components
+from test_neardup import plain_sets
 from test_secrets import plain_spans
 
 import corpus_pipeline
@@ -67,3 +69,26 @@ def test_repeated_and_null_rows(spark):
         docs = written(stage(spark, docs, SF_DIR), "test-pipeline")
     assert sorted(map(str, (r.doc_id for r in docs.collect()))) == ["1", "3", "None"]
     assert docs.columns[-2:] == ["kept", "text_key"]
+
+
+def pairs_of_texts():
+    """(id, text): pairs whose sets have similarities from 0.7 to 0.95, many between 0.80 and 0.85."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(60):
+        base = [f"p{i}w{rng.randrange(10_000)}" for _ in range(rng.randint(60, 160))]
+        copy = list(base)
+        for at in rng.sample(range(10, len(base) - 10), rng.randint(1, 3)):
+            copy[at] = f"other{i}at{at}"
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(copy))]
+    return rows
+
+
+def test_near_copies_of_80_percent(spark):
+    rows = pairs_of_texts()
+    sets = plain_sets([text for _, text in rows])
+    shares = [len(a & b) / len(a | b) for a, b in zip(sets[::2], sets[1::2], strict=True)]
+    assert sum(0.80 <= x < 0.85 for x in shares) >= 5 and min(shares) < 0.80
+    docs = spark.createDataFrame([(i, text, "en", "s", len(text)) for i, text in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR).collect()}
+    assert kept == {2 * i for i in range(60)} | {2 * i + 1 for i, x in enumerate(shares) if x < 0.80}
