@@ -2,7 +2,9 @@
 
 Two generative models over hashed character n-grams, one of good texts and one of all texts, give
 every n-gram a log ratio. A text's importance weight is the sum over its worst window: over a
-whole text the sum would drown a short bad passage. Texts are resampled by Gumbel top-k: noise is
+whole text the sum would drown a short bad passage. The smallest of many windows is smaller by chance
+alone: a good text has a window of log ratio t or less with a chance of e^t at most, for each of its
+windows, so the weight allows the logarithm of their number. Texts are resampled by Gumbel top-k: noise is
 added to the weights and the k largest stay, k being the number of texts whose weight reaches a
 threshold learned from labelled texts. Far from the threshold the noise changes nothing.
 """
@@ -25,6 +27,8 @@ GRAM = 5
 BUCKETS = 1 << 18
 WINDOW = 32
 PRIOR = 0.5
+#: Windows of a text that need no allowance.
+FEW_WINDOWS = 8
 #: Labelled texts used at most; a half of the good ones trains, the rest sets the threshold.
 SAMPLE_ROWS = 20_000
 #: Share of good texts that the threshold may lose.
@@ -53,7 +57,11 @@ def cells(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def worst_windows(values: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """For each text the smallest sum over windows that overlap by half; 0 without n-grams."""
+    """For each text the smallest sum over windows that overlap by half; 0 without n-grams.
+
+    From ``FEW_WINDOWS`` on the logarithm of the windows (as a multiple of so many) is added, so that
+    a long text is as likely to reach a threshold as a short one of the same kind.
+    """
     sums = np.concatenate([[0.0], np.cumsum(values)])
     first = np.cumsum(count) - count
     step = WINDOW // 2
@@ -62,7 +70,10 @@ def worst_windows(values: np.ndarray, count: np.ndarray) -> np.ndarray:
     at = (np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)) * step
     start = first[owner] + np.minimum(at, count[owner])
     end = first[owner] + np.minimum(at + WINDOW, count[owner])
-    return np.minimum.reduceat(sums[end] - sums[start], np.cumsum(windows) - windows) if len(count) else np.zeros(0)
+    if not len(count):
+        return np.zeros(0)
+    allowed = np.rint(np.log(np.maximum(windows / FEW_WINDOWS, 1)) / _UNIT) * _UNIT
+    return np.minimum.reduceat(sums[end] - sums[start], np.cumsum(windows) - windows) + allowed
 
 
 @dataclass

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 from llm_cases import awkward
+from pyspark.sql import functions as F
 
 from quire.llm import quality, queries
 
@@ -74,3 +75,25 @@ def test_awkward(spark):
     assert all(r.accepted for r in quality.classify(df, blank).collect())
     assert quality.classify(df.limit(0), model).count() == 0
     assert quality.fit(df.limit(0), labels).threshold == -math.inf
+
+
+def test_long_clean_texts_stay_and_bad_passages_go(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    labels = quality.good(spark.read.parquet(f"{folder}/labels.parquet")).where("is_good IS NOT NULL")
+    model = quality.fit(docs, labels)
+    trains = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(2)) == 0
+    rows = docs.join(labels, "doc_id").select("text", "is_good", trains.alias("trains")).orderBy("doc_id").collect()
+    clean = [r.text for r in rows if r.is_good and not r.trains]
+    bad = [r.text for r in rows if not r.is_good]
+    rng = random.Random(3)
+
+    def rejected(texts):
+        found, count = quality.cells(texts)
+        return (quality.worst_windows(model.ratios[found], count) < model.threshold).mean()
+
+    alone = rejected(bad)
+    for n in (10, 50):
+        long = [rng.sample(clean, n) for _ in range(150)]
+        assert rejected([" ".join(parts) for parts in long]) < 0.02
+        assert rejected([" ".join([*parts[:5], rng.choice(bad), *parts[5:]]) for parts in long]) > alone - 0.1
