@@ -9,7 +9,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, decontaminate, language, licenses, lm, neardup, quality, secrets, topk, viterbi
+from quire.llm import bpe, decontaminate, language, licenses, lm, neardup, quality, secrets, topk, viterbi, whitening
 from quire.llm.common import documents
 from quire.session import ship_package
 
@@ -90,11 +90,16 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(texts, model).select("doc_id", "weight", "sampling_key", "accepted")
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     queries = (
         op1_secret_scan, op2_language_id, op3_topk_search, op4_byte_bpe, op5_near_duplicates,
         op6_token_counts, op7_decontaminate,
         op8_lm_score, op9_license_scan, op10_quality_classifier,
+        op13_embedding_whitening,
     )
 
     def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
