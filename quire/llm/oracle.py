@@ -62,5 +62,82 @@ FROM d LEFT JOIN sizes USING (doc_id) JOIN least ON id = doc_id
 """
 
 
+#: CRC-32: the table by its polynomial, and the checksum of a list of bytes.
+_CRC_TABLE = """list_transform(range(256), lambda i: list_reduce(range(8), lambda c, n: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i))"""
+
+
+def _crc32(bytes_: str) -> str:
+    """Over a list of whole numbers; the one row of ``crc`` is in scope."""
+    step = "lambda c, b: xor(crc.t[(xor(c, b) & 255) + 1], c >> 8)"
+    return f"xor(list_reduce({bytes_}, {step}, 4294967295::BIGINT), 4294967295)"
+
+
+def _plus(cost: str, letter: str, state: str) -> str:
+    return f"{{'c': ({state}).c + {cost}, 'a': {letter} || ({state}).a}}"
+
+
+_FAR = "{'c': 1000000000::BIGINT, 'a': ''}"
+
+#: Turns from the last to the first; z, o, e, s: nothing, an odd rest, an even rest, s and a rest are still to come.
+_TURN_MATCH = "(CASE WHEN t.initial = '{0}' THEN 0 ELSE 2 END + t.cut)", "CASE WHEN t.initial = '{0}' THEN 'K' ELSE 'R' END"
+
+
+def _matched(letter: str, state: str) -> str:
+    cost, edit = (part.format(letter) for part in _TURN_MATCH)
+    return f"CASE WHEN t.gone THEN {_FAR} ELSE {_plus(cost, edit, state)} END"
+
+
+_Z = _plus("3", "'D'", "s.z")
+_O = f"least({_plus('3', chr(39) + 'D' + chr(39), 's.o')}, {_matched('a', 'least(s.z, s.e)')})"
+_E = f"least({_plus('3', chr(39) + 'D' + chr(39), 's.e')}, {_matched('u', 's.o')})"
+_S = f"least({_plus('3', chr(39) + 'D' + chr(39), 's.s')}, CASE WHEN t.initial = 's' AND NOT t.gone THEN {_plus('t.cut', chr(39) + 'K' + chr(39), 's.e')} ELSE {_FAR} END)"
+
+OP12 = rf"""
+WITH RECURSIVE crc AS (SELECT {_CRC_TABLE} AS t), given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT)")} % 20 AS fault
+  FROM conversations, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS again
+  FROM given WHERE fault <> 0
+), faults AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
+    regexp_extract_all(text, '[^ 	-
+]')[-1] AS final,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS seen FROM damaged
+), turns AS (
+  SELECT conv_id, i, turn, role, text, left(role, 1) AS initial, final IS NULL AS blank, final IS NOT NULL AND seen AS duplicate,
+    final IS NOT NULL AND NOT seen AND final NOT IN ('.', '!', '?') AS truncated, final IS NULL OR seen AS gone, truncated::BIGINT AS cut,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM faults
+), facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM turns GROUP BY conv_id
+), states AS (
+  SELECT conv_id, n AS i, {{'c': 0::BIGINT, 'a': ''}} AS z, {{'c': 2::BIGINT, 'a': 'I'}} AS o, {{'c': 4::BIGINT, 'a': 'II'}} AS e, {_FAR} AS s FROM facts
+  UNION ALL
+  SELECT conv_id, i - 1, z, least(o, {_plus("2", "'I'", "z")}, {_plus("2", "'I'", "e")}), least(e, {_plus("2", "'I'", "o")}, {_plus("4", "'II'", "z")}), s FROM (
+    SELECT s.conv_id, s.i, {_Z} AS z, {_O} AS o, {_E} AS e, {_S} AS s FROM states s JOIN turns t ON t.conv_id = s.conv_id AND t.i = s.i
+  )
+), audits AS (SELECT conv_id, least(z, e, s).c AS cost, least(z, e, s).a AS audit FROM states WHERE i = 0),
+letters AS (SELECT conv_id, p, substr(audit, p, 1) AS letter, length(replace(audit, 'D', '')) AS m FROM (SELECT *, unnest(range(1, length(audit) + 1)) AS p FROM audits)),
+edits AS (
+  SELECT *, sum((letter <> 'I')::INT) OVER w AS i, sum((letter <> 'D')::INT) OVER w - 1 - m % 2 AS place FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY p)
+), repaired AS (
+  SELECT e.conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN place % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' ||
+    CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS body
+  FROM edits e LEFT JOIN turns t ON t.conv_id = e.conv_id AND t.i = e.i WHERE letter <> 'D' GROUP BY e.conv_id
+)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN facts USING (conv_id) LEFT JOIN audits USING (conv_id) LEFT JOIN repaired USING (conv_id)
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op3_topk_search": OP3, "op5_near_duplicates": OP5, "op7_decontaminate": OP7}
+    return {"op3_topk_search": OP3, "op5_near_duplicates": OP5, "op7_decontaminate": OP7, "op12_conversation_repair": OP12}

@@ -3,7 +3,7 @@
 import duckdb
 import pandas as pd
 
-TABLES = "documents embeddings benchmark labels".split()
+TABLES = "documents embeddings benchmark labels conversations".split()
 
 
 def frame(spark, texts, extra=""):
