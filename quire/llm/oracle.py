@@ -72,6 +72,43 @@ def _crc32(bytes_: str) -> str:
     return f"xor(list_reduce({bytes_}, {step}, 4294967295::BIGINT), 4294967295)"
 
 
+#: Large records one by one to the emptiest shard, then the order of digest and id cut at the level of the shards.
+OP11 = rf"""
+WITH RECURSIVE crc AS (SELECT {_CRC_TABLE} AS t), docs AS (
+  SELECT doc_id, coalesce(strlen(text), 0) + 8 AS size, coalesce(('0x' || substr(md5(text), 1, 15))::BIGINT, -1) AS h,
+    {_crc32("list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT)")} AS text_crc32
+  FROM documents, crc
+), total AS (SELECT sum(size)::BIGINT AS total FROM docs),
+kinds AS (SELECT *, size * 24 * 256 > total AS is_large FROM docs, total),
+large AS (SELECT *, row_number() OVER (ORDER BY size DESC, h, doc_id) AS g FROM kinds WHERE is_large),
+dealt AS (
+  SELECT 0::BIGINT AS g, list_transform(range(24), lambda i: 0::BIGINT) AS loads, -1::BIGINT AS shard
+  UNION ALL
+  SELECT g, list_transform(loads, lambda x, i: CASE WHEN i = p THEN x + size ELSE x END), p - 1
+  FROM (SELECT l.g, l.size, d.loads, list_position(d.loads, list_min(d.loads))::BIGINT AS p FROM dealt d JOIN large l ON l.g = d.g + 1)
+), loads AS (
+  SELECT unnest(range(24)) AS shard, unnest(loads) AS load FROM (SELECT loads FROM dealt ORDER BY g DESC LIMIT 1)
+), small AS (SELECT coalesce(sum(size), 0)::BIGINT AS small FROM kinds WHERE NOT is_large),
+level AS (
+  SELECT min((small + below + k - 1) // k) AS level
+  FROM (SELECT sum(load) OVER (ORDER BY load, shard)::BIGINT AS below, row_number() OVER (ORDER BY load, shard) AS k FROM loads), small
+), cuts AS (
+  SELECT list(cut ORDER BY shard) AS cuts FROM (
+    SELECT shard, least(small, sum(greatest(0, level - load)) OVER (ORDER BY shard))::BIGINT AS cut FROM loads, level, small
+  ) WHERE shard < 23
+), ranged AS (
+  SELECT k.*, len(list_filter(cuts, lambda c: 2 * c <= middle)) AS shard
+  FROM (SELECT *, 2 * sum(size) OVER (ORDER BY h, doc_id) - size AS middle FROM kinds WHERE NOT is_large) k, cuts
+), ends AS (SELECT shard, count(*) AS n FROM dealt WHERE g > 0 GROUP BY shard),
+places AS (
+  SELECT doc_id, size, text_crc32, d.shard, row_number() OVER (PARTITION BY d.shard ORDER BY l.g) - 1 AS slot FROM large l JOIN dealt d USING (g)
+  UNION ALL
+  SELECT doc_id, size, text_crc32, r.shard, coalesce(n, 0) + row_number() OVER (PARTITION BY r.shard ORDER BY h, doc_id) - 1 FROM ranged r LEFT JOIN ends e ON e.shard = r.shard
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard::INTEGER AS shard, slot::BIGINT AS slot, NULL::INTEGER AS grown_shard FROM places
+"""
+
+
 def _plus(cost: str, letter: str, state: str) -> str:
     return f"{{'c': ({state}).c + {cost}, 'a': {letter} || ({state}).a}}"
 
@@ -140,4 +177,4 @@ FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN facts USING (conv_id
 
 
 def statements() -> dict[str, str]:
-    return {"op3_topk_search": OP3, "op5_near_duplicates": OP5, "op7_decontaminate": OP7, "op12_conversation_repair": OP12}
+    return {"op3_topk_search": OP3, "op5_near_duplicates": OP5, "op7_decontaminate": OP7, "op11_sampled_sharding": OP11, "op12_conversation_repair": OP12}

@@ -9,7 +9,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, conversations, decontaminate, language, licenses, lm, neardup, quality, secrets, topk, viterbi, whitening
+from quire.llm import bpe, conversations, decontaminate, language, licenses, lm, neardup, quality, secrets, sharding, topk, viterbi, whitening
 from quire.llm.common import documents
 from quire.session import ship_package
 
@@ -90,6 +90,12 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(texts, model).select("doc_id", "weight", "sampling_key", "accepted")
 
 
+def op11_sampled_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(documents(spark, sf_dir)).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = conversations.damage(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     return conversations.repaired_digests(rows)
@@ -104,7 +110,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_secret_scan, op2_language_id, op3_topk_search, op4_byte_bpe, op5_near_duplicates,
         op6_token_counts, op7_decontaminate,
         op8_lm_score, op9_license_scan, op10_quality_classifier,
-        op12_conversation_repair, op13_embedding_whitening,
+        op11_sampled_sharding, op12_conversation_repair, op13_embedding_whitening,
     )
 
     def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
