@@ -88,13 +88,20 @@ def _range(splitters: list[tuple[int, int, int]]) -> Column:
     """Number of splitters that are not above the record's key, by bisection."""
     if not splitters:
         return F.lit(0)
-    h, id_, record = (_constants(list(column)) for column in zip(*splitters, strict=True))
-    table = F.arrays_zip(h.alias("h"), id_.alias("id"), record.alias("record"))
+    parts = [(_constants(list(column)), F.col("key")[name]) for name, column in zip(("h", "id", "record"), zip(*splitters, strict=True), strict=True)]
     steps = [1 << bit for bit in reversed(range(len(splitters).bit_length()))]
 
+    def not_above(at: Column) -> Column:
+        """Whether splitter ``at`` is not above the key: compared part by part, as arrays of structs would not fold."""
+        out = F.lit(True)
+        for constants, own in reversed(parts):
+            value = F.get(constants, at)
+            out = (value < own) | ((value == own) & out)
+        return out
+
     def step(at: Column, width: Column) -> Column:
         inside = at + width <= len(splitters)
-        return F.when(inside & (F.get(table, at + width - 1) <= F.col("key")), at + width).otherwise(at)
+        return F.when(inside & not_above(at + width - 1), at + width).otherwise(at)
 
     return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
 
