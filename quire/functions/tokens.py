@@ -38,6 +38,12 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(normalise(text), SEPARATOR), lambda token: token != "")
 
 
+def terms_sql(text: str) -> str:
+    """``tokens`` as SQL, for functions that SQL users call."""
+    source, target = _accent_table()
+    return f"filter(split(translate(lower({text}), '{source}', '{target}'), '{SEPARATOR}'), t -> t <> '')"
+
+
 def remove_stop_words(token_array: Column, stop_words: list[str]) -> Column:
     if not stop_words:
         return token_array

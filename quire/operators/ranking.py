@@ -1,14 +1,9 @@
-"""Full-text index over pages and BM25-ranked search.
+"""BM25-ranked search over the segments of an index (``segments`` tells how they are stored and written).
 
-The index is ordinary Parquet:
-
-``postings`` (bucket, term, doc_key, page_number, tf, page_len)
-    one row per term and page, in folders by a hash bucket of the term, sorted by term.
-    ``page_len`` rides along, so scoring joins nothing. ``doc_key`` is the document id in 16 bytes.
-``terms`` (bucket, term, df, total_tf, max_tf, min_len)
-``stats`` one row: page and token totals and the settings; written last, it marks the index complete.
-
-A query reads only the buckets and row groups of its own terms.
+Document frequencies, lengths and bounds are those of the segments taken together at query time;
+each page is in one segment. ``page_len`` rides along with the postings, so scoring joins nothing,
+and ``doc_key`` is the document id in 16 bytes. A query reads only the buckets and row groups of its
+own terms.
 """
 
 from __future__ import annotations
@@ -115,28 +110,84 @@ def tf_weight(tf: Column, page_len: Column, avg_len: Column, k: float = BM25_K,
     return tf * (k + 1) / (tf + k * (1 - b + b * page_len / avg_len))
 
 
+@dataclass(frozen=True)
+class Totals:
+    """Sums over the segments of an index, and what they share."""
+
+    n_pages: int
+    n_tokens: int
+    buckets: int
+    stemmer: str
+
+    @property
+    def avg_len(self) -> float | None:
+        return self.n_tokens / self.n_pages if self.n_pages else None
+
+
 @dataclass(frozen=True)
 class SearchIndex:
-    """An index at a path. ``settings`` is its one ``stats`` row, read once."""
+    """One version of an index in the folder ``base``; its few rows of settings are read once."""
 
     spark: SparkSession
+    base: str
     path: str
 
+    @cached_property
+    def segments(self) -> list:
+        """One row per segment, oldest first."""
+        return self.spark.read.parquet(f"{self.path}/segments").orderBy("segment").collect()
+
+    @cached_property
+    def loads(self) -> dict[str, str]:
+        """The segment of every load that is indexed."""
+        return {row.load_id: row.segment for row in self.spark.read.parquet(f"{self.path}/loads").collect()}
+
+    @property
+    def dead(self) -> DataFrame:
+        """(segment, doc_key): documents whose rows in a segment are dead."""
+        return self.spark.read.parquet(f"{self.path}/dead")
+
+    @property
+    def n_dead(self) -> int:
+        return sum(row.n_dead for row in self.segments)
+
+    def _rows(self, table: str, schema: str) -> DataFrame:
+        folders = [f"{self.base}/{table}/segment={row.segment}" for row in self.segments]
+        reader = self.spark.read.option("basePath", f"{self.base}/{table}").schema(f"{schema}, segment string")
+        return reader.parquet(*folders)
+
     @property
     def postings(self) -> DataFrame:
-        return self.spark.read.schema(POSTINGS).parquet(f"{self.path}/postings")
+        """Living postings of all segments; joined with the dead documents only if there are any."""
+        rows = self._rows("postings", POSTINGS)
+        return rows.join(self.dead, ["segment", "doc_key"], "left_anti") if self.n_dead else rows
 
     @property
     def terms(self) -> DataFrame:
-        return self.spark.read.schema(TERMS).parquet(f"{self.path}/terms")
+        """Statistics per term over all segments. Documents that died since a segment was written count in them."""
+        return self._rows("terms", TERMS).groupBy("bucket", "term").agg(
+            F.sum("df").alias("df"), F.sum("total_tf").alias("total_tf"),
+            F.max("max_tf").alias("max_tf"), F.min("min_len").alias("min_len"),
+        )
+
+    @property
+    def pages(self) -> DataFrame:
+        """The copied page text of all segments."""
+        return self._rows("pages", "page_id string, document_id string, page_number int, page_text string")
 
     @property
     def stats(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/stats")
+        """One row: n_pages, n_terms, n_tokens, avg_len."""
+        known = self.settings
+        return self.terms.agg(F.count("*").alias("n_terms")).select(
+            F.lit(known.n_pages).cast("long").alias("n_pages"), "n_terms", F.lit(known.n_tokens).cast("long").alias("n_tokens"),
+            F.lit(known.avg_len).cast("double").alias("avg_len"),
+        )
 
     @cached_property
-    def settings(self):
-        return self.stats.first()
+    def settings(self) -> Totals:
+        rows = self.segments
+        return Totals(sum(r.n_pages for r in rows), sum(r.n_tokens for r in rows), rows[0].buckets, rows[0].stemmer)
 
     def query_terms(self, query: str) -> list[str]:
         """Distinct index terms of a query text, by the same rules as the pages."""
@@ -174,47 +225,6 @@ def bucket_count(n_pages: int) -> int:
     return max(MIN_BUCKETS, min(MAX_BUCKETS, -(-n_pages // PAGES_PER_BUCKET)))
 
 
-def build_index(
-    pages: DataFrame,
-    path: str,
-    stemmer: str | None = "english",
-    stop_words: str | list[str] | None = "english",
-) -> SearchIndex:
-    """(Re)build the index of all ``pages`` at a new ``path``.
-
-    One pass over the text. The only shuffle brings postings to their bucket; AQE splits a
-    bucket that a hot term has made large and merges small ones (the rebalance hint).
-    """
-    spark = pages.sparkSession
-    words = tokens.stop_word_list(spark, stop_words)
-    n_pages = pages.count()
-    buckets = bucket_count(n_pages)
-
-    postings = page_postings(pages, words, stemmer).withColumn("bucket", bucket_of(F.col("term"), buckets))
-    (
-        postings.hint("rebalance", "bucket")
-        .sortWithinPartitions("bucket", "term")
-        .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
-    )
-    index = SearchIndex(spark, path)
-    (
-        term_statistics(index.postings).hint("rebalance", "bucket")
-        .sortWithinPartitions("bucket", "term")
-        .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/terms")
-    )
-    totals = index.terms.agg(
-        F.count("*").alias("n_terms"), F.coalesce(F.sum("total_tf"), F.lit(0)).alias("n_tokens")
-    )
-    totals.select(
-        F.lit(n_pages).cast("long").alias("n_pages"),
-        "n_terms", "n_tokens",
-        F.when(F.lit(n_pages) > 0, F.col("n_tokens") / F.lit(n_pages)).alias("avg_len"),
-        F.lit(buckets).alias("buckets"),
-        F.lit(check_stemmer(stemmer)).alias("stemmer"),
-    ).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
-    return index
-
-
 def query_weights(index: SearchIndex, query: str) -> tuple[list[str], dict[str, tuple]]:
     """The query's distinct terms, and those in the index with (df, idf, max_tf, min_len)."""
     wanted, n_pages = index.query_terms(query), index.settings.n_pages
@@ -350,6 +360,56 @@ def with_page_heads(top: DataFrame, documents: DataFrame, pages: DataFrame, top_
     return heads.join(top, ["document_id", "page_number"]).join(documents.select("document_id", "file_name"), "document_id")
 
 
+# ``search_ranked`` for SQL, by views of the store and its index. Arguments are literals or expressions
+# without columns; the few asked terms are joined, which prunes folders at run time.
+SEARCH_TERMS_SQL = """
+CREATE OR REPLACE TEMPORARY FUNCTION {prefix}search_terms(content STRING) RETURNS ARRAY<STRING> RETURN {terms}
+"""
+SEARCH_RANKED_SQL = """
+CREATE OR REPLACE TEMPORARY FUNCTION {prefix}search_pages_ranked(query STRING, top_k INT DEFAULT {top_k})
+RETURNS TABLE (file_name STRING, page_number INT, score DOUBLE, snippet STRING, document_id STRING)
+RETURN
+  WITH given AS (SELECT {prefix}search_terms({prefix}search_pages_ranked.query) AS terms),
+  words AS (SELECT DISTINCT term FROM (SELECT explode(terms) AS term FROM given)),
+  asked AS (SELECT term, CAST(crc32(encode(term, 'UTF-8')) % {buckets} AS INT) AS bucket FROM words),
+  weighed AS (
+    SELECT t.bucket, t.term, log10(({n_pages} - t.df + 0.5) / (t.df + 0.5) + 1) AS idf
+    FROM {prefix}index_terms t JOIN asked a ON a.bucket = t.bucket AND a.term = t.term),
+  scored AS (
+    SELECT p.document_id, p.doc_key, p.page_number,
+      sum(w.idf * (p.tf * ({k} + 1) / (p.tf + {k} * (1 - {b} + {b} * p.page_len / {avg_len})))) AS score
+    FROM {prefix}index_postings p JOIN weighed w ON w.bucket = p.bucket AND w.term = p.term
+    GROUP BY p.document_id, p.doc_key, p.page_number),
+  ranked AS (SELECT *, row_number() OVER (ORDER BY round(score, {decimals}) DESC, doc_key, page_number) AS place FROM scored)
+  SELECT d.file_name, r.page_number, round(r.score, 3), substr(p.page_text, 1, {chars}), r.document_id
+  FROM ranked r
+    JOIN {prefix}document_pages p ON p.document_id = r.document_id AND p.page_number = r.page_number
+    JOIN {prefix}documents d ON d.document_id = r.document_id
+  WHERE r.place <= {prefix}search_pages_ranked.top_k
+  ORDER BY r.place
+"""
+
+
+def register_ranked_sql(index: SearchIndex, live: LiveCheck | None, prefix: str) -> None:
+    """Views ``index_terms`` and ``index_postings``, and the functions ``search_terms`` and ``search_pages_ranked``.
+
+    The views ``documents`` and ``document_pages`` with the same prefix exist. ``search_terms`` gives the index
+    terms of a text, repeated ones included; stemming is one Python function on the words of the query.
+    """
+    spark, known = index.spark, index.settings
+    index.terms.createOrReplaceTempView(f"{prefix}index_terms")
+    with_document_id(_only_live(index.postings, live)).createOrReplaceTempView(f"{prefix}index_postings")
+    terms = tokens.terms_sql("content")
+    if known.stemmer == "english":
+        spark.udf.register(f"{prefix}search_stems", lambda words: [stem_english(w) for w in words or []], "array<string>")
+        terms = f"{prefix}search_stems({terms})"
+    spark.sql(SEARCH_TERMS_SQL.format(prefix=prefix, terms=terms))
+    spark.sql(SEARCH_RANKED_SQL.format(
+        prefix=prefix, top_k=TOP_K, buckets=known.buckets, n_pages=known.n_pages, k=BM25_K, b=BM25_B,
+        avg_len=f"CAST({known.avg_len or 1.0!r} AS DOUBLE)", decimals=SCORE_DECIMALS, chars=text.SNIPPET_CHARS,
+    ))
+
+
 # --- many queries at once ---------------------------------------------------------------
 
 

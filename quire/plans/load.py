@@ -171,10 +171,9 @@ def _rolled(chosen: DataFrame, pages: DataFrame, chunks: DataFrame, options: Loa
 def load_and_index(
     store: PageStore, files: DataFrame, options: LoadOptions = LoadOptions(), **index: object
 ) -> DataFrame:
-    """Load, then rebuild the index if anything was loaded; ``index`` goes to ``build_index``."""
+    """Load, then add what was loaded to the index as a segment; ``index`` goes to ``update_index``."""
     report = load_files(store, files, options)
-    if report.where("status = 'loaded'").limit(1).count():
-        store.build_index(**index)
+    store.update_index(**index)
     return report
 
 

@@ -377,6 +377,10 @@ def statements() -> dict[str, str]:
         "index_copy": f"""WITH {_PAGES} SELECT document_id || ':' || page_number AS page_id, document_id,
             page_number, page_text FROM doc_pages""",
         "search_ranked": _ranked(RANKED, 20),
+        "search_ranked_segments": _ranked(RANKED, 20),
+        "search_ranked_streamed": _ranked(RANKED, 20),
+        "sql_search_ranked": _ranked(RANKED, 20),
+        "segment_terms": f"WITH {_PAGES}, {_index()} SELECT * FROM terms",
         "search_ranked_all_terms": _ranked(ALL_TERMS, 10, all_terms=True, decimals=2),
         "search_ranked_stemmed": _ranked(
             "licens warranti", 20, form=_STEMS, left_out=", ".join(f"'{w}'" for w in STOP_WORDS)

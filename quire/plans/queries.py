@@ -105,6 +105,24 @@ def reduced_store(spark: SparkSession, sf_dir: str) -> PageStore:
     return _store(spark, sf_dir, "reduced", prepare)
 
 
+#: Loads that the store of segments comes from: one more than are merged.
+PARTS = 5
+
+
+def segmented_store(spark: SparkSession, sf_dir: str) -> PageStore:
+    """The documents in several loads, each indexed after it: one merged segment and a fresh one."""
+
+    def prepare(store: PageStore) -> None:
+        rows = adapters.file_rows(spark, sf_dir)
+        most = rows.agg(F.max("ordinal")).first()[0]
+        part = F.floor(F.col("ordinal") * PARTS / (most + 1))
+        for number in range(PARTS):
+            load_files(store, rows.where(part == number), OPTIONS)
+            store.update_index(stemmer=None, stop_words=None)
+
+    return _store(spark, sf_dir, "segmented", prepare)
+
+
 def streamed_store(spark: SparkSession, sf_dir: str) -> PageStore:
     """The documents table picked up as a stream."""
     from quire.streaming.ingest import ingest
@@ -114,7 +132,8 @@ def streamed_store(spark: SparkSession, sf_dir: str) -> PageStore:
         stream = (
             spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
         )
-        ingest(store, adapters.as_file_rows(stream), f"{store.root}-checkpoint", OPTIONS).awaitTermination()
+        rows = adapters.as_file_rows(stream)
+        ingest(store, rows, f"{store.root}-checkpoint", OPTIONS, index={"stemmer": None, "stop_words": None}).awaitTermination()
 
     return _store(spark, sf_dir, "streamed", prepare)
 
@@ -459,7 +478,7 @@ def index_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def index_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The snapshot of the page text that the index elsewhere was built over."""
     store, location = stemmed_store(spark, sf_dir)
-    return spark.read.parquet(f"{store.index(location).path}/pages")
+    return store.index(location).pages.drop("segment")
 
 
 def search_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -486,6 +505,27 @@ def index_staleness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduced_store(spark, sf_dir).search_pages_ranked("la de license", top_k=30)
 
 
+def search_ranked_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search over an index that grew load by load."""
+    return segmented_store(spark, sf_dir).search_pages_ranked(RANKED)
+
+
+def search_ranked_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search over what a stream loaded and indexed."""
+    return streamed_store(spark, sf_dir).search_pages_ranked(RANKED)
+
+
+def sql_search_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranked search by its SQL function."""
+    indexed_store(spark, sf_dir).register_sql("ranked_")
+    return spark.sql(f"SELECT * FROM ranked_search_pages_ranked('{RANKED}')")
+
+
+def segment_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Term statistics over the segments of the grown index."""
+    return segmented_store(spark, sf_dir).index().terms.select("term", "df", "total_tf", "max_tf", "min_len")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "file_scan": file_scan,
@@ -540,4 +580,8 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "search_ranked_stemmed": search_ranked_stemmed,
         "search_ranked_batch": search_ranked_batch,
         "index_staleness": index_staleness,
+        "search_ranked_segments": search_ranked_segments,
+        "search_ranked_streamed": search_ranked_streamed,
+        "segment_terms": segment_terms,
+        "sql_search_ranked": sql_search_ranked,
     }

@@ -14,6 +14,7 @@ anti-join their ids; a store that only grows is read without any join. One write
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from dataclasses import dataclass, field
 
@@ -22,10 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire import schemas
-from quire.functions import identity
-from quire.operators import loading, ranking, search
+from quire.functions import identity, tokens
+from quire.operators import loading, ranking, search, segments
 from quire.operators.chunks import MAX_CHUNK_BYTES
 from quire.operators.ranking import LiveCheck, SearchIndex
+from quire.operators.segments import Settings
 
 DOCUMENTS, PAGES, CHUNKS, RETIRED = "documents", "document_pages", "document_chunks", "retired"
 TABLES = {DOCUMENTS: schemas.DOCUMENTS, PAGES: schemas.PAGES, CHUNKS: schemas.CHUNKS}
@@ -96,10 +98,10 @@ class PageStore:
         rows = self._rows(RETIRED, _RETIRED_SCHEMA, at.retiring)
         return rows.groupBy("document_id").agg(F.max("load_id").alias("retired_by"))
 
-    def table(self, name: str, at: Snapshot | None = None) -> DataFrame:
-        """Live rows of a table, with their ``load_id``."""
+    def table(self, name: str, at: Snapshot | None = None, loads: tuple[str, ...] | None = None) -> DataFrame:
+        """Live rows of a table, or of some of its ``loads``, with their ``load_id``."""
         at = at or self.snapshot()
-        rows = self._rows(name, TABLES[name], at.loads)
+        rows = self._rows(name, TABLES[name], at.loads if loads is None else loads)
         if not at.retiring:
             return rows
         gone = self.retired(at).withColumnRenamed("document_id", "_gone")
@@ -109,9 +111,9 @@ class PageStore:
     def documents(self, at: Snapshot | None = None) -> DataFrame:
         return self.table(DOCUMENTS, at).select(*schemas.DOCUMENTS.fieldNames())
 
-    def pages(self, at: Snapshot | None = None) -> DataFrame:
+    def pages(self, at: Snapshot | None = None, loads: tuple[str, ...] | None = None) -> DataFrame:
         """Live pages. Rows stored before ``page_id`` existed get theirs on reading."""
-        rows = self.table(PAGES, at).select(*schemas.PAGES.fieldNames())
+        rows = self.table(PAGES, at, loads).select(*schemas.PAGES.fieldNames())
         made = identity.page_id(F.col("document_id"), F.col("page_number"))
         return rows.withColumn("page_id", F.coalesce("page_id", made))
 
@@ -221,7 +223,7 @@ class PageStore:
         stemmer: str | None = "english",
         stop_words: str | list[str] | None = "english",
     ) -> int:
-        """(Re)build the search index; returns the number of pages indexed, blank ones included.
+        """(Re)build the search index as one segment; returns the number of pages indexed, blank ones included.
 
         ``in-place``: over the stored pages; the default within the store. ``copy``: over a
         snapshot of the page text kept with the index; the default at another ``location``.
@@ -232,39 +234,129 @@ class PageStore:
             raise ValueError(f"unknown index mode {mode!r}; known: {', '.join(INDEX_MODES)}")
         if mode == "skip":
             return 0
+        words = tuple(tokens.stop_word_list(self.spark, stop_words))
         at = self.snapshot()
-        base = self._index_root(location)
-        version = f"{base}/version={self._next_version(base):010d}"
-        pages = self.pages(at)
-        if mode == "copy":
-            copy_pages(pages).write.parquet(f"{version}/pages")
-            pages = self.spark.read.parquet(f"{version}/pages")
-        loads = self.spark.createDataFrame([(x,) for x in at.loads], "load_id string")
-        loads.coalesce(1).write.parquet(f"{version}/loads")
-        index = ranking.build_index(pages, version, stemmer, stop_words)
-        # The version before this one stays, as readers may still hold it.
-        for old in sorted(self._folders.matching(f"{base}/version=*"))[:-2]:
-            self._folders.remove(old)
-        return index.settings.n_pages
+        buckets = ranking.bucket_count(self.pages(at).count())
+        settings = Settings(buckets, ranking.check_stemmer(stemmer), words, mode == "copy")
+        return self._grow(self._index_root(location), None, at, at.loads, settings)
+
+    def update_index(self, location: str | None = None, **settings: object) -> int:
+        """Index the loads that are not indexed yet as a new segment; returns the number of their pages.
+
+        Postings of earlier loads are not read, but for the merging of segments. What is missing is told
+        from the index itself, so an update that is repeated adds nothing. The index is built
+        anew if there is none, if ``vacuum`` has rewritten loads since, or if ``settings`` (as of
+        ``build_index``) differ from those it was built with.
+        """
+        try:
+            index = self.index(location)
+        except LookupError:
+            return self.build_index(location, **settings)
+        at, first = self.snapshot(), index.segments[0]
+        asked = dict(settings)
+        same = ranking.check_stemmer(asked.get("stemmer", first.stemmer)) == first.stemmer
+        same &= "stop_words" not in asked or tokens.stop_word_list(self.spark, asked["stop_words"]) == first.stop_words
+        same &= asked.get("mode") in (None, "copy" if first.copied else "in-place")
+        if not same or not set(index.loads) <= set(at.loads):
+            kept = {"mode": "copy" if first.copied else "in-place", "stemmer": first.stemmer, "stop_words": first.stop_words}
+            return self.build_index(location, **(kept | asked))
+        fresh = tuple(x for x in at.loads if x not in index.loads)
+        if not fresh:
+            return 0
+        shared = Settings(first.buckets, first.stemmer, tuple(first.stop_words), first.copied)
+        return self._grow(self._index_root(location), index, at, fresh, shared)
+
+    def _grow(self, base: str, index: SearchIndex | None, at: Snapshot, fresh: tuple[str, ...], settings: Settings) -> int:
+        """A new version of an index: that of ``index``, if any, with a segment of the loads ``fresh``, merged where due."""
+        number = self._next_version(base)
+        last, name = (at.loads[-1] if at.loads else ""), f"{number:010d}-load"
+        pages, rows, n_pages = self.pages(at, fresh), {}, 0
+        if index is not None and pages.isEmpty():  # deletions only
+            name = index.segments[-1].segment
+        else:
+            n_pages, n_tokens = segments.write_segment(copy_pages(pages) if settings.copied else pages, base, name, settings)
+            fixed = (settings.buckets, settings.stemmer, list(settings.stop_words), settings.copied)
+            rows[name] = (name, n_pages, n_tokens, self.table(DOCUMENTS, at, fresh).count(), 0, last, *fixed)
+        loads = dict.fromkeys(fresh, name)
+        if index is not None:
+            loads |= index.loads
+            dead = self._dead(index, at)
+            worn = {row.segment: row.n for row in dead.groupBy("segment").agg(F.count("*").alias("n")).collect()}
+            for old in index.segments:
+                rows[old.segment] = (*old[:4], worn.get(old.segment, 0), *old[5:])
+        else:
+            dead = self.spark.createDataFrame([], segments.DEAD)
+        self._write_version(base, number, rows, loads, dead)
+        due = segments.merges({s: r[1] for s, r in rows.items()}, {s for s, r in rows.items() if r[4] > segments.DEAD_SHARE * r[3]})
+        if due:
+            self._merge(base, number, at, due)
+        self._forget_old(base, 3 if due else 2)
+        return n_pages
+
+    def _dead(self, index: SearchIndex, at: Snapshot) -> DataFrame:
+        """(segment, doc_key): documents of a segment that were retired after it was written."""
+        if not at.retiring:
+            return self.spark.createDataFrame([], segments.DEAD)
+        of = self.spark.createDataFrame(list(index.loads.items()), segments.LOADS)
+        lasts = self.spark.createDataFrame([(s.segment, s.last_load) for s in index.segments], "segment string, last_load string")
+        held = self._rows(DOCUMENTS, schemas.DOCUMENTS, list(index.loads)).select("document_id", "load_id")
+        gone = held.join(self.retired(at), "document_id").join(of, "load_id").join(lasts, "segment")
+        gone = gone.where((F.col("load_id") < F.col("retired_by")) & (F.col("last_load") < F.col("retired_by")))
+        return gone.select("segment", identity.document_key(F.col("document_id")).alias("doc_key")).distinct()
+
+    def _merge(self, base: str, number: int, at: Snapshot, due: list[list[str]]) -> None:
+        """Version ``number`` with the segments of each group made one."""
+        index = SearchIndex(self.spark, base, f"{base}/version={number:010d}")
+        rows, loads = {s.segment: tuple(s) for s in index.segments}, dict(index.loads)
+        for nth, members in enumerate(due):
+            name = f"{number:010d}-merge{nth}"
+            n_tokens = segments.merge_segments(index, members, name)
+            inside = tuple(x for x in at.loads if loads[x] in members)
+            n_pages = self.table(PAGES, at, inside).select("document_id").count()
+            n_documents = self.table(DOCUMENTS, at, inside).select("document_id").count()
+            fixed = rows[members[0]][6:]
+            rows = {s: r for s, r in rows.items() if s not in members}
+            rows[name] = (name, n_pages, n_tokens, n_documents, 0, at.loads[-1], *fixed)
+            loads |= dict.fromkeys(inside, name)
+        merged = [s for members in due for s in members]
+        self._write_version(base, number + 1, rows, loads, index.dead.where(~F.col("segment").isin(merged)))
+
+    def _write_version(self, base: str, number: int, rows: dict, loads: dict[str, str], dead: DataFrame) -> None:
+        """The small tables of a version; ``segments`` comes last and makes it visible."""
+        path, make = f"{base}/version={number:010d}", self.spark.createDataFrame
+        dead.write.mode("overwrite").parquet(f"{path}/dead")
+        make(sorted(loads.items()), segments.LOADS).coalesce(1).write.mode("overwrite").parquet(f"{path}/loads")
+        make(list(rows.values()), segments.SEGMENT).coalesce(1).write.mode("overwrite").parquet(f"{path}/segments")
+
+    def _forget_old(self, base: str, kept_versions: int) -> None:
+        """Removes versions but the last ones, as readers may hold the one before, and segments that none of these has."""
+        done = sorted(self._folders.matching(f"{base}/version=*/segments/_SUCCESS"))
+        for old in done[:-kept_versions]:
+            self._folders.remove(old.rsplit("/segments/", 1)[0])
+        kept = {s.segment for path in done[-kept_versions:] for s in SearchIndex(self.spark, base, path.rsplit("/segments/", 1)[0]).segments}
+        for folder in self._folders.matching(f"{base}/*/segment=*"):
+            if folder.rsplit("segment=", 1)[1] not in kept:
+                self._folders.remove(folder)
 
     def _next_version(self, base: str) -> int:
         used = [int(p.split("version=")[1]) for p in self._folders.matching(f"{base}/version=*")]
         return max(used, default=0) + 1
 
     def index(self, location: str | None = None) -> SearchIndex:
-        """The newest complete index."""
-        done = sorted(self._folders.matching(f"{self._index_root(location)}/version=*/stats/_SUCCESS"))
+        """The newest complete version of the index."""
+        base = self._index_root(location)
+        done = sorted(self._folders.matching(f"{base}/version=*/segments/_SUCCESS"))
         if not done:
             raise LookupError("the store has no search index yet: call build_index()")
-        return SearchIndex(self.spark, done[-1].rsplit("/stats/", 1)[0])
+        return SearchIndex(self.spark, base, done[-1].rsplit("/segments/", 1)[0])
 
     def live_check(self, index: SearchIndex, at: Snapshot) -> LiveCheck | None:
         """What tells the index rows of pages that are gone; None if all its pages are alive.
 
-        Loads only add pages, so only documents retired since the index was built matter. If
-        its loads have been rewritten since, all its pages are checked.
+        Loads only add pages, so only documents retired since the index was updated matter; it knows
+        the earlier ones itself. If its loads have been rewritten since, all its pages are checked.
         """
-        known = {row[0] for row in self.spark.read.parquet(f"{index.path}/loads").collect()}
+        known = set(index.loads)
         pages = self.pages(at).select("document_id", "page_number")
         if not known <= set(at.loads):
             return LiveCheck(pages)
@@ -308,8 +400,9 @@ class PageStore:
         """Make the store usable from SQL in this session, as it is now.
 
         Views ``documents``, ``document_pages``, ``document_chunks`` and ``document_text``, and
-        the table function ``search_pages(term)``, each with ``prefix`` before its name. A view
-        keeps the snapshot it was made from; call again after a load.
+        the table function ``search_pages(term)``, each with ``prefix`` before its name; and if the
+        store has an index of its own, ``search_pages_ranked(query, top_k)`` and ``search_terms(text)``.
+        A view keeps the snapshot it was made from; call again after a load.
         """
         at = self.snapshot()
         views = {"documents": self.documents(at), "document_pages": self.pages(at), "document_chunks": self.chunks(at),
@@ -317,6 +410,9 @@ class PageStore:
         for name, rows in views.items():
             rows.createOrReplaceTempView(f"{prefix}{name}")
         self.spark.sql(search.SEARCH_PAGES_SQL.format(prefix=prefix))
+        with contextlib.suppress(LookupError):
+            index = self.index()
+            ranking.register_ranked_sql(index, self.live_check(index, at), prefix)
 
     def list_documents(self) -> DataFrame:
         return search.list_documents(self.documents())

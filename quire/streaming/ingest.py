@@ -34,11 +34,13 @@ def ingest(
     checkpoint: str,
     options: LoadOptions = LoadOptions(),
     trigger: dict | None = None,
+    index: dict | None = None,
 ) -> StreamingQuery:
-    """Load every batch of a stream of file rows.
+    """Load every batch of a stream of file rows, and with ``index`` (settings of ``update_index``) make it searchable.
 
-    What is known is decided by the store, not by stream state, so a batch that is replayed
-    after a failure skips what it has already committed.
+    What is known is decided by the store and by its index, not by stream state: a batch that is
+    replayed after a failure skips what is committed, and a load that was not indexed any more
+    gets its segment from the replay. So a replayed batch adds nothing twice.
     """
 
     def load_batch(batch: DataFrame, _batch_id: int) -> None:
@@ -48,6 +50,8 @@ def ingest(
             ordered = batch.repartitionByRange("file_path").sortWithinPartitions("file_path")
             batch = ordered.withColumn("ordinal", F.monotonically_increasing_id())
         load_files(store, batch, options)
+        if index is not None:
+            store.update_index(**index)
 
     return (
         stream.writeStream.foreachBatch(load_batch)

@@ -11,7 +11,8 @@ from quire.schemas import CHUNKS
 from quire.sources import files
 from quire.sources.extract import HTML, PAGES_PER_UNIT, TEXT, PageRange, Plugin, extract_pages, pages_of_text
 
-BLOB = bytes(range(256)) * 41
+#: Bytes without a pattern; no multiple of any chunk size used here.
+BLOB = hashlib.shake_128(b"quire").digest(9_973)
 
 
 @pytest.fixture
@@ -70,24 +71,33 @@ def test_hash_and_identity(spark, folder):
     assert {r.sha256_hex for r in files.with_hash(in_table).collect()} == {hashlib.sha256(BLOB).hexdigest()}
 
 
+#: What an inspector says of two made-up charts: dates with offsets, blank fields, layers off and on.
+CHARTS = {
+    "A.PDF": {"page_count": 17, "title": "  Harbour chart ", "author": " ", "creator": "plotter 9",
+              "created_raw": "D:19990704031500+05'30'", "modified_raw": "not a date",
+              "layer_names": ["soundings", "wrecks", "buoys"], "hidden_layer_names": ["wrecks", "buoys"]},
+    "b.pdf": {"page_count": 2, "author": "N. Sextant", "modified_raw": "D:2011", "encryption_method": "RC4",
+              "needs_password": True, "layer_names": ["coast"]},
+}
+
+
 def _info(stream, name):
-    return {
-        "page_count": 3, "title": "Test Doc", "author": "", "created_raw": "D:20250101120000Z",
-        "encryption_method": "AES" if name == "b.pdf" else "", "layer_names": ["Base", "SecretLayer"],
-        "hidden_layer_names": ["SecretLayer"] if name == "A.PDF" else [],
-    }
+    return CHARTS[name]
 
 
 def test_inspection_is_normalised(spark, folder):
     listed = files.with_identity(files.with_hash(files.scan_files(spark, source_dir=str(folder))))
     found = files.inspect_files(listed, _info)
-    rows = {r.file_name: r for r in found.withColumn("us", F.unix_micros("pdf_created_at")).collect()}
-    first = rows["A.PDF"]
-    assert (first.title, first.author, first.page_count, first.is_encrypted) == ("Test Doc", None, 3, False)
-    assert first.us == 1735732800000000 and first.pdf_modified_at is None and first.needs_password is False
-    assert rows["b.pdf"].is_encrypted and rows["b.pdf"].encryption_method == "AES"
-    hidden = files.hidden_layer_documents(found).collect()
-    assert [(r.file_name, r.layer_name) for r in hidden] == [("A.PDF", "SecretLayer")]
+    dates = {f"{c}_us": F.unix_micros(f"pdf_{c}_at") for c in ("created", "modified")}
+    rows = {r.file_name: r for r in found.withColumns(dates).collect()}
+    chart, locked = rows["A.PDF"], rows["b.pdf"]
+    assert chart.page_count == 17 and chart.author is None and chart.title.strip() == "Harbour chart"
+    assert chart.created_us == 931_038_300_000_000 and chart.modified_us is None  # 21:45 UTC, the evening before
+    assert (chart.is_encrypted, chart.needs_password, chart.encryption_method) == (False, False, None)
+    assert (locked.is_encrypted, locked.needs_password, locked.encryption_method) == (True, True, "RC4")
+    assert locked.title is None and locked.created_us is None and locked.modified_us == 1_293_840_000_000_000
+    hidden = sorted((r.file_name, r.layer_name) for r in files.hidden_layer_documents(found).collect())
+    assert hidden == [("A.PDF", "buoys"), ("A.PDF", "wrecks")]
 
 
 def test_text_plugin_and_cap(spark, folder):
@@ -162,7 +172,7 @@ def test_chunks_of_column_and_of_path(spark, folder):
     by_column = chunks.cut_chunks(column, 4096).orderBy("chunk_index").collect()
     assert by_path == by_column
     assert [r.byte_offset for r in by_path] == [0, 4096, 8192]
-    assert [r.chunk_length_bytes for r in by_path] == [4096, 4096, 2304]
+    assert [r.chunk_length_bytes for r in by_path] == [4096, 4096, 9_973 - 8192]
     assert b"".join(bytes(r.content) for r in by_path) == BLOB
     with pytest.raises(ValueError):
         chunks.cut_chunks(column, 0)
@@ -170,7 +180,7 @@ def test_chunks_of_column_and_of_path(spark, folder):
 
 def _documents(spark):
     rows = [
-        ("d", hashlib.sha256(BLOB).hexdigest(), len(BLOB), 1000, 11),
+        ("d", hashlib.sha256(BLOB).hexdigest(), len(BLOB), 1000, 10),
         ("empty", hashlib.sha256(b"").hexdigest(), 0, 1000, 0),
     ]
     return spark.createDataFrame(
