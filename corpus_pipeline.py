@@ -67,9 +67,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets by a mask; ``n_chars`` follows where the table has it."""
     ratios = secrets.train(secrets.labelled_tokens(spark, docs))
-    found = secrets.scan(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text"), ratios)
-    text = secrets.masked(F.col("text"), F.col("secrets"))
-    new = {"text": text} | ({"n_chars": F.when(F.size("secrets") > 0, F.length(text)).otherwise(F.col("row.n_chars"))} if "n_chars" in docs.columns else {})
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("given"))
+    found = secrets.with_masked(secrets.scan(rows, ratios, "given"), "given", "secrets", "masked")
+    new = {"text": F.col("masked")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.size("secrets") > 0, F.length("masked")).otherwise(F.col("row.n_chars"))
     return found.select(*[new.get(c, F.col(f"row.`{c}`")).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
 

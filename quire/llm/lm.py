@@ -7,33 +7,24 @@ the word looks like the target; the mean over a text is its score, lower is clos
 A bigram's probability is its count smoothed by the unigram. ``score_whole`` counts every word and
 every bigram of all texts: words and pairs are dealt to parts, whose number grows with the words;
 a part counts its pairs and gives every text its share of the loss, so no model is ever gathered.
-
-``train`` and ``score`` are the bounded form: the vocabulary is the most frequent words, and bigrams
-are counted into a table of fixed size by hash.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import keyed, map_text, mixed, plain_words, slices, word_hashes, written
 
-#: Words of the shared vocabulary, and cells of the table of bigrams.
-VOCABULARY = 50_000
-BUCKETS = 1 << 20
 #: Weight of the unigram in words: counts of a history are smoothed by as many imagined ones.
 PRIOR = 200.0
 #: Target keys that are broadcast (some 40 bytes each).
 BROADCAST_ROWS = 500_000
-#: Distinct words that a task counts before it hands them on.
-HELD = 200_000
 #: Words of texts that a task sorts by parts at a time, words of a part, and parts at least.
 GATHERED = 800_000
 PART_WORDS = 1_500_000
@@ -47,142 +38,6 @@ _SHARE = np.uint64(0x9E3779B97F4A7C15)
 _UNIT = 2.0**-24  # losses are summed as multiples of it, so that sums do not depend on their order
 
 
-def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
-    """(word binary, n): how often each word occurs in all texts; counted in the tasks first."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
-
-        def out() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
-            held.clear()
-            return batch
-
-        for batch in batches:
-            for value in batch.column(0).to_pylist():
-                held.update(plain_words(value))
-                if len(held) > HELD:
-                    yield out()
-        yield out()
-
-    return df.select(text).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-class Reader:
-    """Texts as numbers of vocabulary words; 0 stands for all other words, 1 for the start."""
-
-    def __init__(self, vocabulary: list[bytes]):
-        self.numbers = {word: i + 2 for i, word in enumerate(vocabulary)}
-
-    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Number of each word, number of the word before it, and words of each text."""
-        lists = [plain_words(text) for text in texts]
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        get = self.numbers.get
-        words = np.fromiter((get(w, 0) for part in lists for w in part), np.int64, int(lengths.sum()))
-        before = np.ones_like(words)
-        before[1:] = words[:-1]
-        before[(np.cumsum(lengths) - lengths)[lengths > 0]] = 1
-        return words, before, lengths
-
-
-def bucket(before: np.ndarray, words: np.ndarray) -> np.ndarray:
-    return (mixed((before << 32 | words).astype(np.uint64)) % np.uint64(BUCKETS)).astype(np.int64)
-
-
-class Model:
-    """Log probabilities of words after words, from counts of words and of bigram cells."""
-
-    def __init__(self, unigrams: np.ndarray, bigrams: np.ndarray):
-        self.unigram = (unigrams + 1.0) / (unigrams.sum() + len(unigrams))
-        self.history = unigrams.astype(np.float64)
-        self.bigrams = bigrams.astype(np.float32)
-
-    def losses(self, words: np.ndarray, before: np.ndarray, cells: np.ndarray) -> np.ndarray:
-        both = np.minimum(self.bigrams[cells], self.history[before])  # cells are shared
-        return -np.log((both + PRIOR * self.unigram[words]) / (self.history[before] + PRIOR))
-
-
-def count(df: DataFrame, vocabulary: list[bytes], is_target: Column, text: str = "text") -> DataFrame:
-    """(place, background, target): counts of words (places from 0 on) and of bigram cells after them."""
-    shipped = df.sparkSession.sparkContext.broadcast(vocabulary)
-    size = len(vocabulary) + 2
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = Reader(shipped.value)
-        sums = np.zeros((2, size + BUCKETS), np.int64)
-        for batch in batches:
-            for part in slices(batch, 0):
-                words, before, lengths = read(part.column(0).to_pylist())
-                target = np.repeat(np.array(part.column(1).to_pylist(), bool), lengths)
-                starts = np.array([(lengths > 0).sum(), ((lengths > 0) & np.array(part.column(1).to_pylist(), bool)).sum()])
-                cells = bucket(before, words) + size
-                for row, some in enumerate((slice(None), target)):
-                    sums[row] += np.bincount(words[some], minlength=sums.shape[1])
-                    sums[row] += np.bincount(cells[some], minlength=sums.shape[1])
-                sums[:, 1] += starts
-        places = np.flatnonzero(sums[0])
-        for at in range(0, len(places), 100_000):
-            some = places[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[0, some]), pa.array(sums[1, some])], ["place", "background", "target"])
-
-    parts = df.select(text, F.coalesce(is_target, F.lit(False))).mapInArrow(run, "place long, background long, target long")
-    return parts.groupBy("place").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-
-
-def train(df: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[list[bytes], Model, Model]:
-    """The shared vocabulary, the target model and the background model.
-
-    All rows of ``df`` are background; those whose key is among the rows (key) of ``targets`` are
-    target as well. Null keys are no targets. What comes to the driver is bounded by
-    ``VOCABULARY`` and ``BUCKETS``; ties in frequency go to the smaller word. Up to
-    ``BROADCAST_ROWS`` target keys, counted, are broadcast; with more the texts are shuffled.
-    """
-    ranked = word_counts(df, text).orderBy(F.desc("n"), "word").limit(VOCABULARY)
-    vocabulary = [bytes(row["word"]) for row in ranked.collect()]
-    keys = targets.where(F.col(key).isNotNull()).select(F.col(key).alias("_key")).distinct().withColumn("_target", F.lit(True))
-    if keys.count() <= BROADCAST_ROWS:
-        keys = F.broadcast(keys)
-    marked = df.join(keys, df[key] == F.col("_key"), "left").select(df[text].alias("text"), "_target")
-    table = count(marked, vocabulary, F.col("_target")).toArrow()
-    size = len(vocabulary) + 2
-    models = []
-    for name in ("target", "background"):
-        sums = np.zeros(size + BUCKETS, np.int64)
-        sums[table.column("place").to_numpy()] = table.column(name).to_numpy()
-        models.append(Model(sums[:size], sums[size:]))
-    return vocabulary, *models
-
-
-def score(df: DataFrame, trained: tuple[list[bytes], Model, Model], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_words, target_loss, background_loss, score) of each whole text, losses in nats a word.
-
-    ``score`` is the mean difference of the losses. A text without words (null, empty) has null
-    losses and a null score. One row per input row; row-local, no shuffle.
-    """
-    shipped = df.sparkSession.sparkContext.broadcast(trained)
-
-    def make() -> Callable[[list], list]:
-        vocabulary, target, background = shipped.value
-        read = Reader(vocabulary)
-
-        def work(texts: list[str | None]) -> list:
-            words, before, lengths = read(texts)
-            cells = bucket(before, words)
-            owner = np.repeat(np.arange(len(texts)), lengths)
-            means = []
-            for model in (target, background):
-                sums = np.bincount(owner, model.losses(words, before, cells), len(texts))
-                means.append(np.where(lengths > 0, sums / np.maximum(lengths, 1), np.nan))
-            arrays = [pd.Series(x).where(lengths > 0) for x in (*means, means[0] - means[1])]
-            return [lengths, *(pa.array(x, pa.float64(), from_pandas=True) for x in arrays)]
-
-        return work
-
-    schema = "n_words bigint, target_loss double, background_loss double, score double"
-    return map_text(df, make, (key, text), schema, [pa.int64()] + [pa.float64()] * 3)
-
-
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
     """Of batches (text_key, text, target): keys, rows and target rows of distinct texts, hashes of their words, lengths."""
     held: list[tuple[np.ndarray, ...]] = []
@@ -277,11 +132,12 @@ def score_whole(df: DataFrame, targets: DataFrame, key: str = "doc_id", text: st
     make up more than a share of a part. ``score`` is the mean difference of the losses. A text
     without words (null, empty) has null losses and a null score. One row per input row.
     """
-    keys = targets.where(F.col(key).isNotNull()).select(F.col(key).alias("_key")).distinct().withColumn("_target", F.lit(True))
+    rows = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    keys = targets.where(F.col(key).isNotNull()).select(F.col(key).alias("target_id")).distinct()
     if keys.count() <= BROADCAST_ROWS:
         keys = F.broadcast(keys)
-    marked = df.join(keys, df[key] == F.col("_key"), "left")
-    marked = marked.select(F.xxhash64(df[text]).alias("text_key"), df[text].alias("text"), F.coalesce("_target", F.lit(False)).alias("target"))
+    marked = rows.join(keys, F.col("id") == F.col("target_id"), "left")
+    marked = marked.select(F.xxhash64("text").alias("text_key"), "text", F.col("target_id").isNotNull().alias("target"))
     words = written(whole_words(marked), "lm-words")
     start = F.col("word") == int(START)
     sums = words.agg(*(F.coalesce(F.sum(x), F.lit(0)) for x in ("background", "target")), F.count(F.when(~start, 1))).first()

@@ -127,9 +127,10 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
     chosen = marked.withColumn("_place", F.xxhash64(key)).orderBy("_place", key).limit(SAMPLE_ROWS)
     chosen = chosen.select(F.col(key).alias("_key"), "_good", part.alias("_train"))
     chosen = written(chosen, "quality-sample")
-    flagged = df.join(F.broadcast(chosen), df[key] == F.col("_key"), "left")
+    rows = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    flagged = rows.join(F.broadcast(chosen), F.col("id") == F.col("_key"), "left")
     is_target = F.coalesce(F.col("_good") & F.col("_train"), F.lit(False))
-    table = _counts(flagged.select(df[text].alias("text"), is_target.alias("is_target"))).toArrow()
+    table = _counts(flagged.select("text", is_target.alias("is_target"))).toArrow()
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     raw[table.column("cell").to_numpy()] = table.column("raw").to_numpy()
     target[table.column("cell").to_numpy()] = table.column("target").to_numpy()
@@ -137,8 +138,8 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
         return Model(np.zeros(BUCKETS), -math.inf)
     logs = [np.log((x + PRIOR) / (x.sum() + PRIOR * BUCKETS)) for x in (target, raw)]
     ratios = np.rint((logs[0] - logs[1]) / _UNIT) * _UNIT
-    held = df.join(F.broadcast(chosen.where("_good AND NOT _train")), df[key] == F.col("_key"))
-    seen = _weights(held.select(df[key].alias("doc_id"), df[text].alias("text")), ratios, ("doc_id", "text"))
+    held = rows.join(F.broadcast(chosen.where("_good AND NOT _train")), F.col("id") == F.col("_key"))
+    seen = _weights(held.select(F.col("id").alias("doc_id"), "text"), ratios, ("doc_id", "text"))
     weights = np.sort([row["weight"] for row in seen.select("weight").collect()])
     return Model(ratios, float(weights[int(LOST * len(weights))]) if len(weights) else -math.inf)
 

@@ -14,9 +14,9 @@ distinct words can be remembered.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
-import zlib
 from collections.abc import Iterable
 from functools import partial
 
@@ -50,6 +50,7 @@ class Counter(dict):
             if piece:
                 self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
+        self.longest = max(map(len, known), default=1)
         self.unknown = min(known.values(), default=0.0) - UNKNOWN_PENALTY
         self.by_bytes = all(f"<0x{b:02X}>" in known for b in range(256))
 
@@ -62,32 +63,33 @@ class Counter(dict):
         return count
 
     def pieces(self, word: str) -> int:
-        """Pieces on the best path over ``word``."""
-        n = len(word)
-        score = [0.0] * (n + 1)
-        count = [0] * (n + 1)
-        unknown = [False] * (n + 1)  # the best path ends in a run of unknown characters
-        ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-        alone = [False] * (n + 1)  # a piece covers just the character that ends here
-        for last, (length, value) in self.automaton.iter(word):
-            ends[last + 1].append((length, value))
-            alone[last + 1] |= length == 1
-        for end in range(1, n + 1):
+        """Pieces on the best path over ``word``; only the last places that a piece can reach back to are held."""
+        size = min(self.longest, len(word)) + 1
+        score, count = [0.0] * size, [0] * size
+        unknown = [False] * size  # the best path ends in a run of unknown characters
+        hits = self.automaton.iter(word)  # by the place where a piece ends
+        last, piece = next(hits, (-1, None))
+        for end in range(1, len(word) + 1):
+            here, alone = [], False  # alone: a piece covers just the character that ends here
+            while last == end - 1:
+                here.append(piece)
+                alone |= piece[0] == 1
+                last, piece = next(hits, (-1, None))
             best, start, missing = -math.inf, end - 1, True
-            for length, value in sorted(ends[end], reverse=True):  # the longest starts first
-                if (found := score[end - length] + value) > best:
+            for length, value in sorted(here, reverse=True):  # the longest starts first
+                if (found := score[(end - length) % size] + value) > best:
                     best, start, missing = found, end - length, False
-            if not alone[end] and (found := score[end - 1] + self.unknown) > best:
+            if not alone and (found := score[(end - 1) % size] + self.unknown) > best:
                 best, start, missing = found, end - 1, True
-            score[end] = best
+            at, before = end % size, start % size
             if not missing:
-                count[end] = count[start] + 1
+                pieces = count[before] + 1
             elif self.by_bytes:
-                count[end] = count[start] + len(word[start].encode())
+                pieces = count[before] + len(word[start].encode())
             else:
-                count[end] = count[start] + (not unknown[start])
-            unknown[end] = missing
-        return count[n]
+                pieces = count[before] + (not unknown[before])
+            score[at], count[at], unknown[at] = best, pieces, missing
+        return count[len(word) % size]
 
     def count(self, text: str | None) -> int:
         if not text:
@@ -99,15 +101,14 @@ class Counter(dict):
 
 
 _WORD = re.compile(f"{MARK}[^{MARK}]*")
-_SHARED: dict[int, Counter] = {}
+_SHARED: dict[bytes, Counter] = {}
 
 
 def _each(shipped):
-    pieces = shipped.value
-    key = zlib.crc32(repr((len(pieces), pieces[:64], pieces[-64:])).encode())
-    if key not in _SHARED:
-        _SHARED[key] = Counter(pieces)
-    counter = _SHARED[key]
+    name, pieces = shipped.value
+    if name not in _SHARED:
+        _SHARED[name] = Counter(pieces)
+    counter = _SHARED[name]
     return lambda texts: [[counter.count(text) for text in texts]]
 
 
@@ -118,5 +119,7 @@ def count_tokens(df: DataFrame, scores: list[tuple[str, float]], key: str = "doc
     score holds. A null or empty text has no tokens; one row per input row, repeated rows
     included; other columns are left out. Row-local: no shuffle.
     """
-    shipped = df.sparkSession.sparkContext.broadcast(scores)
+    # A worker keeps the counter of each vocabulary, told by all its pieces and scores.
+    name = hashlib.sha256(repr(list(scores)).encode()).digest()
+    shipped = df.sparkSession.sparkContext.broadcast((name, scores))
     return map_text(df, partial(_each, shipped), (key, text), "n_tokens bigint", [pa.int64()])

@@ -11,61 +11,6 @@ from quire.llm import lm, queries
 SF_DIR = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("broadcast_rows", [lm.BROADCAST_ROWS, 0])
-def test_counts_and_losses_by_brute_force(spark, monkeypatch, broadcast_rows):
-    rng = random.Random(8)
-    monkeypatch.setattr(lm, "VOCABULARY", 6)
-    monkeypatch.setattr(lm, "BROADCAST_ROWS", broadcast_rows)
-    texts = [" ".join(rng.choice("aa bb cc dd ee ff gg hh".split()) for _ in range(rng.randint(0, 30))) for _ in range(40)] + [None]
-    df = frame(spark, texts, "'x' AS score")
-    trained = lm.train(df, df.where("doc_id % 3 = 0").select("doc_id"))
-    vocabulary, target, background = trained
-    counts = Counter(w for t in texts for w in (t or "").split())
-    assert vocabulary == [w.encode() for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:6]]
-    numbers = {w.decode(): i + 2 for i, w in enumerate(vocabulary)}
-    size = len(vocabulary) + 2
-
-    def model(some):
-        unigrams, cells = np.zeros(size), Counter()
-        for text in some:
-            ids = [numbers.get(w, 0) for w in (text or "").split()]
-            for before, word in zip([1, *ids], ids):
-                unigrams[word] += 1
-                cells[int(lm.bucket(np.array([before]), np.array([word]))[0])] += 1
-            unigrams[1] += bool(ids)
-
-        def loss(before, word):
-            p = (unigrams[word] + 1) / (unigrams.sum() + size)
-            n = min(cells[int(lm.bucket(np.array([before]), np.array([word]))[0])], unigrams[before])
-            return -math.log((n + lm.PRIOR * p) / (unigrams[before] + lm.PRIOR))
-
-        return loss
-
-    losses = [model([t for i, t in enumerate(texts) if i % 3 == 0]), model(texts)]
-    for row in lm.score(df, trained).collect():
-        ids = [numbers.get(w, 0) for w in (texts[row.doc_id] or "").split()]
-        assert row.n_words == len(ids)
-        if not ids:
-            assert row.target_loss is None and row.score is None
-            continue
-        want = [sum(f(b, w) for b, w in zip([1, *ids], ids)) / len(ids) for f in losses]
-        assert np.allclose([row.target_loss, row.background_loss, row.score], [*want, want[0] - want[1]], atol=1e-5)
-
-
-def test_word_counts(spark, monkeypatch):
-    monkeypatch.setattr(lm, "HELD", 2)
-    found = {bytes(r.word): r.n for r in lm.word_counts(frame(spark, ["a b a", "B, c!", None, "d e f a"])).collect()}
-    assert found == {b"a": 3, b"b": 2, b"c": 1, b"d": 1, b"e": 1, b"f": 1}
-
-
-def test_awkward(spark):
-    df = awkward(spark)
-    trained = lm.train(df, df.limit(0).select("doc_id"))
-    assert lm.score(df, trained).count() == 9
-    empty = lm.train(df.limit(0), df.select("doc_id"))
-    assert lm.score(df, empty).count() == 9 and lm.score(df.limit(0), trained).count() == 0
-
-
 def test_query_tells_good_from_bad(spark):
     rows = queries.registered()["op8_lm_score"](spark, SF_DIR).toPandas()
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").toPandas()
@@ -109,6 +54,9 @@ def test_whole_by_brute_force(spark, monkeypatch, tmp_path, parts, broadcast_row
 
 
 def test_whole_awkward(spark):
-    df = awkward(spark)
+    df = awkward(spark).selectExpr("*", "1 AS _key", "2 AS _target", "3 AS target", "4 AS id", "5 AS text_key")
     assert lm.score_whole(df, df.limit(0).select("doc_id")).count() == 9
+    found = lm.score_whole(df, df).collect()
+    assert len(found) == 9 and all((r.score is None) == (r.n_words == 0) for r in found)
+    assert len({r.score for r in found if r.doc_id == 6}) == 1
     assert lm.score_whole(df.limit(0), df.select("doc_id")).count() == 0

@@ -20,7 +20,7 @@ def plain_sets(texts):
     return out
 
 
-def plain(rows):
+def plain(rows, percent=85):
     """component by brute force over all pairs, of (id, text) rows with different ids."""
     sets = plain_sets([text for _, text in rows])
     up = {i: i for i, _ in rows}
@@ -33,7 +33,7 @@ def plain(rows):
     for a in range(len(rows)):
         for b in range(a):
             both = len(sets[a] & sets[b])
-            if sets[a] and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+            if sets[a] and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                 x, y = top(rows[a][0]), top(rows[b][0])
                 up[max(x, y)] = min(x, y)
     return {i: (len(s), top(i), top(i) == i) for (i, _), s in zip(rows, sets, strict=True)}

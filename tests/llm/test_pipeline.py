@@ -36,7 +36,7 @@ def test_stages(spark):
             assert set(kept[name]) == wanted and all(kept[name][i] == before[i] for i in wanted)
         if name == "MinHash near-dedup":
             texts = [(i, r.text) for i, r in kept["quality classifier"].items()]
-            assert set(kept[name]) == {i for i, (_, _, stays) in plain_components(sorted(texts)).items() if stays}
+            assert set(kept[name]) == {i for i, (_, _, stays) in plain_components(sorted(texts), corpus_pipeline.NEAR_PERCENT).items() if stays}
         if name == "benchmark decontamination":
             items = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("item_id", "text").collect()]
             texts = [(i, r.text) for i, r in kept["MinHash near-dedup"].items()]

@@ -66,7 +66,7 @@ def test_query_keeps_clean_and_drops_bad(spark):
 
 
 def test_awkward(spark):
-    df = awkward(spark)
+    df = awkward(spark).selectExpr("*", "1 AS _key", "true AS _good", "false AS _train", "7 AS id", "8 AS _place")
     labels = spark.createDataFrame([(6, True), (6, False), (5, True), (None, True), (4, None), (99, True)], "doc_id long, is_good boolean")
     model = quality.fit(df, labels)
     rows = quality.classify(df.selectExpr("*", "1 AS weight"), model).collect()

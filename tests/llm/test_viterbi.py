@@ -54,3 +54,24 @@ def test_query(spark):
     count = library(queries.unigram_scores(), True)
     rows = {r.doc_id: r.n_tokens for r in queries.registered()["op6_token_counts"](spark, SF_DIR).collect()}
     assert rows == {i: count(text) for i, text in texts.items()}
+
+
+def test_two_vocabularies_in_one_worker(spark):
+    """Vocabularies that differ in the middle only are told apart."""
+    pieces = [(f"{viterbi.MARK}w{i}", -1.0 - i / 1000) for i in range(300)]
+    other = [(p.replace("w150", "q150"), s) for p, s in pieces]
+    df = spark.createDataFrame([(i, "w150 w3") for i in range(8)], "doc_id long, text string").repartition(2)
+    for scores in (pieces, other, pieces):
+        want = viterbi.Counter(scores).count("w150 w3")
+        assert {r.n_tokens for r in viterbi.count_tokens(df, scores).collect()} == {want}
+
+
+def test_long_runs_take_little_memory():
+    import tracemalloc
+
+    counter = viterbi.Counter([("a", -1.0), ("aa", -1.5), ("ab" * 8, -2.0)])
+    word = "ab" * 200_000
+    tracemalloc.start()
+    assert counter.pieces(word) == 25_000
+    assert tracemalloc.get_traced_memory()[1] < 8 * len(word)  # the automaton's own copy of the word
+    tracemalloc.stop()
