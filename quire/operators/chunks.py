@@ -139,6 +139,58 @@ def verify_chunks(chunks: DataFrame, documents: DataFrame) -> DataFrame:
     )
 
 
+#: Digests that one node of the hash tree is over.
+TREE_FANOUT = 1024
+
+
+def with_digest(chunks: DataFrame) -> DataFrame:
+    """Chunk rows with ``chunk_sha256``, the leaf of the hash tree; made where the row is."""
+    return chunks.withColumn("chunk_sha256", F.sha2("content", 256))
+
+
+def tree_roots(leaves: DataFrame) -> DataFrame:
+    """(document_id, content_root) of (document_id, chunk_index, chunk_sha256).
+
+    Level by level ``TREE_FANOUT`` digests in order make one, here in two steps: a node is the hash of its
+    digests put together. So a document of very many chunks is the work of many tasks.
+    """
+    node = F.floor(F.col("chunk_index") / TREE_FANOUT).alias("node")
+    nodes = leaves.groupBy("document_id", node).agg(
+        F.expr("sha2(listagg(chunk_sha256, '') WITHIN GROUP (ORDER BY chunk_index), 256)").alias("digest")
+    )
+    return nodes.groupBy("document_id").agg(F.expr("sha2(listagg(digest, '') WITHIN GROUP (ORDER BY node), 256)").alias("content_root"))
+
+
+def verify_tree(chunks: DataFrame, documents: DataFrame) -> DataFrame:
+    """One row per document: which chunks are damaged, and is the document what its root says?
+
+    ``chunks`` come as stored, with ``chunk_sha256``; ``documents`` with ``content_root``. Every chunk is
+    hashed where it is read: what is shuffled are digests and numbers, never ``content``, and a long
+    file is the work of as many tasks as it has row groups. ``damaged_chunks`` are the numbers of the
+    chunks whose bytes do not give their digest; a chunk that is missing, repeated or has another
+    digest changes the root.
+    """
+    read = chunks.select(
+        "document_id", "chunk_index", "chunk_length_bytes", "chunk_sha256",
+        (F.coalesce(F.sha2("content", 256) != F.col("chunk_sha256"), F.lit(True)) | (F.length("content") != F.col("chunk_length_bytes"))).alias("damaged"),
+    )
+    totals = read.groupBy("document_id").agg(
+        F.count("*").alias("stored"), F.sum("chunk_length_bytes").alias("bytes"),
+        F.array_sort(F.collect_list(F.when(F.col("damaged"), F.col("chunk_index")))).alias("damaged_chunks"),
+    )
+    found = totals.join(tree_roots(read).withColumnRenamed("content_root", "found_root"), "document_id")
+    kept = documents.select("document_id", "file_size_bytes", "chunk_count", "content_root").join(found, "document_id", "left")
+    damaged = F.coalesce("damaged_chunks", F.array().cast("array<int>"))
+    return kept.select(
+        "document_id", "chunk_count", "content_root", damaged.alias("damaged_chunks"),
+        (
+            (F.size(damaged) == 0) & F.col("content_root").eqNullSafe(F.col("found_root"))
+            & (F.coalesce("stored", F.lit(0)) == F.col("chunk_count"))
+            & (F.coalesce("bytes", F.lit(0)) == F.col("file_size_bytes"))
+        ).alias("intact"),
+    )
+
+
 def chunk_gaps(chunks: DataFrame, documents: DataFrame) -> DataFrame:
     """Completeness per document by numbers alone; ``content`` is never read.
 

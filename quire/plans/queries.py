@@ -17,6 +17,8 @@ from quire.functions.pdf_dates import parse_pdf_date
 from quire.operators import chunks, loading, ocr, ranking, search
 from quire.operators.checks import not_null_violations
 from quire.plans.load import LoadOptions, dry_run, load_files
+from quire.plans.store import CHUNKS as CHUNK_ROWS
+from quire.plans.store import DOCUMENTS as DOCUMENT_ROWS
 from quire.plans.store import PageStore
 from quire.schemas import CHUNKS, DOCUMENTS, PAGES, required
 from quire.session import shared_dir, ship_package, spread
@@ -308,6 +310,13 @@ def chunk_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.verify_chunks(store.chunks(), store.documents())
 
 
+def chunk_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verification by the digests of chunks, in place."""
+    store = loaded_store(spark, sf_dir)
+    found = chunks.verify_tree(store.table(CHUNK_ROWS), store.table(DOCUMENT_ROWS))
+    return found.withColumn("damaged_chunks", F.array_join(F.col("damaged_chunks").cast("array<string>"), ","))
+
+
 def chunk_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = loaded_store(spark, sf_dir)
     return chunks.chunk_gaps(store.chunks(), store.documents())
@@ -384,14 +393,14 @@ def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report of the first load of all files."""
     store = loaded_store(spark, sf_dir)
     first = store.snapshot().loads[0]
-    return spark.read.parquet(f"{store.root}/reports/{first}").drop("load_seconds", "error")
+    return spark.read.parquet(f"{store.root}/reports/{first}").drop("load_seconds", "extract_seconds", "error")
 
 
 def replace_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report of a replacing load of all files."""
     store = replaced_store(spark, sf_dir)
     last = store.snapshot().loads[-1]
-    return spark.read.parquet(f"{store.root}/reports/{last}").drop("load_seconds", "error")
+    return spark.read.parquet(f"{store.root}/reports/{last}").drop("load_seconds", "extract_seconds", "error")
 
 
 def _damaged(stream, name: str) -> dict:
@@ -441,6 +450,22 @@ def search_wildcard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded_store(spark, sf_dir).search_pages(WILDCARD)
 
 
+def gram_store(spark: SparkSession, sf_dir: str) -> PageStore:
+    """The loaded store with its trigram index, in a session of queries once."""
+    store = loaded_store(spark, sf_dir)
+    _store(spark, sf_dir, "grams", lambda _: store.update_grams())
+    return store
+
+
+def search_substring_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Substring search that reads candidate pages only."""
+    return gram_store(spark, sf_dir).search_pages(SUBSTRING)
+
+
+def search_wildcard_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gram_store(spark, sf_dir).search_pages(WILDCARD)
+
+
 def search_shown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 20 hits as shown to a reader."""
     return search.squeeze_snippets(loaded_store(spark, sf_dir).search_pages("the", limit=20))
@@ -551,6 +576,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sql_search_pages": sql_search_pages,
         "chunk_verify": chunk_verify,
         "chunk_gaps": chunk_gaps,
+        "chunk_tree": chunk_tree,
         "chunk_order": chunk_order,
         "migrate_page_id": migrate_page_id,
         "already_loaded": already_loaded,
@@ -569,6 +595,8 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "search_substring": search_substring,
         "search_wildcard": search_wildcard,
         "search_shown": search_shown,
+        "search_substring_grams": search_substring_grams,
+        "search_wildcard_grams": search_wildcard_grams,
         "document_text": document_text,
         "tokenize_pages": tokenize_pages,
         "index_postings": index_postings,

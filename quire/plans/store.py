@@ -24,13 +24,19 @@ from pyspark.sql import types as T
 
 from quire import schemas
 from quire.functions import identity, tokens
-from quire.operators import loading, ranking, search, segments
+from quire.operators import grams, loading, ranking, search, segments
 from quire.operators.chunks import MAX_CHUNK_BYTES
 from quire.operators.ranking import LiveCheck, SearchIndex
 from quire.operators.segments import Settings
 
 DOCUMENTS, PAGES, CHUNKS, RETIRED = "documents", "document_pages", "document_chunks", "retired"
-TABLES = {DOCUMENTS: schemas.DOCUMENTS, PAGES: schemas.PAGES, CHUNKS: schemas.CHUNKS}
+GRAMS = "grams"
+# As stored: with the digest of each chunk and the root over those of a document, for ``verify_tree``.
+TABLES = {
+    DOCUMENTS: T.StructType([*schemas.DOCUMENTS.fields, T.StructField("content_root", T.StringType())]),
+    PAGES: schemas.PAGES,
+    CHUNKS: T.StructType([*schemas.CHUNKS.fields, T.StructField("chunk_sha256", T.StringType())]),
+}
 _RETIRED_SCHEMA = T.StructType([T.StructField("document_id", T.StringType())])
 INDEX_MODES = ("in-place", "copy", "skip")
 ROW_GROUP_BYTES = 64 * 1024 * 1024
@@ -101,7 +107,10 @@ class PageStore:
     def table(self, name: str, at: Snapshot | None = None, loads: tuple[str, ...] | None = None) -> DataFrame:
         """Live rows of a table, or of some of its ``loads``, with their ``load_id``."""
         at = at or self.snapshot()
-        rows = self._rows(name, TABLES[name], at.loads if loads is None else loads)
+        return self._living(self._rows(name, TABLES[name], at.loads if loads is None else loads), at)
+
+    def _living(self, rows: DataFrame, at: Snapshot) -> DataFrame:
+        """Stored rows but those of documents that a later load replaced or deleted."""
         if not at.retiring:
             return rows
         gone = self.retired(at).withColumnRenamed("document_id", "_gone")
@@ -145,7 +154,7 @@ class PageStore:
 
     def discard(self, load_id: str) -> None:
         """Remove the rows of a load that failed or was never committed."""
-        for table in (DOCUMENTS, PAGES, CHUNKS, RETIRED, "staging"):
+        for table in (DOCUMENTS, PAGES, CHUNKS, RETIRED, GRAMS, "staging"):
             self._folders.remove(f"{self.root}/{table}/load_id={load_id}")
 
     def discard_staging(self, load_id: str) -> None:
@@ -165,7 +174,7 @@ class PageStore:
         doomed = self.documents().join(ids.select("document_id").distinct(), "document_id", "left_semi")
         gone = self.write(RETIRED, doomed.select("document_id").distinct(), load_id)
         self.write(DOCUMENTS, self.spark.createDataFrame([], schemas.DOCUMENTS), load_id)
-        for name in TABLES:
+        for name in (DOCUMENTS, PAGES, CHUNKS):
             left = self.table(name).join(gone, "document_id", "left_semi").limit(1).count()
             if left:
                 raise RuntimeError(f"deleted documents still have rows in {name}")
@@ -372,9 +381,35 @@ class PageStore:
         at = self.snapshot()
         return search.document_text(self.documents(at), self.pages(at))
 
+    def update_grams(self) -> int:
+        """Index the trigrams of loads that lack it, so that ``search_pages`` reads candidate pages only; returns their number."""
+        at, done = self.snapshot(), set(self._ids(f"{self.root}/{GRAMS}/load_id=*/_SUCCESS"))
+        with_pages = set(self._ids(f"{self.root}/{PAGES}/load_id=*"))  # a load that only deletes has none
+        fresh = [x for x in at.loads if x in with_pages and x not in done]
+        for load_id in fresh:
+            grams.write_grams(self._rows(PAGES, schemas.PAGES, [load_id]), f"{self.root}/{GRAMS}/load_id={load_id}")
+        return len(fresh)
+
     def search_pages(self, term: str | None, limit: int | None = None) -> DataFrame:
-        at = self.snapshot()
-        return search.search_pages(self.documents(at), self.pages(at), term, limit)
+        """Pages that contain the term in any case; ``%`` and ``_`` are wildcards.
+
+        Loads whose trigrams are indexed (``update_grams``) are searched by these, all others by reading
+        their pages; so are terms without a literal part of three characters.
+        """
+        at, documents = self.snapshot(), None
+        done = set(self._ids(f"{self.root}/{GRAMS}/load_id=*/_SUCCESS")) & set(at.loads)
+        wanted = grams.term_grams(self.spark, term) if done and term else []
+        documents = self.documents(at)
+        if not wanted:
+            return search.search_pages(documents, self.pages(at), term, limit)
+        inside, outside = ([x for x in at.loads if (x in done) == known] for known in (True, False))
+        index = self.spark.read.option("basePath", f"{self.root}/{GRAMS}").schema(grams.GRAMS)
+        index = index.parquet(*[f"{self.root}/{GRAMS}/load_id={x}" for x in inside])
+        pages = grams.matching_pages(self._rows(PAGES, schemas.PAGES, inside), index, term, wanted)
+        pages = self._living(pages, at)
+        if outside:
+            pages = pages.unionByName(self.table(PAGES, at, tuple(outside)))
+        return search.search_pages(documents, pages, term, limit)
 
     def search_pages_ranked(
         self, query: str, top_k: int = ranking.TOP_K, all_terms: bool = False,

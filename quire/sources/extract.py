@@ -9,6 +9,7 @@ many pages is spread over many tasks.
 from __future__ import annotations
 
 import codecs
+import time
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
@@ -98,7 +99,7 @@ def extract_pages(
     opener: Callable[[str], BinaryIO] = open_uri,
 ) -> DataFrame:
     """Run a plug-in over file rows (document_id with file_path or content); a failing file fails the job."""
-    raw = raw_pages(files, plugin, max_pages, reveal_hidden_layers, opener)
+    raw = raw_pages(files, plugin, max_pages, reveal_hidden_layers, opener).where("seconds IS NULL").drop("seconds")
     failed = F.raise_error(F.concat(F.col("document_id"), F.lit(": "), F.col("error"))).cast("string")
     checked = raw.withColumn("document_id", F.when(F.col("error").isNull(), F.col("document_id")).otherwise(failed))
     return finish_pages(checked.drop("error"))
@@ -113,7 +114,8 @@ def raw_pages(
 ) -> DataFrame:
     """What a plug-in reports, with ``error``: a file that fails has one more row with its message and no page number.
 
-    Its pages before the failure stand beside that row; ``good_pages`` leaves them out.
+    Its pages before the failure stand beside that row; ``good_pages`` leaves them out. Every run of
+    the plug-in, over a file or a range of its pages, ends with a row of nothing but its ``seconds``.
     """
     has_content = "content" in files.columns
     source = "content" if has_content else "file_path"
@@ -135,6 +137,7 @@ def raw_pages(
             ("document_id", pa.string()), ("page_number", pa.int32()), ("page_label", pa.string()),
             ("width_pt", pa.float64()), ("height_pt", pa.float64()), ("rotation", pa.int32()),
             ("image_count", pa.int32()), ("page_text", pa.string()), ("error", pa.string()),
+            ("seconds", pa.float64()),
         ])
         held: list[dict] = []
         for batch in batches:
@@ -142,7 +145,7 @@ def raw_pages(
                 wanted = PageRange(
                     batch.column("_first")[i].as_py(), batch.column("_last")[i].as_py(), reveal_hidden_layers
                 )
-                document = batch.column("document_id")[i].as_py()
+                document, started = batch.column("document_id")[i].as_py(), time.perf_counter()
                 try:
                     with _open_row(batch, i, has_content, opener) as stream:
                         for page in plugin.pages(stream, wanted):
@@ -154,10 +157,11 @@ def raw_pages(
                                 held = []
                 except Exception as exc:
                     held.append({"document_id": document, "error": f"{type(exc).__name__}: {exc}"})
+                held.append({"document_id": document, "seconds": time.perf_counter() - started})
         if held:
             yield pa.RecordBatch.from_pylist(held, schema=schema)
 
-    return units.mapInArrow(extracted, f"{RAW_PAGE}, error string")
+    return units.mapInArrow(extracted, f"{RAW_PAGE}, error string, seconds double")
 
 
 def failures(raw: DataFrame) -> DataFrame:
@@ -166,7 +170,13 @@ def failures(raw: DataFrame) -> DataFrame:
 
 
 def good_pages(raw: DataFrame, failed: DataFrame) -> DataFrame:
-    return finish_pages(raw.where("error IS NULL").drop("error").join(failed, "document_id", "left_anti"))
+    pages = raw.where("error IS NULL AND seconds IS NULL").drop("error", "seconds")
+    return finish_pages(pages.join(failed, "document_id", "left_anti"))
+
+
+def file_seconds(raw: DataFrame) -> DataFrame:
+    """(document_id, extract_seconds): time that the plug-in took for each file, over all its runs."""
+    return raw.where("seconds IS NOT NULL").groupBy("document_id").agg(F.sum("seconds").alias("extract_seconds"))
 
 
 # --- plug-ins ---------------------------------------------------------------------------

@@ -205,6 +205,29 @@ def test_verification_finds_damage(spark):
     assert chunks.chunk_order(good).where("not continues").count() == 0
 
 
+def test_tree_names_damaged_chunks(spark, tmp_path, monkeypatch):
+    """Damage is found where the chunk is read, and nothing of the bytes is shuffled."""
+    monkeypatch.setattr(chunks, "TREE_FANOUT", 4)
+    spark.createDataFrame([("d", BLOB), ("empty", b"")], "document_id string, content binary").write.parquet(str(tmp_path / "files"))
+    column = spark.read.parquet(str(tmp_path / "files"))
+    good = chunks.with_digest(chunks.cut_chunks(column, 1000))
+    digests = [hashlib.sha256(BLOB[i : i + 1000]).hexdigest() for i in range(0, len(BLOB), 1000)]
+    nodes = [hashlib.sha256("".join(digests[i : i + 4]).encode()).hexdigest() for i in range(0, 10, 4)]
+    root = hashlib.sha256("".join(nodes).encode()).hexdigest()
+    assert [r.content_root for r in chunks.tree_roots(good).collect()] == [root]
+    documents = _documents(spark).withColumn("content_root", F.when(F.col("document_id") == "d", root))
+    verified = lambda c: {r.document_id: (r.damaged_chunks, r.intact) for r in chunks.verify_tree(c, documents).collect()}
+    assert verified(good) == {"d": ([], True), "empty": ([], True)}
+    hurt = good.withColumn("content", F.when(F.col("chunk_index").isin(3, 8), F.lit(b"x" * 1000)).otherwise(F.col("content")))
+    assert verified(hurt) == {"d": ([3, 8], False), "empty": ([], True)}
+    for broken in (good.where("chunk_index <> 4"), good.union(good.where("chunk_index = 5")), good.withColumn("chunk_sha256", F.lit("0"))):
+        assert not verified(broken)["d"][1]
+    for line in chunks.verify_tree(good, documents)._jdf.queryExecution().executedPlan().toString().split("\n"):
+        assert "Exchange" not in line or "content#" not in line
+    plan = chunks.verify_tree(good, documents)._jdf.queryExecution().optimizedPlan().toString()
+    assert all("content#" not in x.split("Aggregate", 1)[1] or "sha2" in x for x in plan.split("\n") if "Aggregate" in x)
+
+
 def test_required_columns(spark):
     rows = spark.createDataFrame([("d", 0, None, 1, b"x")], "document_id string, chunk_index int, byte_offset long, chunk_length_bytes int, content binary")
     counted = {r.column_name: r.null_rows for r in not_null_violations(rows, ["document_id", "byte_offset"]).collect()}

@@ -1,6 +1,7 @@
 """Load, skip, replace, delete, fail, vacuum, stream: what stays visible."""
 
 import hashlib
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,6 +113,7 @@ def test_delete_and_vacuum(spark, store, folder):
     assert done["abandoned_loads"] == 1 and done["rewritten_loads"] == 1
     assert sizes(store) == before and store.snapshot().retiring == ()
     assert chunks.verify_chunks(store.chunks(), store.documents()).where("not intact").count() == 0
+    assert chunks.verify_tree(store.table(CHUNKS), store.table(DOCUMENTS)).where("intact").count() == 3
     assert store.vacuum() == {"abandoned_loads": 0, "rewritten_loads": 0}
 
 
@@ -152,6 +154,26 @@ def test_broken_load_leaves_nothing(spark, store, folder, monkeypatch):
     assert not store._folders.matching(f"{store.root}/*/load_id=*")
 
 
+def _slow(stream, wanted):
+    """Takes its time over the third station's log."""
+    for number, leaf in enumerate(stream.read().decode().split("\f"), start=1):
+        if "Station 2" in leaf:
+            time.sleep(0.2)
+        yield {"page_number": number, "page_text": leaf}
+
+
+@pytest.mark.parametrize("replace", [False, True])
+def test_report_has_seconds_of_each_file(spark, store, folder, replace):
+    options = LoadOptions(plugin=Plugin(_slow), replace=replace)
+    report = {r.file_name: r for r in load_files(store, scan(spark, folder), options).collect()}
+    seconds = {name: r.extract_seconds for name, r in report.items()}
+    assert seconds["f2.pdf"] >= 1.0 > seconds["f1.pdf"] > 0
+    # Of two copies one was extracted.
+    assert sorted([seconds["f0.pdf"] is None, seconds["copy of f0.pdf"] is None]) == [False, True]
+    assert sum(s for s in seconds.values() if s) <= 8 * report["f1.pdf"].load_seconds
+    assert store.pages().count() == 15 and store.documents().count() == 3
+
+
 def _no_pages(stream, wanted):
     return iter(())
 
@@ -269,3 +291,49 @@ def test_sql_surface(spark, store, folder):
     plain = store.search_pages("water MARK")
     assert found.columns == plain.columns and sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
     assert spark.sql(r"SELECT * FROM t_search_pages('back\\slash')").count() == 0
+
+
+def files_read(frame) -> int:
+    """Page files that the scan of a query opened."""
+    frame.collect()
+    leaves, found = [frame._jdf.queryExecution().executedPlan()], 0
+    while leaves:
+        node = leaves.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            leaves.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            leaves.append(node.plan())
+        else:
+            if name == "FileSourceScanExec" and "page_text" in node.toString():
+                found += node.metrics().apply("numFiles").value()
+            leaves += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_substring_search_by_trigrams(spark, store, folder):
+    """The same rows with and without the index, for loads with and without it; only files with candidates are opened."""
+    load_files(store, scan(spark, folder), OPTIONS)
+    (folder / "odd.pdf").write_text("Straße 99%_x\\y ÄRGER \U0001f600\U0001f601\U0001f602 finis\fplain page\fİstanbul", encoding="utf-8")
+    (folder / "late.pdf").write_bytes(body(7))
+    load_files(store, scan(spark, folder), OPTIONS)
+    terms = ["low WATER", "Station 2, leaf 3", "st_tion%leaf 1", "finis", "ärger", "99%", "\\y", "\U0001f600\U0001f601\U0001f602", "istanbul", "i\u0307stan",
+             "ab", "%", "", "no such words", "7403 7404", "s" * 90]
+    rows = lambda term: [tuple(r) for r in store.search_pages(term).collect()]
+    plain = {term: rows(term) for term in terms}
+    assert len(plain["low WATER"]) == 20 and len(plain["finis"]) == 1 and len(plain["Station 2, leaf 3"]) == 1
+    every = files_read(store.search_pages("finis"))
+    assert store.update_grams() == 2 and store.update_grams() == 0
+    assert {term: rows(term) for term in terms} == plain
+    assert files_read(store.search_pages("finis")) == 1 < every
+    assert files_read(store.search_pages("no such words")) == 0 and files_read(store.search_pages("ti")) == every
+    assert store.search_pages(None).count() == 0 and store.search_pages("low water", limit=4).count() == 4
+    # A load without trigrams is read as a whole; deleted and replaced documents are gone.
+    (folder / "new.pdf").write_bytes(body(8))
+    load_files(store, scan(spark, folder), OPTIONS)
+    store.delete_document(store.documents().where("file_name = 'odd.pdf'").first().document_id)
+    load_files(store, scan(spark, folder).where("file_name = 'f1.pdf'"), LoadOptions(chunk_bytes=1024, replace=True, max_pages=2))
+    assert rows("finis") == [] and len(rows("low water")) == 22 and len(rows("Station 1, leaf 1")) == 1
+    store.vacuum()
+    assert len(rows("low water")) == 22
+    assert store.update_grams() >= 1 and len(rows("low water")) == 22 and rows("finis") == []
