@@ -2,6 +2,11 @@
 
 Every stage but the last returns rows with the columns of its input; the last one returns the
 token ids. ``run`` writes each stage as Parquet to the shared folder and reads it again.
+
+What holds for every stage: a table may be empty, and then so is the result. A null text counts as an
+empty one; it is kept as null. Rows with a null id are rows like others. Columns besides ``doc_id``
+and ``text`` pass through whatever their names are. Decisions are made for pairs of id and text, so
+repeated rows share theirs. Texts are taken whole, however long they are.
 """
 
 from __future__ import annotations
@@ -42,13 +47,21 @@ def _kept(docs: DataFrame, decided: DataFrame, condition: str) -> DataFrame:
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the quality classifier does not sample."""
+    """Drops the documents that the quality classifier does not sample.
+
+    A null or empty text, or one shorter than an n-gram, weighs 0, and is dropped or kept by that. Texts
+    that tie with the last one sampled stay. Without labelled good texts everything stays.
+    """
     model = quality.fit(docs, quality.good(spark.read.parquet(f"{sf_dir}/labels.parquet")))
     return _kept(docs, quality.classify(docs, model), "accepted")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near copies the document with the smallest id, once if its row is repeated."""
+    """Keeps of each group of near copies the document with the smallest id, once if its row is repeated.
+
+    Texts without words, null ones among them, are near nothing. Rows without an id are near nothing; a
+    repeated one stays once like any other row. Of several texts with one id one is compared, and all share its fate.
+    """
     found = written(neardup.near_duplicates(docs, percent=NEAR_PERCENT), "pipeline-near-duplicates")
     kept = _kept(docs, found, "kept")
     repeated = found.where("kept").groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1")
@@ -59,13 +72,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a window of a benchmark item."""
+    """Drops documents that hold a window of a benchmark item; a text without words holds none."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return _kept(docs, decontaminate.decontaminate(docs, items), "n_hit = 0")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces secrets by a mask; ``n_chars`` follows where the table has it."""
+    """Replaces secrets by a mask; ``n_chars`` follows where the table has it. No row goes; null texts stay null."""
     ratios = secrets.train(secrets.labelled_tokens(spark, docs))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("given"))
     found = secrets.with_masked(secrets.scan(rows, ratios, "given"), "given", "secrets", "masked")
@@ -76,7 +89,10 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, token_ids, n_tokens, ids_sha256, decoded_sha256): packed ids and digests of ids and their decoding."""
+    """(doc_id, token_ids, n_tokens, ids_sha256, decoded_sha256): packed ids and digests of ids and their decoding.
+
+    One row per row, repeated ones included; a null or empty text has no tokens.
+    """
     return bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN).select(
         "doc_id", "token_ids", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
