@@ -25,7 +25,8 @@ from quire.sources.extract import TEXT, Plugin, failures, file_seconds, good_pag
 class LoadOptions:
     """``page_chars``: text in a ``content`` column is cut by expressions into pages of so many
     characters (0: at form feeds). None: ``plugin`` reads the files. ``ocr_engine`` gets
-    ``ocr_payload`` columns of each blank page with images; None leaves such pages blank."""
+    ``ocr_payload`` columns of each blank page with images; ``ocr_files`` is an engine that works on opened
+    files instead. None of both leaves such pages blank."""
 
     chunk_bytes: int = DEFAULT_CHUNK_BYTES
     replace: bool = False
@@ -35,6 +36,7 @@ class LoadOptions:
     plugin: Plugin = TEXT
     ocr_engine: Callable[[dict], str] | None = None
     ocr_payload: tuple[str, ...] = ("file_path", "page_number")
+    ocr_files: ocr.FileEngine | None = None
     opener: Callable[[str], BinaryIO] = sources.open_uri
 
 
@@ -84,6 +86,12 @@ def _extract(
         if extra:
             wanted = wanted.join(about.select("document_id", *extra), "document_id")
         pages = ocr.merge_ocr(pages, ocr.run_ocr(wanted, options.ocr_engine, list(options.ocr_payload)))
+    elif options.ocr_files:
+        pages.write.parquet(f"{staging}/pages")
+        pages = spark.read.parquet(f"{staging}/pages")
+        wanted = ocr.ocr_candidates(pages).join(about.select("document_id", "file_path", "file_size_bytes", "page_count"), "document_id")
+        bytes_a_page = F.col("file_size_bytes") / F.greatest(F.coalesce("page_count", F.lit(1)), F.lit(1))
+        pages = ocr.merge_ocr(pages, ocr.run_ocr_files(wanted, options.ocr_files, weight=bytes_a_page))
     return pages, failed
 
 

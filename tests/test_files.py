@@ -1,6 +1,9 @@
 """File listing, extraction, recognition and chunks on small generated files."""
 
 import hashlib
+import uuid
+from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -164,6 +167,48 @@ def test_recognition(spark, tmp_path):
     assert merged[4].extraction_method == "none" and merged[3].extraction_method == "native"
 
 
+class _Scan:
+    """An opened scan: notes when it is opened and closed in a folder beside it."""
+
+    def __init__(self, path):
+        if path.endswith("bad.scan"):
+            raise OSError("cannot be opened")
+        self.log = Path(path).parent / "opens" / f"{Path(path).name}-{uuid.uuid4().hex}"
+        self.log.write_text("open")
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        self.log.write_text("closed")
+
+
+def _read_page(scan, number):
+    if number % 50 == 7:
+        raise ValueError("smudged")
+    return f"{scan.log.name.split('-')[0]} {number}"
+
+
+def test_recognition_opens_files_for_runs_of_pages(spark, tmp_path):
+    (tmp_path / "opens").mkdir()
+    sizes = {"long.scan": 400, "bad.scan": 5, **{f"s{i}.scan": 1 + i % 3 for i in range(20)}}
+    rows = [(name, number, str(tmp_path / name)) for name, n in sizes.items() for number in range(1, n + 1)]
+    pages = spark.createDataFrame(rows, "document_id string, page_number int, file_path string").repartition(6)
+    tasks = 4
+    units = ocr._units(pages, F.lit(1), tasks).groupBy("task").count().collect()
+    assert len(units) == tasks and max(r["count"] for r in units) < 1.4 * len(rows) / tasks
+    found = {(r.document_id, r.page_number): r for r in ocr.run_ocr_files(pages, ocr.FileEngine(_Scan, _read_page), tasks=tasks).collect()}
+    assert len(found) == len(rows)
+    for (name, number), row in found.items():
+        smudged, bad = number % 50 == 7, name == "bad.scan"
+        assert (row.ocr_text == "") == (smudged or bad) and (row.error is None) == (row.ocr_text != "")
+        assert row.ocr_text in ("", f"{name} {number}") and (not bad or "cannot be opened" in row.error)
+    opens = Counter(p.name.split("-")[0] for p in (tmp_path / "opens").iterdir())
+    assert all(opens[f"s{i}.scan"] == 1 for i in range(20)) and 2 <= opens["long.scan"] <= tasks
+    assert {p.read_text() for p in (tmp_path / "opens").iterdir()} == {"closed"}
+    assert ocr.run_ocr_files(pages.limit(0), ocr.FileEngine(_Scan, _read_page), tasks=tasks).count() == 0
+
+
 def test_chunks_of_column_and_of_path(spark, folder):
     listed = files.scan_files(spark, [str(folder / "blob.bin"), str(folder / "empty.bin")])
     listed = listed.withColumn("document_id", F.col("file_name"))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire.operators import chunks, loading
+from quire.operators.ocr import FileEngine
 from quire.plans.load import LoadOptions, dry_run, load_files
 from quire.plans.store import CHUNKS, DOCUMENTS, PAGES, PageStore
 from quire.sources import files
@@ -182,6 +183,10 @@ def _read_image(payload):
     return f"Gauge reads {payload['page_number']} fathoms"
 
 
+def _read_opened(file, number):
+    return f"opened {number}" if not file.closed else ""
+
+
 def _scanned(stream, wanted):
     for number in (1, 2):
         yield {"page_number": number, "page_text": "", "image_count": number - 1}
@@ -205,6 +210,9 @@ def test_recognition_in_a_load(spark, store, folder):
     load_files(store, scan(spark, folder), options)
     assert {(r.pages_with_text, r.pages_ocr, r.page_count) for r in store.documents().collect()} == {(1, 1, 2)}
     assert store.search_pages("FATHOMS").count() == 3
+    by_file = LoadOptions(plugin=Plugin(_scanned), ocr_files=FileEngine(files.open_uri, _read_opened), replace=True)
+    load_files(store, scan(spark, folder), by_file)
+    assert store.search_pages("opened 2").count() == 3 and store.search_pages("FATHOMS").count() == 0
 
 
 def test_reveal_is_reported(spark, store, folder):
