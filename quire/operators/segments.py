@@ -82,8 +82,8 @@ def _write_terms(spark: SparkSession, base: str, segment: str) -> int:
     return terms.agg(F.coalesce(F.sum("total_tf"), F.lit(0))).first()[0]
 
 
-def write_segment(pages: DataFrame, base: str, segment: str, settings: Settings) -> tuple[int, int]:
-    """Writes a segment of ``pages``; returns its numbers of pages and tokens.
+def write_segment(pages: DataFrame, base: str, segment: str, settings: Settings) -> int:
+    """Writes a segment of ``pages``; returns its number of tokens.
 
     One pass over the text. Tokens and their counts are worked out within each page's row; the only
     shuffle brings postings to their bucket.
@@ -94,7 +94,7 @@ def write_segment(pages: DataFrame, base: str, segment: str, settings: Settings)
         pages = spark.read.schema(pages.schema).parquet(f"{base}/pages/segment={segment}")
     postings = ranking.page_postings(pages, list(settings.stop_words), settings.stemmer)
     _sorted_write(postings.withColumn("bucket", ranking.bucket_of(F.col("term"), settings.buckets)), f"{base}/postings/segment={segment}")
-    return pages.count(), _write_terms(spark, base, segment)
+    return _write_terms(spark, base, segment)
 
 
 def merge_segments(index: ranking.SearchIndex, members: list[str], segment: str) -> int:

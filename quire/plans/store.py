@@ -245,9 +245,9 @@ class PageStore:
             return 0
         words = tuple(tokens.stop_word_list(self.spark, stop_words))
         at = self.snapshot()
-        buckets = ranking.bucket_count(self.pages(at).count())
-        settings = Settings(buckets, ranking.check_stemmer(stemmer), words, mode == "copy")
-        return self._grow(self._index_root(location), None, at, at.loads, settings)
+        n_pages = self.table(PAGES, at).count()
+        settings = Settings(ranking.bucket_count(n_pages), ranking.check_stemmer(stemmer), words, mode == "copy")
+        return self._grow(self._index_root(location), None, at, at.loads, n_pages, settings)
 
     def update_index(self, location: str | None = None, **settings: object) -> int:
         """Index the loads that are not indexed yet as a new segment; returns the number of their pages.
@@ -273,17 +273,19 @@ class PageStore:
         if not fresh:
             return 0
         shared = Settings(first.buckets, first.stemmer, tuple(first.stop_words), first.copied)
-        return self._grow(self._index_root(location), index, at, fresh, shared)
+        return self._grow(self._index_root(location), index, at, fresh, self.table(PAGES, at, fresh).count(), shared)
 
-    def _grow(self, base: str, index: SearchIndex | None, at: Snapshot, fresh: tuple[str, ...], settings: Settings) -> int:
+    def _grow(
+        self, base: str, index: SearchIndex | None, at: Snapshot, fresh: tuple[str, ...], n_pages: int, settings: Settings
+    ) -> int:
         """A new version of an index: that of ``index``, if any, with a segment of the loads ``fresh``, merged where due."""
         number = self._next_version(base)
         last, name = (at.loads[-1] if at.loads else ""), f"{number:010d}-load"
-        pages, rows, n_pages = self.pages(at, fresh), {}, 0
-        if index is not None and pages.isEmpty():  # deletions only
+        pages, rows = self.pages(at, fresh), {}
+        if index is not None and not n_pages:  # deletions only
             name = index.segments[-1].segment
         else:
-            n_pages, n_tokens = segments.write_segment(copy_pages(pages) if settings.copied else pages, base, name, settings)
+            n_tokens = segments.write_segment(copy_pages(pages) if settings.copied else pages, base, name, settings)
             fixed = (settings.buckets, settings.stemmer, list(settings.stop_words), settings.copied)
             rows[name] = (name, n_pages, n_tokens, self.table(DOCUMENTS, at, fresh).count(), 0, last, *fixed)
         loads = dict.fromkeys(fresh, name)
@@ -340,6 +342,8 @@ class PageStore:
     def _forget_old(self, base: str, kept_versions: int) -> None:
         """Removes versions but the last ones, as readers may hold the one before, and segments that none of these has."""
         done = sorted(self._folders.matching(f"{base}/version=*/segments/_SUCCESS"))
+        if len(done) <= kept_versions:
+            return
         for old in done[:-kept_versions]:
             self._folders.remove(old.rsplit("/segments/", 1)[0])
         kept = {s.segment for path in done[-kept_versions:] for s in SearchIndex(self.spark, base, path.rsplit("/segments/", 1)[0]).segments}
