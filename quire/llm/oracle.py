@@ -139,11 +139,11 @@ WITH RECURSIVE crc AS (SELECT {_CRC_TABLE} AS t), given AS (
     CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
     unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS again
   FROM given WHERE fault <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM damaged
 ), faults AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
-    regexp_extract_all(text, '[^ 	-
-]')[-1] AS final,
-    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS seen FROM damaged
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]')[-1] AS final,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen FROM placed
 ), turns AS (
   SELECT conv_id, i, turn, role, text, left(role, 1) AS initial, final IS NULL AS blank, final IS NOT NULL AND seen AS duplicate,
     final IS NOT NULL AND NOT seen AND final NOT IN ('.', '!', '?') AS truncated, final IS NULL OR seen AS gone, truncated::BIGINT AS cut,
