@@ -76,7 +76,7 @@ def test_hash_and_identity(spark, folder):
 
 #: What an inspector says of two made-up charts: dates with offsets, blank fields, layers off and on.
 CHARTS = {
-    "A.PDF": {"page_count": 17, "title": "  Harbour chart ", "author": " ", "creator": "plotter 9",
+    "A.PDF": {"page_count": 17, "title": "  Harbour chart ", "author": "", "creator": "plotter 9",
               "created_raw": "D:19990704031500+05'30'", "modified_raw": "not a date",
               "layer_names": ["soundings", "wrecks", "buoys"], "hidden_layer_names": ["wrecks", "buoys"]},
     "b.pdf": {"page_count": 2, "author": "N. Sextant", "modified_raw": "D:2011", "encryption_method": "RC4",
