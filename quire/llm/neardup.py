@@ -3,12 +3,14 @@
 Every distinct set of word shingles is posted under its pairs of coordinate and value. Two sets
 that are similar enough agree in ``matches`` coordinates at least (but for a chance under one in
 10^8), so they share one of the ``COORDINATES`` less matches plus 1 rarest pairs of either: only this
-prefix is posted, the frequent rest is skipped. Postings that hang together make a family; within
-it collisions of whole signatures are counted, pairs above the match threshold are confirmed on
-full sets, and pairs that are connected already are skipped. Links then make the classes.
-
-Exact copies of a set are one node throughout. A large family is cut into blocks by hash, one
-task for each pair of blocks, and a task gives only links that connect something new.
+prefix is posted, the frequent rest is skipped. The sets of one posting list are compared by their
+signatures: collisions are counted, pairs below the match threshold are dropped, and pairs that are
+merged already are skipped. Pairs above the threshold hang together as families; only the texts of
+families are read again, to confirm links on full sets. Links then make the classes.
+
+Exact copies of a set are one node throughout, found in salted parts. A long list or a large family
+is cut into blocks by hash, one group for each pair of blocks, and a group gives only pairs that
+connect something new.
 """
 
 from __future__ import annotations
@@ -31,6 +33,10 @@ PERCENT = 85
 COORDINATES = 64
 #: Chance under which sets of just that similarity may agree in too few coordinates.
 MISSED = 1e-8
+#: Sets of a block of a posting list (some 150 bytes each).
+LIST_ROWS = 4_000
+#: Parts in which copies of one set are brought together.
+SALTS = 64
 #: Sets and bytes of text of a block of a family.
 BLOCK_ROWS = 1_000
 BLOCK_BYTES = 8_000_000
@@ -80,7 +86,8 @@ def _sketch(texts: list[str | None]) -> list:
     whole = [int(mixed(s).sum(dtype=np.uint64).astype(np.int64)) if len(s) else None for s in sets]
     second = [int(mixed(s * _FACTORS[0] + _SHIFTS[0]).sum(dtype=np.uint64).astype(np.int64)) if len(s) else None for s in sets]
     tokens = mixed(signatures(sets).astype(np.uint64) << np.uint64(8) | np.arange(COORDINATES, dtype=np.uint64))
-    return [count, whole, second, long_lists(tokens.ravel(), np.full(len(sets), COORDINATES))]
+    brief = [row.tobytes() for row in tokens.astype(np.uint16)]
+    return [count, whole, second, long_lists(tokens.ravel(), np.full(len(sets), COORDINATES)), brief]
 
 
 def _prefixes(nodes: DataFrame, percent: int) -> DataFrame:
@@ -93,12 +100,80 @@ def _prefixes(nodes: DataFrame, percent: int) -> DataFrame:
     return have.select("id", F.explode(rarest).alias("t")).select("id", "t.token")
 
 
-def _families(nodes: DataFrame, percent: int) -> DataFrame:
-    """(id, component): nodes that hang together by postings."""
+def _listed(nodes: DataFrame, percent: int) -> DataFrame:
+    """Members of posting lists with their signatures, once for each pair of blocks they are in."""
     posted = written(_prefixes(nodes, percent), "neardup-postings")
-    heads = posted.groupBy("token").agg(F.min("id").alias("head"), F.count("*").alias("n")).where("n > 1")
-    edges = posted.join(heads, "token").select(F.col("id").alias("a"), F.col("head").alias("b"))
-    return components(edges, "neardup-families")
+    size = posted.groupBy("token").agg(F.ceil(F.count("*") / LIST_ROWS).cast("int").alias("blocks"), F.count("*").alias("n")).where("n > 1")
+    rows = _block_pairs(posted.join(size, "token"))
+    return rows.select("token", "low", "high", "block", "id").join(nodes.select("id", "n_shingles", "brief"), "id")
+
+
+def _block_pairs(members: DataFrame) -> DataFrame:
+    """``members`` with block, low and high: once for each pair that their block out of ``blocks`` is in."""
+    of = members.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    of = of.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return of.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+
+
+def collisions(signs: np.ndarray, sizes: np.ndarray, side: np.ndarray, percent: int = PERCENT) -> Iterator[tuple[int, int]]:
+    """Pairs of rows that agree in ``matches`` coordinates, enough to connect whatever such pairs connect.
+
+    ``side`` is as for ``links``; pairs whose sizes alone forbid the similarity are none.
+    """
+    least, two, top = matches(percent), bool(side.any()), np.arange(len(signs))
+    for i in range(len(signs) - 1):
+        apart = top[i + 1 :] != top[i]
+        if two:
+            apart &= side[i + 1 :] != side[i]
+        rest = np.flatnonzero(apart) + i + 1
+        rest = rest[100 * np.minimum(sizes[rest], sizes[i]) >= percent * np.maximum(sizes[rest], sizes[i])]
+        for j in rest[np.count_nonzero(signs[rest] == signs[i], axis=1) >= least]:
+            if top[j] != top[i]:
+                top[top == top[j]] = top[i]
+                yield i, int(j)
+
+
+def _counted(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Counts collisions within each (token, low, high) of rows in that order; a group may span batches."""
+
+    def pairs(rows: pa.Table, last: bool) -> tuple[pa.RecordBatch, pa.Table]:
+        keys = np.stack([rows.column(name).to_numpy() for name in ("token", "low", "high")])
+        starts = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)]))
+        ends = np.append(starts[1:], rows.num_rows)
+        if not last:
+            starts, ends = starts[:-1], ends[:-1]
+        ids, sizes = rows.column("id").to_numpy(), rows.column("n_shingles").to_numpy()
+        side = (rows.column("block").to_numpy() != keys[1]).astype(np.int64)
+        signs = np.frombuffer(b"".join(rows.column("brief").to_pylist()), np.uint16).reshape(-1, COORDINATES)
+        found = [
+            (ids[at + i], ids[at + j])
+            for at, end in zip(starts, ends, strict=True)
+            for i, j in collisions(signs[at:end], sizes[at:end], side[at:end], percent)
+        ]
+        a, b = (np.array([pair[k] for pair in found], np.int64) for k in (0, 1))
+        done = int(ends[-1]) if len(ends) else 0
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"]), rows.slice(done)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            if held is not None and held.num_rows:
+                rows = pa.concat_tables([held, rows])
+            if rows.num_rows:
+                found, held = pairs(rows, False)
+                yield found
+        if held is not None and held.num_rows:
+            yield pairs(held, True)[0]
+
+    return run
+
+
+def _families(nodes: DataFrame, percent: int) -> DataFrame:
+    """(id, component): nodes that hang together by pairs above the match threshold."""
+    group = ["token", "low", "high"]
+    rows = _listed(nodes, percent).repartition(*group).sortWithinPartitions(*group)
+    return components(rows.mapInArrow(_counted(percent), "a bigint, b bigint"), "neardup-families")
 
 
 class _Forest:
@@ -170,10 +245,8 @@ def _placed(members: DataFrame) -> DataFrame:
     """(id, text_key, component, block, low, high): each member of a family once for each pair of blocks it is in."""
     size = members.groupBy("component").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
-    of = members.join(size.select("component", blocks.alias("blocks")), "component")
-    of = of.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    of = of.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return of.select("id", "text_key", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    of = _block_pairs(members.join(size.select("component", blocks.alias("blocks")), "component"))
+    return of.select("id", "text_key", "component", "block", "low", "high")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -187,24 +260,25 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     hash is compared. A row without an id is linked with nothing and kept.
     """
     rows = df.select(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
-    schema = "n_shingles bigint, h1 bigint, h2 bigint, tokens array<bigint>"
-    types = [pa.int64()] * 3 + [pa.list_(pa.int64())]
+    schema = "n_shingles bigint, h1 bigint, h2 bigint, tokens array<bigint>, brief binary"
+    types = [pa.int64()] * 3 + [pa.list_(pa.int64()), pa.binary()]
     sized = rows.select("id", "text_key", F.octet_length("text").alias("bytes"), "text")
     sketched = written(map_text(sized, lambda: _sketch, ("id", "text_key", "bytes", "text"), schema, types), "neardup-sketches")
     whole = ["n_shingles", "h1", "h2"]
     usable = sketched.where("id IS NOT NULL AND n_shingles > 0")
     one = usable.groupBy("id").agg(F.min(F.struct("text_key", *whole, "bytes")).alias("s")).select("id", "s.*")
-    classes = one.groupBy(*whole).agg(F.min("id").alias("node"))
-    member = written(one.join(classes, whole).select("id", "text_key", "bytes", "node"), "neardup-members")
-    heads = member.where("id = node").select("id", "text_key", "bytes")
-    nodes = sketched.join(heads.select("id", "text_key"), ["id", "text_key"]).dropDuplicates(["id"]).select("id", "tokens")
+    one = one.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    parts = one.groupBy(*whole, "salt").agg(F.min(F.struct("id", "text_key", "bytes")).alias("s"))
+    heads = written(parts.groupBy(*whole).agg(F.min("s").alias("s")).select(*whole, "s.*"), "neardup-heads")
+    nodes = sketched.join(heads.select("id", "text_key"), ["id", "text_key"]).dropDuplicates(["id"]).select("id", "n_shingles", "tokens", "brief")
     family = _families(nodes, percent)
-    placed = written(_placed(heads.join(family, "id")), "neardup-blocks")
+    placed = written(_placed(heads.select("id", "text_key", "bytes").join(family, "id")), "neardup-blocks")
     if placed.count() <= BROADCAST_ROWS:
         placed = F.broadcast(placed)
     found = rows.join(placed, ["id", "text_key"]).groupBy("component", "low", "high").applyInPandas(_within(percent), "a long, b long")
-    copies = member.where("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
-    joined = components(found.unionByName(copies), "neardup-links")
+    linked = components(found, "neardup-links")
+    of = heads.join(linked, "id", "left").select(*whole, F.coalesce("component", "id").alias("component"))
+    joined = one.join(parts.join(of, whole).select(*whole, "salt", "component"), [*whole, "salt"]).select("id", "component")
     out = sketched.select("id", "text_key", "n_shingles").join(joined, "id", "left")
     component = F.coalesce("component", "id")
     kept = F.coalesce(component == F.col("id"), F.lit(True))

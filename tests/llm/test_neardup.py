@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import awkward, duck, frame, same
 
@@ -59,6 +60,7 @@ def family_texts(seed=7):
 @pytest.mark.parametrize("block", [neardup.BLOCK_ROWS, 8])
 def test_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(neardup, "BLOCK_ROWS", block)
+    monkeypatch.setattr(neardup, "LIST_ROWS", block)
     texts = family_texts()
     found = neardup.near_duplicates(frame(spark, texts, "0 AS component_id"))
     rows = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found.collect()}
@@ -81,6 +83,54 @@ def test_links_in_memory():
     assert up == [numbers[expected[i][1]] for i, _ in rows]
 
 
+def test_collisions():
+    texts = [t for t in family_texts(13) if t and t.split()]
+    sets = neardup.shingles(texts)
+    signs, sizes = neardup.signatures(sets), np.array([len(s) for s in sets])
+    near = (signs[:, None] == signs[None]).sum(axis=2) >= neardup.matches(85)
+    near &= 100 * np.minimum(sizes[:, None], sizes) >= 85 * np.maximum(sizes[:, None], sizes)
+    for side in (np.zeros(len(sets), np.int64), np.arange(len(sets)) % 2):
+        expected = near & (side[:, None] != side) if side.any() else near
+        top = np.arange(len(sets))
+        for a, b in neardup.collisions(signs, sizes, side):
+            assert expected[a, b] and top[a] != top[b]  # nothing that is merged already
+            top[top == top[b]] = top[a]
+        assert all(top[a] == top[b] for a, b in zip(*np.nonzero(expected), strict=True))
+
+
+def test_groups_span_batches():
+    texts = [t for t in family_texts(17) if t and t.split()]
+    sets = neardup.shingles(texts)
+    brief = [row.astype(np.uint16).tobytes() for row in neardup.signatures(sets)]
+    n = len(sets)
+    rows = pa.table({
+        "id": range(n), "token": [i // 40 for i in range(n)], "low": [0] * n, "high": [0] * n, "block": [0] * n,
+        "n_shingles": [len(s) for s in sets], "brief": brief,
+    })
+    whole, cut = ([p for b in neardup._counted(85)(iter(rows.to_batches(size))) for p in b.to_pylist()] for size in (n, 7))
+    assert whole and whole == cut
+
+
+def test_template_makes_no_family(spark, monkeypatch):
+    """Texts that share a third of their words have common postings, but hang together nowhere."""
+    rng = random.Random(3)
+    own = lambda n: " ".join(f"o{rng.randrange(10**9)}" for _ in range(n))
+    template = " ".join(f"t{i}" for i in range(55))
+    texts = [f"{template} {own(45)}" for _ in range(400)] + [own(60)] * 2
+    seen = []
+    families = neardup._families
+    monkeypatch.setattr(neardup, "_families", lambda nodes, percent: seen.append(families(nodes, percent)) or seen[-1])
+    found = neardup.near_duplicates(frame(spark, texts)).collect()
+    assert seen[0].count() <= 40
+    assert sum(r.kept for r in found) == 401 and [r.component_id for r in found if not r.kept] == [400]
+
+
+def test_hot_copies(spark):
+    texts = ["one and the same text of nine words here"] * 700 + ["some other text of eight words over here"] * 3
+    found = neardup.near_duplicates(frame(spark, texts)).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: 0 if i < 700 else 700 for i in range(703)}
+
+
 def test_awkward(spark):
     found = neardup.near_duplicates(awkward(spark)).collect()
     assert len(found) == 9 and all(r.kept for r in found)
