@@ -7,16 +7,25 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import written
 
+#: Parts that the neighbours of one node are kept in.
+SALTS = 64
+
 
 def _both(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Links every larger neighbour of a node to the smallest node around it."""
-    both = _both(edges)
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    """Links every larger neighbour of a node to the smallest node around it.
+
+    A node's neighbours are kept in ``SALTS`` parts, so a star's centre is no hot key: only the
+    parts' smallest ones meet under the node itself.
+    """
+    both = _both(edges).withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
+    parts = both.groupBy("a", "salt").agg(F.min("b").alias("m"))
+    least = parts.groupBy("a").agg(F.min("m").alias("m")).select("a", F.least("a", "m").alias("m"))
+    told = parts.select("a", "salt").join(least, "a")
+    return both.where("b > a").join(told, ["a", "salt"]).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
