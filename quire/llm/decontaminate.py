@@ -3,7 +3,8 @@
 The smallest k-gram hash of every sliding window is a fingerprint. A window of ``span`` words
 holds exactly ``span - k + 1`` k-grams, so any shared span of that length has a fingerprint in
 common on both sides. Fingerprints are joined, and each hit is extended: the spans around it are
-compared as a whole. Shorter items are compared at every position instead.
+compared as a whole. Items too short for that are compared at every position instead: hashes of
+all runs of their lengths are tested against a filter of fixed size within the row of the text.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ SPAN = 10
 GRAM = 5
 #: Fingerprints of items that are broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Bits of the filter of short items' hashes, whatever their number; 64 to a cell.
+FILTER_BITS = 1 << 20
 
 
 def _hashes(text: str) -> Column:
@@ -87,6 +90,42 @@ def _spots(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", "text_key", F.explode(F.concat(F.array(text), F.transform("found", spot))).alias("f")).select("doc_id", "text_key", "f.*")
 
 
+def _bit(hash_: Column) -> Column:
+    return F.pmod(hash_, F.lit(FILTER_BITS))
+
+
+def _filter(windows: DataFrame) -> Column:
+    """The bits of the windows' hashes as one array of ``FILTER_BITS`` / 64 integers: a scalar subquery."""
+    bits = windows.select(_bit(F.col("h1")).alias("bit"))
+    set_ = bits.groupBy(F.shiftright("bit", 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 AS int))")).alias("bits"))
+    cells = windows.sparkSession.range(FILTER_BITS // 64).withColumnRenamed("id", "cell").join(set_, "cell", "left")
+    row = cells.agg(F.array_sort(F.collect_list(F.struct("cell", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))).alias("cells"))
+    return row.select(F.col("cells.bits")).scalar()
+
+
+def _short(rows: DataFrame, keys: list[str], windows: DataFrame) -> DataFrame | None:
+    """(keys, start, length, h1, h2): runs of fewer than ``SPAN`` words that pass the items' filter; None without short items.
+
+    The texts are read once for all lengths, and only runs that pass are exploded.
+    """
+    short = windows.where(F.col("length") < SPAN)
+    lengths = sorted(row["length"] for row in short.select("length").distinct().collect())  # fewer than SPAN rows
+    if not lengths:
+        return None
+    have = rows.select(*keys, _hashes("text").alias("words"), _filter(short).alias("filter"))
+
+    def known(start: Column, n: int) -> Column:
+        bit = _bit(F.xxhash64(F.slice("words", start + 1, F.lit(n))))
+        return F.getbit(F.get("filter", F.shiftright(bit, 6).cast("int")), bit.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    def runs(n: int) -> Column:
+        starts = F.filter(_up_to(F.size("words") - n), lambda i: known(i, n))
+        return F.transform(starts, lambda i: F.struct(i.alias("start"), F.lit(n).alias("length"), *_same(F.slice("words", i + 1, F.lit(n)))))
+
+    passed = F.concat(*[runs(n) for n in lengths])
+    return have.select(*keys, F.explode(passed).alias("s")).select(*keys, "s.*")
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, text_key, n_words, n_hit, items array of item_ids as strings): one row per row of ``docs``.
 
@@ -96,7 +135,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     no windows. Rows are told apart by id and text, so repeated ids keep their own results;
     null ids match each other. Empty ``items`` leave all clean. Items with one id are one item.
 
-    The text is read once, and only hits and one small row for each text are shuffled as long
+    The text is read once (once more, if any item has fewer than ``SPAN`` words), and only hits and one small row for each text are shuffled as long
     as the items' fingerprints are few enough to be broadcast (``BROADCAST_ROWS``, counted);
     with more of them all fingerprints of texts are shuffled.
     """
@@ -112,9 +151,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
 
     near = hit.where("spot IS NOT NULL").select(*keys, "from", F.explode(_spans_at(F.col("spot"), SPAN)).alias("s"))
     near = near.select(*keys, (F.col("from") + F.col("s.skip")).alias("start"), F.lit(SPAN).alias("length"), "s.h1", "s.h2").distinct()
-    for row in asked.where(size < SPAN).select(size.alias("n")).distinct().collect():  # fewer than SPAN rows
-        have = rows.select(*keys, _hashes("text").alias("words"))
-        near = near.unionByName(_windows(have, keys, F.lit(row["n"])))
+    short = _short(rows, keys, windows)
+    if short is not None:
+        near = near.unionByName(short)
     found = near.join(windows, ["length", "h1", "h2"]).select(*keys, "item_id", "start", "length").distinct()
     places = found.select(*keys, F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("at")).distinct()
     n_hit = places.groupBy(*keys).agg(F.count("*").alias("n_hit"))

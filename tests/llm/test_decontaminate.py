@@ -2,6 +2,7 @@ import random
 import re
 
 from llm_cases import awkward, duck, frame, same
+from pyspark.sql import functions as F
 
 from quire.llm import decontaminate, oracle, queries
 
@@ -62,6 +63,25 @@ def test_brute_force(spark, monkeypatch):
     assert any(not r[2] for r in compare(spark, frame_, longer))
 
 
+def test_short_items_of_a_table(spark):
+    """Items of one to nine words beside the given ones, over whole texts; the filter leaves few other runs."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    given = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("item_id", "text")
+    texts = [w for w in (words(r.text) for r in docs.orderBy("doc_id").limit(40).collect()) if len(w) > 60]
+    short = [(10**6 + i, " ".join(w[50 : 51 + i % 9])) for i, w in enumerate(texts)] + [(10**7, "nowhere-else")]
+    items = given.select(given.item_id.cast("long"), "text").unionByName(spark.createDataFrame(short, "item_id long, text string"))
+    rows = compare(spark, docs, items)
+    assert any(str(10**6) in r[3] for r in rows)
+    asked = items.select(items.item_id.cast("string").alias("item_id"), decontaminate._hashes("text").alias("words"))
+    size = F.size("words")
+    windows = decontaminate._windows(asked.where(size > 0), ["item_id"], F.least(size, F.lit(10)))
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    passed = decontaminate._short(keyed, ["doc_id", "text_key"], windows)
+    exact = passed.join(windows.select("length", "h1", "h2").distinct(), ["length", "h1", "h2"], "left_semi").count()
+    runs = 9 * sum(r[1] for r in rows)
+    assert exact <= passed.count() <= exact + runs / 1_000
+
+
 def test_awkward(spark):
     items = spark.createDataFrame([(1, "null id here"), (2, None), (None, "a b")], "item_id long, text string")
     docs = awkward(spark)
