@@ -142,9 +142,12 @@ class PageStore:
         schema = TABLES.get(table, _RETIRED_SCHEMA)
         writer = rows.write.mode("errorifexists")
         if table == CHUNKS:
-            # Readers hold a row group of chunks at a time, so its rows are limited by their size.
-            rows_at_once = max(1, ROW_GROUP_BYTES // chunk_bytes)
-            writer = writer.option("parquet.block.row.count.limit", str(rows_at_once))
+            # Readers hold a row group of chunks at a time, so its size is looked at after every few rows. A limit on
+            # rows would make a group of every few small files, and writers hold what they know of all groups.
+            rows_at_once = str(max(1, ROW_GROUP_BYTES // chunk_bytes))
+            writer = writer.option("parquet.block.size", str(ROW_GROUP_BYTES))
+            writer = writer.option("parquet.block.size.row.check.min", rows_at_once)
+            writer = writer.option("parquet.block.size.row.check.max", rows_at_once)
         if table != RETIRED:
             # Look-ups by id skip files and row groups that cannot hold it.
             writer = writer.option("parquet.bloom.filter.enabled#document_id", "true")

@@ -24,6 +24,7 @@ from quire.schemas import PAGES
 from quire.sources.files import _open_row, open_uri, task_count
 
 PAGES_PER_BATCH = 200
+CHARS_PER_BATCH = 4_000_000
 PAGES_PER_UNIT = 256
 
 RAW_PAGE = (
@@ -132,14 +133,7 @@ def raw_pages(
     units = units.select("document_id", source, "_first", "_last")
     keys = [field.split()[0] for field in RAW_PAGE.split(", ")]
 
-    def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([
-            ("document_id", pa.string()), ("page_number", pa.int32()), ("page_label", pa.string()),
-            ("width_pt", pa.float64()), ("height_pt", pa.float64()), ("rotation", pa.int32()),
-            ("image_count", pa.int32()), ("page_text", pa.string()), ("error", pa.string()),
-            ("seconds", pa.float64()),
-        ])
-        held: list[dict] = []
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for i in range(batch.num_rows):
                 wanted = PageRange(
@@ -151,19 +145,37 @@ def raw_pages(
                         for page in plugin.pages(stream, wanted):
                             if page["page_number"] not in wanted:
                                 continue
-                            held.append({key: page.get(key) for key in keys} | {"document_id": document})
-                            if len(held) == PAGES_PER_BATCH:
-                                yield pa.RecordBatch.from_pylist(held, schema=schema)
-                                held = []
+                            yield {key: page.get(key) for key in keys} | {"document_id": document}
                 except Exception as exc:
-                    held.append({"document_id": document, "error": f"{type(exc).__name__}: {exc}"})
-                held.append({"document_id": document, "seconds": time.perf_counter() - started})
-        if held:
+                    yield {"document_id": document, "error": f"{type(exc).__name__}: {exc}"}
+                yield {"document_id": document, "seconds": time.perf_counter() - started}
+
+    def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([
+            ("document_id", pa.string()), ("page_number", pa.int32()), ("page_label", pa.string()),
+            ("width_pt", pa.float64()), ("height_pt", pa.float64()), ("rotation", pa.int32()),
+            ("image_count", pa.int32()), ("page_text", pa.string()), ("error", pa.string()),
+            ("seconds", pa.float64()),
+        ])
+        for held in row_batches(rows(batches)):
             yield pa.RecordBatch.from_pylist(held, schema=schema)
 
     return units.mapInArrow(extracted, f"{RAW_PAGE}, error string, seconds double")
 
 
+def row_batches(rows: Iterable[dict]) -> Iterator[list[dict]]:
+    """Rows of pages in lists of at most ``PAGES_PER_BATCH``, and fewer where their text is long."""
+    held, chars = [], 0
+    for row in rows:
+        held.append(row)
+        chars += len(row.get("page_text") or "")
+        if len(held) >= PAGES_PER_BATCH or chars >= CHARS_PER_BATCH:
+            yield held
+            held, chars = [], 0
+    if held:
+        yield held
+
+
 def failures(raw: DataFrame) -> DataFrame:
     """(document_id, error) of files whose extraction failed, one row each."""
     return raw.where("error IS NOT NULL").groupBy("document_id").agg(F.min("error").alias("error"))
