@@ -1,9 +1,9 @@
 """BM25-ranked search over the segments of an index (``segments`` tells how they are stored and written).
 
-Document frequencies, lengths and bounds are those of the segments taken together at query time;
-each page is in one segment. ``page_len`` rides along with the postings, so scoring joins nothing,
-and ``doc_key`` is the document id in 16 bytes. A query reads only the buckets and row groups of its
-own terms.
+Document frequencies and lengths are those of the segments taken together at query time;
+each page is in one segment. Postings are stored in lists, one for each term of a block of pages.
+``page_len`` rides along with them, so scoring joins nothing, and ``doc_key`` is the document id in
+16 bytes. A query reads only the buckets and row groups of its own terms.
 """
 
 from __future__ import annotations
@@ -11,9 +11,13 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,14 +45,26 @@ SALTS = 32
 # Largest k that Spark trims groups to before a shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
 MAP_SIDE_LIMIT = 1000
 # Far above the noise of sums and the rounding of compared scores.
-FLOOR_MARGIN = 1e-6
+TIE_MARGIN = 1e-6
+# Term sets that are scored together, and pages of a block at a time: bounds a worker's matrices.
+SETS_AT_ONCE = 512
+PAGES_AT_ONCE = 512
 
 PAGES_PER_BUCKET = 200_000
 MIN_BUCKETS, MAX_BUCKETS = 8, 32_768
 
 PAGE_KEY = ["doc_key", "page_number"]
 
-POSTINGS = "doc_key binary, page_number int, term string, tf int, page_len int, bucket int"
+#: Tokens, or postings, that a task packs at a time; a page with more comes alone.
+BLOCK_TOKENS = 2_000_000
+KEY_BYTES = 16
+
+#: One row per term and block: the document keys of its pages, their numbers, frequencies and lengths, and sums of these.
+LISTS = (
+    "block long, term string, doc_keys array<binary>, page_number array<int>, tf array<int>, page_len array<int>, "
+    "df int, total_tf long, max_tf int, min_len int"
+)
+POSTINGS = f"{LISTS}, bucket int"
 TERMS = "term string, df long, total_tf long, max_tf int, min_len int, bucket int"
 
 
@@ -73,32 +89,112 @@ def check_stemmer(stemmer: str | None) -> str:
 def page_postings(
     pages: DataFrame, stop_words: list[str] | None = None, stemmer: str | None = None
 ) -> DataFrame:
-    """(doc_key, page_number, term, tf, page_len), all within the row of each page: no shuffle."""
+    """``LISTS``: each task packs the postings of its pages block by block; no shuffle.
+
+    All postings of a page are in one block.
+    """
     cut = tokenize_pages(
         spread(pages.select("document_id", "page_number", "page_text")), stop_words, stemmer
     )
-    slim = cut.select(
-        identity.document_key(F.col("document_id")).alias("doc_key"), "page_number", "tokens",
-        F.size("tokens").alias("page_len"),
+    slim = cut.select(identity.document_key(F.col("document_id")).alias("doc_key"), "page_number", "tokens")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False)
+            at = 0
+            while at < batch.num_rows:
+                n = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), BLOCK_TOKENS, side="right")))
+                keys, numbers, lists = batch.slice(at, n).columns
+                length, at = sizes[at : at + n].astype(np.int64), at + n
+                words = lists.flatten().dictionary_encode()
+                if not len(words):
+                    continue
+                # One number for each (term, page); equal ones are its frequency.
+                pairs = words.indices.to_numpy().astype(np.int64) * n + np.repeat(np.arange(n), length)
+                pairs, tf = np.unique(pairs, return_counts=True)
+                codes, page = np.divmod(pairs, n)
+                keys, numbers = _key_bytes(keys), numbers.to_numpy(zero_copy_only=False)
+                block = zlib.crc32(keys[0].tobytes() + bytes(numbers[:1]))
+                yield _lists(np.full(len(codes), block), words.dictionary, codes, keys[page], numbers[page], tf, length[page])
+
+    return slim.mapInArrow(run, LISTS)
+
+
+def _key_bytes(keys: pa.Array) -> np.ndarray:
+    """Document keys as rows of ``KEY_BYTES`` bytes."""
+    fixed = keys.cast(pa.binary(KEY_BYTES))
+    return np.frombuffer(fixed.buffers()[1], np.uint8, len(fixed) * KEY_BYTES, fixed.offset * KEY_BYTES).reshape(-1, KEY_BYTES)
+
+
+def _lists(block, terms: pa.Array, codes, keys, numbers, tf, length) -> pa.RecordBatch:
+    """One row for each run of postings of the same block and term, which ``codes`` number."""
+    first = np.flatnonzero(np.append(True, (codes[1:] != codes[:-1]) | (block[1:] != block[:-1])))
+    ends = pa.array(np.append(first, len(codes)).astype(np.int32))
+    listed = lambda values: pa.ListArray.from_arrays(ends, pa.array(values.astype(np.int32)))
+    starts = np.arange(len(codes) + 1, dtype=np.int32) * KEY_BYTES
+    binary = pa.Array.from_buffers(pa.binary(), len(codes), [None, pa.py_buffer(starts), pa.py_buffer(np.ascontiguousarray(keys))])
+    packed = pa.ListArray.from_arrays(ends, binary)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(block[first].astype(np.int64)), terms.take(pa.array(codes[first])), packed, listed(numbers), listed(tf), listed(length),
+            pa.array(np.diff(np.append(first, len(codes))).astype(np.int32)), pa.array(np.add.reduceat(tf, first).astype(np.int64)),
+            pa.array(np.maximum.reduceat(tf, first).astype(np.int32)), pa.array(np.minimum.reduceat(length, first).astype(np.int32)),
+        ],
+        [field.split()[0] for field in LISTS.split(", ")],
+    )
+
+
+def pack(postings: DataFrame) -> DataFrame:
+    """``LISTS`` of postings one by one (block, term, doc_key, page_number, tf, page_len), in the order they come."""
+
+    def lists(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        words = rows.column("term").combine_chunks().dictionary_encode()
+        codes, block, numbers, tf, length = (
+            x.to_numpy(zero_copy_only=False).astype(np.int64)
+            for x in (words.indices, *(rows.column(c).combine_chunks() for c in ("block", "page_number", "tf", "page_len")))
+        )
+        order = np.lexsort((codes, block))
+        keys = _key_bytes(rows.column("doc_key").combine_chunks())
+        return _lists(block[order], words.dictionary, codes[order], keys[order], numbers[order], tf[order], length[order])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                n += batch.num_rows
+            if n >= BLOCK_TOKENS:
+                yield lists(held)
+                held, n = [], 0
+        if held:
+            yield lists(held)
+
+    return postings.select("block", "term", *PAGE_KEY, "tf", "page_len").mapInArrow(run, LISTS)
+
+
+def unpack(lists: DataFrame) -> DataFrame:
+    """``lists`` with one row for each posting: doc_key, page_number, tf, page_len instead of the packed columns."""
+    packed = ["doc_keys", "page_number", "tf", "page_len"]
+    kept = [c for c in lists.columns if c not in (*packed, "df", "total_tf", "max_tf", "min_len")]
+    rows = lists.select(*kept, "doc_keys", "tf", "page_len", F.posexplode("page_number").alias("_at", "_number"))
+    return rows.select(
+        *kept, F.get("doc_keys", F.col("_at")).alias("doc_key"),
+        F.col("_number").alias("page_number"), F.get("tf", F.col("_at")).alias("tf"), F.get("page_len", F.col("_at")).alias("page_len"),
     )
-    counted = tokens.with_term_counts(slim, "tokens")
-    # The outer form, since for the plain one the optimizer adds a size test before it that
-    # would work out the whole array a second time.
-    rows = counted.select(*PAGE_KEY, "page_len", F.inline_outer("term_counts"))
-    return rows.where(F.col("term").isNotNull()).select(*PAGE_KEY, "term", "tf", "page_len")
 
 
 def bucket_of(term: Column, buckets: int) -> Column:
     return (F.crc32(F.encode(term, "UTF-8")) % buckets).cast("int")
 
 
-def term_statistics(postings: DataFrame) -> DataFrame:
+def term_statistics(lists: DataFrame) -> DataFrame:
     """Per term: pages holding it, occurrences, and the bounds that its weight cannot pass."""
-    return postings.groupBy("bucket", "term").agg(
-        F.count("*").alias("df"),
-        F.sum("tf").alias("total_tf"),
-        F.max("tf").alias("max_tf"),
-        F.min("page_len").alias("min_len"),
+    return lists.groupBy("bucket", "term").agg(
+        F.sum("df").alias("df"),
+        F.sum("total_tf").alias("total_tf"),
+        F.max("max_tf").alias("max_tf"),
+        F.min("min_len").alias("min_len"),
     )
 
 
@@ -156,10 +252,19 @@ class SearchIndex:
         reader = self.spark.read.option("basePath", f"{self.base}/{table}").schema(f"{schema}, segment string")
         return reader.parquet(*folders)
 
+    @property
+    def lists(self) -> DataFrame:
+        """Posting lists as stored, those of dead documents included."""
+        return self._rows("postings", POSTINGS)
+
     @property
     def postings(self) -> DataFrame:
         """Living postings of all segments; joined with the dead documents only if there are any."""
-        rows = self._rows("postings", POSTINGS)
+        return self.living(self.lists)
+
+    def living(self, lists: DataFrame) -> DataFrame:
+        """The living postings of lists, one by one."""
+        rows = unpack(lists)
         return rows.join(self.dead, ["segment", "doc_key"], "left_anti") if self.n_dead else rows
 
     @property
@@ -251,7 +356,7 @@ def score_pages(
 
     The few query terms and their df become literals, so this is one filtered scan of
     postings, one aggregate, and no join. If only the ``best`` pages are wanted and the terms
-    are on more than ``direct_pairs`` pages, those that cannot be among them may be left out.
+    are on more than ``direct_pairs`` pages, blocks are scored whole and hand on their best ones.
     """
     wanted, found = query_weights(index, query)
     if not found or (all_terms and len(found) < len(wanted)):
@@ -260,18 +365,13 @@ def score_pages(
     weight = tf_weight(F.col("tf"), F.col("page_len"), avg_len, k, b)
     if best is not None and sum(values[0] for values in found.values()) > direct_pairs:
         asked = index.spark.createDataFrame(
-            [(0, len(wanted), t, *values) for t, values in found.items()],
-            "set_no long, n_terms int, term string, df long, idf double, max_tf int, min_len int",
-        )
-        bound = F.col("idf") * tf_weight(F.col("max_tf"), F.col("min_len"), avg_len, k, b)
-        asked = asked.withColumns({"bound": bound, "bucket": bucket_of(F.col("term"), index.settings.buckets)})
-        postings = index.only_terms(index.postings, sorted(found))
-        scoring = _Scoring(index, weight, live, shared_dir(index.spark, "ranked"), postings)
-        asked = asked.drop("max_tf", "min_len")
-        scored = scoring.bounded_scores(asked, best, all_terms)
+            [(0, len(wanted), t, values[1]) for t, values in found.items()], "set_no long, n_terms int, term string, idf double"
+        ).withColumn("bucket", bucket_of(F.col("term"), index.settings.buckets))
+        scoring = _Scoring(index, weight, live, index.only_terms(index.lists, sorted(found)))
+        scored = scoring.best_scores(asked, best, all_terms, k, b)
     else:
         weights = F.create_map(*[F.lit(v) for t, values in found.items() for v in (t, values[1])])
-        scored = index.only_terms(index.postings, sorted(found)).select(
+        scored = index.living(index.only_terms(index.lists, sorted(found))).select(
             *PAGE_KEY, (F.element_at(weights, F.col("term")) * weight).alias("score")
         )
         if len(found) > 1:
@@ -279,8 +379,8 @@ def score_pages(
         else:
             scored = scored.withColumn("matched", F.lit(1))
         scored = _only_live(scored, live)
-    if all_terms:
-        scored = scored.where(F.col("matched") == len(wanted))
+        if all_terms:
+            scored = scored.where(F.col("matched") == len(wanted))
     return scored.select(*PAGE_KEY, "score")
 
 
@@ -458,7 +558,7 @@ def search_ranked_batch(
 
     Queries with the same terms are scored once, however many copies there are. The number of
     (query, page) pairs that plain scoring makes is known beforehand from the term statistics;
-    above ``direct_pairs`` the scoring that rules out pages by bounds is used. Both are exact.
+    above ``direct_pairs`` pages are scored block by block, with no row for a pair. Both are exact.
     """
     spark, stats = index.spark, index.settings
     scratch = shared_dir(spark, "ranked-batch")
@@ -473,27 +573,25 @@ def search_ranked_batch(
     n_pages, avg_len = F.lit(stats.n_pages), F.lit(float(stats.avg_len or 1.0))
     asked = sets.withColumn("term", F.explode(F.split("terms_key", " ")))
     asked = asked.withColumn("bucket", bucket_of(F.col("term"), stats.buckets))
-    bound = F.col("idf") * tf_weight(F.col("max_tf"), F.col("min_len"), avg_len, k, b)
     asked = (
         asked.join(index.only_buckets(index.terms, asked), ["bucket", "term"])
         .withColumn("idf", idf(F.col("df"), n_pages))
-        .select("set_no", "n_terms", "bucket", "term", "df", "idf", bound.alias("bound"))
+        .select("set_no", "n_terms", "bucket", "term", "df", "idf")
     )
     asked.write.parquet(f"{scratch}/terms")
     asked = spark.read.parquet(f"{scratch}/terms")
 
     weight = tf_weight(F.col("tf"), F.col("page_len"), avg_len, k, b)
-    scoring = _Scoring(index, weight, live, scratch, index.only_buckets(index.postings, asked))
+    scoring = _Scoring(index, weight, live, index.only_buckets(index.lists, asked))
     pairs = asked.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+    asked = asked.drop("df")
     if pairs <= direct_pairs:
-        scored = scoring.page_scores(asked)
+        scored = scoring.page_scores(asked, all_terms)
     else:
-        scored = scoring.bounded_scores(asked, top_k, all_terms)
-    if all_terms:
-        scored = scored.where(F.col("matched") == F.col("n_terms"))
+        scored = scoring.best_scores(asked, top_k, all_terms, k, b)
     top = with_document_id(top_per_group(scored, ["set_no"], best_first(), top_k))
     numbered = asking.select("query_id", "terms_key").join(sets.select("terms_key", "set_no"), "terms_key")
-    answered = numbered.join(top.drop("n_terms", "matched"), "set_no")
+    answered = numbered.join(top, "set_no")
     named = answered.join(documents.select("document_id", "file_name"), "document_id")
     columns = ["query_id", "rank", "file_name", "page_number", F.round("score", 3).alias("score"), "document_id"]
     if pages is not None:
@@ -505,110 +603,133 @@ def search_ranked_batch(
 
 @dataclass(frozen=True)
 class _Scoring:
-    """Scores of pages for many term sets. Terms come as (set_no, n_terms, bucket, term, df, idf, bound).
+    """Scores of pages for many term sets. Terms come as (set_no, n_terms, bucket, term, idf).
 
-    ``postings`` are pruned to the folders of the asked terms beforehand.
+    ``lists`` are pruned to the folders of the asked terms beforehand.
     """
 
     index: SearchIndex
     weight: Column
     live: LiveCheck | None
-    scratch: str
-    postings: DataFrame
+    lists: DataFrame
 
-    def postings_of(self, few: DataFrame) -> DataFrame:
-        """Postings joined to rows that carry ``bucket`` and ``term``.
+    def lists_of(self, few: DataFrame) -> DataFrame:
+        """Lists joined to rows that carry ``bucket`` and ``term``.
 
-        Few rows are broadcast. More are joined by (term, part of the pages), so that a term
+        Few rows are broadcast. More are joined by (term, part of the blocks), so that a term
         with very many pages or in very many queries is spread over ``SALTS`` tasks.
         """
         if few.count() <= BROADCAST_ROWS:
-            return self.postings.join(F.broadcast(few), ["bucket", "term"])
-        salt = F.pmod(F.xxhash64(*PAGE_KEY), F.lit(SALTS)).cast("int")
+            return self.lists.join(F.broadcast(few), ["bucket", "term"])
+        salt = F.pmod(F.xxhash64("block"), F.lit(SALTS)).cast("int")
         every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        return self.postings.withColumn("_salt", salt).join(few.withColumn("_salt", every), ["bucket", "term", "_salt"])
+        return self.lists.withColumn("_salt", salt).join(few.withColumn("_salt", every), ["bucket", "term", "_salt"]).drop("_salt")
 
-    def matches(self, asked: DataFrame) -> DataFrame:
-        """One row per asked term and page holding it, with its ``part`` of the score."""
-        return self.postings_of(asked).withColumn("part", F.col("idf") * self.weight)
+    def page_scores(self, asked: DataFrame, all_terms: bool) -> DataFrame:
+        """(set_no, doc_key, page_number, score), by one row per asked term and page holding it."""
+        parts = self.index.living(self.lists_of(asked)).withColumn("part", F.col("idf") * self.weight)
+        scored = parts.groupBy("set_no", *PAGE_KEY).agg(
+            F.sum("part").alias("score"), F.count("*").alias("matched"), F.first("n_terms").alias("n_terms")
+        )
+        scored = _only_live(scored, self.live)
+        if all_terms:
+            scored = scored.where(F.col("matched") == F.col("n_terms"))
+        return scored.drop("matched", "n_terms")
 
-    def floors(self, asked: DataFrame, top_k: int) -> DataFrame:
-        """(set_no, floor): a score that the set's final k-th best page reaches for sure.
+    def best_scores(self, asked: DataFrame, top_k: int, all_terms: bool, k: float, b: float) -> DataFrame:
+        """The same for all pages that can be among the ``top_k`` of a set, block by block.
 
-        The ``top_k`` best pages of each single term do not depend on the set, so they are found
-        once per term. Added up within a set they are lower bounds of those pages' scores.
+        A block has all postings of its pages, so a task multiplies the matrix of its pages' weights with
+        that of the sets' terms and hands on the best pages of each set. Lists are shuffled packed,
+        once for every ``SETS_AT_ONCE`` sets; postings or pairs never become rows.
         """
-        weighed = self.postings_of(asked.select("bucket", "term").distinct()).withColumn("weight", self.weight)
-        best = [F.col("weight").desc(), F.col("doc_key"), F.col("page_number")]
-        heads = top_per_group(_only_live(weighed, self.live), ["term"], best, top_k)
-        heads.select("term", *PAGE_KEY, "weight").write.parquet(f"{self.scratch}/heads")
-        heads = self.index.spark.read.parquet(f"{self.scratch}/heads")
-        if heads.count() <= BROADCAST_ROWS:
-            heads = F.broadcast(heads)
-        partial = asked.join(heads, "term").groupBy("set_no", *PAGE_KEY).agg(
-            F.sum(F.col("idf") * F.col("weight")).alias("score")
+        n_parts = -(-asked.select("set_no").distinct().count() // SETS_AT_ONCE) or 1
+        asked = asked.withColumn("_part", F.pmod(F.xxhash64("set_no"), F.lit(n_parts)).cast("int"))
+        lists = self.lists_of(asked.select("bucket", "term").distinct())
+        if self.index.n_dead or self.live is not None:
+            lists = pack(_only_live(self.index.living(lists), self.live))
+        lists = lists.select("block", "term", "doc_keys", "page_number", "tf", "page_len")
+        if n_parts > 1:
+            lists = lists.join(asked.select("_part", "term").distinct(), "term")
+        else:
+            lists = lists.withColumn("_part", F.lit(0))
+        sets = asked.groupBy("_part", "set_no").agg(
+            F.first("n_terms").alias("n_terms"), F.collect_list(F.struct("term", "idf")).alias("_terms")
+        ).select(F.col("_part").alias("_of_part"), "set_no", "n_terms", F.col("_terms.term").alias("terms"), F.col("_terms.idf").alias("idfs"))
+        # One number for some thousand pages, so this list stays short.
+        sets = sets.crossJoin(F.broadcast(self.lists.select(F.col("block").alias("_block")).distinct()))
+        avg_len = float(self.index.settings.avg_len or 1.0)
+
+        def score(left: pa.Table, right: pa.Table) -> pa.Table:
+            return _best_of_block(left, right, avg_len, k, b, top_k, all_terms)
+
+        return lists.groupBy("_part", "block").cogroup(sets.groupBy("_of_part", "_block")).applyInArrow(
+            score, "set_no long, doc_key binary, page_number int, score double"
         )
-        kth = top_per_group(partial, ["set_no"], best_first(), top_k).where(F.col("rank") == top_k)
-        return kth.select("set_no", (F.col("score") - FLOOR_MARGIN).alias("floor"))
 
-    def page_scores(self, asked: DataFrame) -> DataFrame:
-        scored = self.matches(asked).groupBy("set_no", *PAGE_KEY).agg(
-            F.sum("part").alias("score"), F.count("*").alias("matched"), F.first("n_terms").alias("n_terms")
-        )
-        return _only_live(scored, self.live)
 
-    def bounded_scores(self, asked: DataFrame, top_k: int, all_terms: bool) -> DataFrame:
-        """Scores of all pages that can be among the ``top_k``; exact, without scoring the rest.
+_BEST = pa.schema([("set_no", pa.int64()), ("doc_key", pa.binary()), ("page_number", pa.int32()), ("score", pa.float64())])
 
-        1. Each set gets a floor that its final k-th best score cannot be below (``floors``).
-        2. The most frequent terms whose bounds together stay below the floor are *optional*: a
-           page with no other term cannot get in, so their long lists name no candidates.
-        3. Candidates that cannot reach the floor even with all optional terms are dropped.
-        4. The others look up their optional terms by (term, page), a unique key.
 
-        If every term is asked for, a page must hold the rarest one: all others are optional.
-        """
-        spark = self.index.spark
+def _flat(column: pa.ChunkedArray) -> np.ndarray:
+    return pc.list_flatten(column).to_numpy()
+
+
+def _best_of_block(
+    lists: pa.Table, sets: pa.Table, avg_len: float, k: float, b: float, top_k: int, all_terms: bool
+) -> pa.Table:
+    """(set_no, doc_key, page_number, score) of the pages of a block that can be among a set's ``top_k``.
+
+    Of pages with just the same score those with the smallest keys are enough; others are kept if their score is
+    within ``TIE_MARGIN`` of the last one.
+    """
+    asked = pc.list_flatten(sets.column("terms")).combine_chunks()
+    terms = asked.unique()
+    ask_sizes = pc.list_value_length(sets.column("terms")).to_numpy()
+    n_sets, at_set = sets.num_rows, np.repeat(np.arange(sets.num_rows), ask_sizes)
+    idfs = np.zeros((len(terms), n_sets))
+    idfs[pc.index_in(asked, terms).to_numpy(), at_set] = _flat(sets.column("idfs"))
+    n_terms = sets.column("n_terms").to_numpy()
+
+    lists = lists.filter(pc.is_in(lists.column("term"), terms))
+    if not lists.num_rows:
+        return _BEST.empty_table()
+    numbers, tf, length = (_flat(lists.column(c)) for c in ("page_number", "tf", "page_len"))
+    sizes = pc.list_value_length(lists.column("page_number")).to_numpy()
+    term = np.repeat(pc.index_in(lists.column("term").combine_chunks(), terms).to_numpy(), sizes)
+    keys = _key_bytes(pc.list_flatten(lists.column("doc_keys")).combine_chunks()).view(">u8")
+    order = np.lexsort((numbers, keys[:, 1], keys[:, 0]))
+    keys, numbers, term, tf, length = keys[order], numbers[order], term[order], tf[order], length[order]
+    weight = tf * (k + 1) / (tf + k * (1 - b + b * length / avg_len))
+    new = np.append(True, (keys[1:] != keys[:-1]).any(axis=1) | (numbers[1:] != numbers[:-1])) if len(keys) else np.zeros(0, bool)
+    first = np.flatnonzero(new)
+    page = np.cumsum(new) - 1
+
+    found = []
+    for low in range(0, len(first), PAGES_AT_ONCE):
+        high = min(low + PAGES_AT_ONCE, len(first))
+        inside = slice(first[low], first[high] if high < len(first) else len(page))
+        weights = np.zeros((high - low, len(terms)))
+        weights[page[inside] - low, term[inside]] = weight[inside]
+        scores = weights @ idfs
+        fits = scores > 0  # an idf is above zero
         if all_terms:
-            rarest_first = Window.partitionBy("set_no").orderBy("df", "term")
-            sorted_terms = asked.withColumn("_nth", F.row_number().over(rarest_first))
-            split = sorted_terms.withColumn("optional", F.col("_nth") > 1).withColumn(
-                "floor", F.lit(None).cast("double")
-            ).drop("_nth")
-        else:
-            floor = self.floors(asked, top_k)
-            frequent_first = Window.partitionBy("set_no").orderBy(F.col("df").desc(), F.col("term").desc())
-            reach = F.sum("bound").over(frequent_first.rowsBetween(Window.unboundedPreceding, 0))
-            split = asked.join(floor, "set_no", "left").withColumn(
-                "optional", F.coalesce(reach < F.col("floor"), F.lit(False))
-            )
-        split.write.parquet(f"{self.scratch}/split")
-        split = spark.read.parquet(f"{self.scratch}/split")
-
-        columns = asked.columns
-        candidates = self.page_scores(split.where(~F.col("optional")).select(*columns))
-        optional = split.where("optional")
-        if_optional = lambda value: F.when(F.col("optional"), value)
-        extra = split.groupBy("set_no").agg(
-            F.collect_list(if_optional(F.struct("term", "idf"))).alias("_optional"),
-            F.coalesce(F.sum(if_optional(F.col("bound"))), F.lit(0.0)).alias("_reach"),
-            F.first("floor").alias("floor"),
-        )
-        hopeful = candidates.join(extra, "set_no").where(
-            F.col("floor").isNull() | (F.col("score") + F.col("_reach") >= F.col("floor"))
-        )
-        probes = hopeful.select(
-            "set_no", "n_terms", *PAGE_KEY, "score", "matched", F.inline_outer("_optional")
-        )
-        listed = self.postings.join(optional.select("bucket", "term").distinct(), ["bucket", "term"], "left_semi")
-        found = probes.join(listed, ["term", *PAGE_KEY], "left")
-        part = F.when(F.col("tf").isNotNull(), F.col("idf") * self.weight)
-        return (
-            found.withColumn("part", part)
-            .groupBy("set_no", *PAGE_KEY)
-            .agg(
-                (F.first("score") + F.coalesce(F.sum("part"), F.lit(0.0))).alias("score"),
-                (F.first("matched") + F.count("part")).alias("matched"),
-                F.first("n_terms").alias("n_terms"),
-            )
-        )
+            fits &= np.rint((weights > 0).astype(float) @ (idfs > 0)) == n_terms
+            scores = np.where(fits, scores, 0)
+        if len(scores) > top_k:
+            fits &= scores >= np.partition(scores, -top_k, axis=0)[-top_k] - TIE_MARGIN
+        at_page, of_set = np.nonzero(fits)
+        found.append((of_set, at_page + low, scores[at_page, of_set]))
+    of_set, at_page, score = map(np.concatenate, zip(*found, strict=True)) if found else (np.zeros(0, int),) * 3
+    order = np.lexsort((at_page, -score, of_set))
+    of_set, at_page, score = of_set[order], at_page[order], score[order]
+    place = np.arange(len(score))
+    starts = lambda new: np.maximum.accumulate(np.where(np.append(True, new), place, 0)) if len(place) else place
+    of_start = starts(of_set[1:] != of_set[:-1])
+    run_start = starts((of_set[1:] != of_set[:-1]) | (score[1:] != score[:-1]))
+    kth = np.minimum(of_start + top_k - 1, len(score) - 1)
+    last = np.where(of_set[kth] == of_set, score[kth], 0.0) if len(score) else score
+    kept = (place - run_start < top_k) & (score >= last - TIE_MARGIN)
+    at = first[at_page[kept]] if len(score) else place
+    set_nos = sets.column("set_no").to_numpy()[of_set[kept].astype(int)]
+    return pa.table([set_nos, [x.tobytes() for x in keys[at]], numbers[at], score[kept].astype(float)], schema=_BEST)

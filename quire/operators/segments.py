@@ -2,8 +2,9 @@
 
 An index is a folder with ordinary Parquet tables:
 
-``postings/segment=S/bucket=B`` (doc_key, page_number, term, tf, page_len)
-    one row per term and page, by a hash bucket of the term, sorted by term.
+``postings/segment=S/bucket=B`` (block, term, doc_keys, page_number, tf, page_len, df, total_tf, max_tf, min_len)
+    one row per term and block of pages, by a hash bucket of the term, sorted by term. The first columns are
+    lists over the pages of the block that hold the term, the last ones sums and extremes of the lists.
 ``terms/segment=S/bucket=B`` (term, df, total_tf, max_tf, min_len)
     statistics of the segment; those of the index are their sums (or extremes) at query time.
 ``pages/segment=S``
@@ -30,6 +31,8 @@ from quire.operators import ranking
 FACTOR = 4
 #: Pages of the largest segment of the lowest class.
 SMALL_PAGES = 10_000
+#: Largest dictionary of a column in a row group, some 800,000 document keys.
+DICTIONARY_BYTES = 16 << 20
 #: Share of dead documents from which a segment is written anew without them.
 DEAD_SHARE = 0.1
 
@@ -71,13 +74,15 @@ def merges(sizes: dict[str, int], worn: set[str]) -> list[list[str]]:
 
 def _sorted_write(rows: DataFrame, path: str) -> None:
     """Rows to folders by bucket, sorted by term; AQE splits a bucket that a hot term has made large."""
-    rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    writer = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term").write.mode("overwrite")
+    # A document is in many lists of a file: its key is written once, also where there are very many documents.
+    writer.option("parquet.dictionary.page.size", str(DICTIONARY_BYTES)).partitionBy("bucket").parquet(path)
 
 
 def _write_terms(spark: SparkSession, base: str, segment: str) -> int:
     """Writes the statistics of a segment's postings; returns its number of tokens."""
-    postings = spark.read.schema(ranking.POSTINGS).parquet(f"{base}/postings/segment={segment}")
-    _sorted_write(ranking.term_statistics(postings), f"{base}/terms/segment={segment}")
+    lists = spark.read.schema(ranking.POSTINGS).parquet(f"{base}/postings/segment={segment}")
+    _sorted_write(ranking.term_statistics(lists), f"{base}/terms/segment={segment}")
     terms = spark.read.schema(ranking.TERMS).parquet(f"{base}/terms/segment={segment}")
     return terms.agg(F.coalesce(F.sum("total_tf"), F.lit(0))).first()[0]
 
@@ -85,23 +90,36 @@ def _write_terms(spark: SparkSession, base: str, segment: str) -> int:
 def write_segment(pages: DataFrame, base: str, segment: str, settings: Settings) -> int:
     """Writes a segment of ``pages``; returns its number of tokens.
 
-    One pass over the text. Tokens and their counts are worked out within each page's row; the only
-    shuffle brings postings to their bucket.
+    One pass over the text. Each task packs the postings of its pages into lists; the only shuffle
+    brings these to their bucket.
     """
     spark = pages.sparkSession
     if settings.copied:
         pages.write.mode("overwrite").parquet(f"{base}/pages/segment={segment}")
         pages = spark.read.schema(pages.schema).parquet(f"{base}/pages/segment={segment}")
-    postings = ranking.page_postings(pages, list(settings.stop_words), settings.stemmer)
-    _sorted_write(postings.withColumn("bucket", ranking.bucket_of(F.col("term"), settings.buckets)), f"{base}/postings/segment={segment}")
+    lists = ranking.page_postings(pages, list(settings.stop_words), settings.stemmer)
+    _sorted_write(lists.withColumn("bucket", ranking.bucket_of(F.col("term"), settings.buckets)), f"{base}/postings/segment={segment}")
     return _write_terms(spark, base, segment)
 
 
 def merge_segments(index: ranking.SearchIndex, members: list[str], segment: str) -> int:
-    """Writes one segment from the living postings of others, whose text is not read; returns its number of tokens."""
+    """Writes one segment from the living postings of others, whose text is not read; returns its number of tokens.
+
+    Lists are taken over as they are, unless some of their documents are dead or a segment has so few pages that
+    its lists are short; then they are packed anew.
+    """
     base, spark = index.base, index.spark
-    postings = index.postings.where(F.col("segment").isin(members)).drop("segment")
-    _sorted_write(postings, f"{base}/postings/segment={segment}")
+    inside = F.col("segment").isin(members)
+    smallest = min(row.n_pages for row in index.segments if row.segment in members)
+    if index.n_dead or smallest <= SMALL_PAGES:
+        # A block per so many documents: blocks of small segments would stay as small.
+        n_pages = sum(row.n_pages for row in index.segments if row.segment in members)
+        block = F.pmod(F.xxhash64("doc_key"), F.lit(1 + n_pages // SMALL_PAGES))
+        packed = ranking.pack(index.postings.where(inside).withColumn("block", block))
+        lists = packed.withColumn("bucket", ranking.bucket_of(F.col("term"), index.settings.buckets))
+    else:
+        lists = index.lists.where(inside).drop("segment")
+    _sorted_write(lists, f"{base}/postings/segment={segment}")
     if index.segments[0].copied:
         pages = index.pages.where(F.col("segment").isin(members))
         if index.n_dead:
