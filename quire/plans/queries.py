@@ -131,8 +131,8 @@ def streamed_store(spark: SparkSession, sf_dir: str) -> PageStore:
 
     def prepare(store: PageStore) -> None:
         schema = adapters.table(spark, sf_dir, "documents").schema
-        # The table is one file or, if larger, a folder of files.
-        stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/documents.parquet")
+        # The table is one file or, if larger, a folder of files; the stream source takes both only by a pattern.
+        stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/documents.parque[t]")
         rows = adapters.as_file_rows(stream)
         ingest(store, rows, f"{store.root}-checkpoint", OPTIONS, index={"stemmer": None, "stop_words": None}).awaitTermination()
 

@@ -84,9 +84,13 @@ def test_best_of_block(all_terms):
         assert got[:top_k] == sorted(want)[:top_k] and len(got) <= 4 * top_k
 
 
-def test_streamed_table_may_be_a_folder(spark, tmp_path):
+@pytest.mark.parametrize("folder", [True, False])
+def test_streamed_table_may_be_a_folder(spark, tmp_path, folder):
     texts = ["mit license software", "another text", "license of software"]
     rows = [(i, t, "en", "web", len(t)) for i, t in enumerate(texts)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    frame.repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
+    if folder:
+        frame.repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
+    else:
+        pq.write_table(frame.toArrow(), tmp_path / "documents.parquet")
     assert queries.streamed_store(spark, str(tmp_path)).search_pages_ranked("license").count() == 2
