@@ -18,6 +18,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -50,7 +51,7 @@ TIE_MARGIN = 1e-6
 SETS_AT_ONCE = 512
 PAGES_AT_ONCE = 512
 
-PAGES_PER_BUCKET = 200_000
+PAGES_PER_BUCKET = 1_000_000
 MIN_BUCKETS, MAX_BUCKETS = 8, 32_768
 
 PAGE_KEY = ["doc_key", "page_number"]
@@ -65,6 +66,11 @@ LISTS = (
     "df int, total_tf long, max_tf int, min_len int"
 )
 POSTINGS = f"{LISTS}, bucket int"
+#: Lists of one bucket on their way to the task that writes them: a page's key, number and length once, compressed.
+PARCELS = "bucket int, task int, parcel binary"
+PAGE_BYTES = KEY_BYTES + 8
+#: Pages for each task that writes postings: one of 8 buckets has those of 20,000 pages in a file, whose keys a dictionary holds.
+PAGES_PER_TASK = 2_500
 TERMS = "term string, df long, total_tf long, max_tf int, min_len int, bucket int"
 
 
@@ -93,31 +99,52 @@ def page_postings(
 
     All postings of a page are in one block.
     """
+    return _cut_pages(pages, stop_words, stemmer).mapInArrow(_page_lists, LISTS)
+
+
+def page_parcels(pages: DataFrame, stop_words: list[str], stemmer: str | None, buckets: int, parts: int) -> DataFrame:
+    """The lists of ``page_postings`` as ``PARCELS``."""
+    return _cut_pages(pages, stop_words, stemmer).mapInArrow(lambda batches: _page_parcels(batches, buckets, parts), PARCELS)
+
+
+def _cut_pages(pages: DataFrame, stop_words: list[str] | None, stemmer: str | None) -> DataFrame:
     cut = tokenize_pages(
         spread(pages.select("document_id", "page_number", "page_text")), stop_words, stemmer
     )
-    slim = cut.select(identity.document_key(F.col("document_id")).alias("doc_key"), "page_number", "tokens")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False)
-            at = 0
-            while at < batch.num_rows:
-                n = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), BLOCK_TOKENS, side="right")))
-                keys, numbers, lists = batch.slice(at, n).columns
-                length, at = sizes[at : at + n].astype(np.int64), at + n
-                words = lists.flatten().dictionary_encode()
-                if not len(words):
-                    continue
-                # One number for each (term, page); equal ones are its frequency.
-                pairs = words.indices.to_numpy().astype(np.int64) * n + np.repeat(np.arange(n), length)
-                pairs, tf = np.unique(pairs, return_counts=True)
-                codes, page = np.divmod(pairs, n)
-                keys, numbers = _key_bytes(keys), numbers.to_numpy(zero_copy_only=False)
-                block = zlib.crc32(keys[0].tobytes() + bytes(numbers[:1]))
-                yield _lists(np.full(len(codes), block), words.dictionary, codes, keys[page], numbers[page], tf, length[page])
-
-    return slim.mapInArrow(run, LISTS)
+    return cut.select(identity.document_key(F.col("document_id")).alias("doc_key"), "page_number", "tokens")
+
+
+def _page_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for block, terms, codes, page, tf, keys, numbers, length in _blocks(batches):
+        yield _lists(np.full(len(codes), block), terms, codes, keys[page], numbers[page], tf, length[page])
+
+
+def _page_parcels(batches: Iterator[pa.RecordBatch], buckets: int, parts: int) -> Iterator[pa.RecordBatch]:
+    for block, terms, codes, page, tf, *pages in _blocks(batches):
+        first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+        sizes = np.diff(np.append(first, len(codes)))
+        yield _seal(np.full(len(first), block), terms.take(pa.array(codes[first])), sizes, page, tf, _page_rows(*pages), buckets, parts)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """For each block its number and terms; by term the code, page and frequency of its postings; its pages' keys, numbers and lengths."""
+    for batch in batches:
+        sizes = pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False)
+        at = 0
+        while at < batch.num_rows:
+            n = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), BLOCK_TOKENS, side="right")))
+            keys, numbers, lists = batch.slice(at, n).columns
+            length, at = sizes[at : at + n].astype(np.int64), at + n
+            words = lists.flatten().dictionary_encode()
+            if not len(words):
+                continue
+            # One number for each (term, page); equal ones are its frequency.
+            pairs = words.indices.to_numpy().astype(np.int64) * n + np.repeat(np.arange(n), length)
+            pairs, tf = np.unique(pairs, return_counts=True)
+            codes, page = np.divmod(pairs, n)
+            keys, numbers = _key_bytes(keys), numbers.to_numpy(zero_copy_only=False)
+            block = zlib.crc32(keys[0].tobytes() + bytes(numbers[:1]))
+            yield block, words.dictionary, codes, page, tf, keys, numbers, length
 
 
 def _key_bytes(keys: pa.Array) -> np.ndarray:
@@ -173,6 +200,90 @@ def pack(postings: DataFrame) -> DataFrame:
     return postings.select("block", "term", *PAGE_KEY, "tf", "page_len").mapInArrow(run, LISTS)
 
 
+def parcels(lists: DataFrame, buckets: int, parts: int) -> DataFrame:
+    """``LISTS`` as ``PARCELS``."""
+    return lists.select(*[field.split()[0] for field in LISTS.split(", ")]).mapInArrow(lambda batches: _parcels(batches, buckets, parts), PARCELS)
+
+
+def bucket_parts(n_pages: int, buckets: int) -> int:
+    """Tasks that write a bucket of the postings of so many pages."""
+    return max(1, math.ceil(n_pages / (PAGES_PER_TASK * buckets)))
+
+
+def deliver(rows: DataFrame, buckets: int, parts: int) -> DataFrame:
+    """``POSTINGS`` of ``PARCELS``: each bucket is dealt over ``parts`` tasks by where its parcels come from, so a hot term is no hot task."""
+    return rows.repartitionById(buckets * parts, F.col("task")).mapInArrow(_unpacked_parcels, POSTINGS)
+
+
+def _parcels(batches: Iterator[pa.RecordBatch], buckets: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """One parcel for each bucket of some ``BLOCK_TOKENS`` postings."""
+    held, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n += pc.sum(batch.column("df")).as_py()
+        if n >= BLOCK_TOKENS:
+            yield _seal(*_coded(held), buckets, parts)
+            held, n = [], 0
+    if held:
+        yield _seal(*_coded(held), buckets, parts)
+
+
+def _coded(held: list[pa.RecordBatch]) -> tuple:
+    """Lists with numbers of pages in place of their keys: blocks, terms, sizes, pages, frequencies, and the pages."""
+    lists = pa.Table.from_batches(held).combine_chunks()
+    block, term, sizes = (lists.column(c).combine_chunks() for c in ("block", "term", "df"))
+    keys = _key_bytes(pc.list_flatten(lists.column("doc_keys")).combine_chunks())
+    known = _page_rows(keys, _flat(lists.column("page_number")), _flat(lists.column("page_len"))).dictionary_encode()
+    return block.to_numpy(), term, sizes.to_numpy(), known.indices.to_numpy(), _flat(lists.column("tf")), known.dictionary
+
+
+def _page_rows(keys: np.ndarray, numbers: np.ndarray, length: np.ndarray) -> pa.Array:
+    rows = np.hstack([keys, *(x.astype(np.int32).view(np.uint8).reshape(-1, 4) for x in (numbers, length))])
+    return pa.Array.from_buffers(pa.binary(PAGE_BYTES), len(rows), [None, pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def _seal(block, term: pa.Array, sizes, page, tf, known: pa.Array, buckets: int, parts: int) -> pa.RecordBatch:
+    # By the partition alone: a task that runs again may get its rows in another order, but sends them to the same tasks.
+    part = TaskContext.get().partitionId() % parts
+    words = term.dictionary_encode()
+    bucket = np.array([zlib.crc32(w.encode()) % buckets for w in words.dictionary.to_pylist()])[words.indices.to_numpy()]
+    starts, tf = np.cumsum(sizes) - sizes, tf.astype(np.int32)
+
+    out = []
+    for number in np.unique(bucket):
+        rows = np.flatnonzero(bucket == number)
+        size = sizes[rows].astype(np.int32)
+        at = np.repeat(starts[rows] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        here = np.zeros(len(known), bool)
+        here[page[at]] = True
+        columns = {
+            "block": pa.array(block[rows]), "term": term.take(pa.array(rows)), "size": pa.array(size),
+            # Pages of a list come in order, so their differences are small.
+            "page": pa.array(np.diff((np.cumsum(here) - 1)[page[at]], prepend=0).astype(np.int32)),
+            "tf": pa.array(tf[at]), "pages": known.take(pa.array(np.flatnonzero(here))),
+        }
+        row = pa.record_batch([pa.ListArray.from_arrays([0, len(c)], c) for c in columns.values()], names=list(columns))
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, row.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            writer.write_batch(row)
+        out.append((int(number), int(number) * parts + part, sink.getvalue().to_pybytes()))
+    return pa.record_batch([pa.array(c, kind) for c, kind in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["bucket", "task", "parcel"])
+
+
+def _unpacked_parcels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for bucket, parcel in zip(batch.column("bucket").to_pylist(), batch.column("parcel"), strict=True):
+            rows = pa.ipc.open_stream(parcel.as_buffer()).read_all()
+            block, term, size, page, tf, pages = (pc.list_flatten(rows.column(c)).combine_chunks() for c in ("block", "term", "size", "page", "tf", "pages"))
+            size = size.to_numpy()
+            known = np.frombuffer(pages.buffers()[1], np.uint8, len(pages) * PAGE_BYTES, pages.offset * PAGE_BYTES).reshape(-1, PAGE_BYTES)
+            known = known[np.cumsum(page.to_numpy())]
+            numbers, length = np.ascontiguousarray(known[:, KEY_BYTES:]).view(np.int32).T
+            lists = _lists(np.repeat(block.to_numpy(), size), term, np.repeat(np.arange(len(size)), size), known[:, :KEY_BYTES], numbers, tf.to_numpy(), length)
+            yield lists.append_column("bucket", pa.array(np.full(lists.num_rows, bucket, np.int32)))
+
+
 def unpack(lists: DataFrame) -> DataFrame:
     """``lists`` with one row for each posting: doc_key, page_number, tf, page_len instead of the packed columns."""
     packed = ["doc_keys", "page_number", "tf", "page_len"]

@@ -73,8 +73,8 @@ def merges(sizes: dict[str, int], worn: set[str]) -> list[list[str]]:
 
 
 def _sorted_write(rows: DataFrame, path: str) -> None:
-    """Rows to folders by bucket, sorted by term; AQE splits a bucket that a hot term has made large."""
-    writer = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term").write.mode("overwrite")
+    """Rows, dealt out by bucket, to folders by bucket, sorted by term."""
+    writer = rows.sortWithinPartitions("bucket", "term").write.mode("overwrite")
     # A document is in many lists of a file: its key is written once, also where there are very many documents.
     writer.option("parquet.dictionary.page.size", str(DICTIONARY_BYTES)).partitionBy("bucket").parquet(path)
 
@@ -82,23 +82,24 @@ def _sorted_write(rows: DataFrame, path: str) -> None:
 def _write_terms(spark: SparkSession, base: str, segment: str) -> int:
     """Writes the statistics of a segment's postings; returns its number of tokens."""
     lists = spark.read.schema(ranking.POSTINGS).parquet(f"{base}/postings/segment={segment}")
-    _sorted_write(ranking.term_statistics(lists), f"{base}/terms/segment={segment}")
+    _sorted_write(ranking.term_statistics(lists).hint("rebalance", "bucket"), f"{base}/terms/segment={segment}")
     terms = spark.read.schema(ranking.TERMS).parquet(f"{base}/terms/segment={segment}")
     return terms.agg(F.coalesce(F.sum("total_tf"), F.lit(0))).first()[0]
 
 
-def write_segment(pages: DataFrame, base: str, segment: str, settings: Settings) -> int:
-    """Writes a segment of ``pages``; returns its number of tokens.
+def write_segment(pages: DataFrame, base: str, segment: str, settings: Settings, n_pages: int) -> int:
+    """Writes a segment of ``pages``, of which there are ``n_pages``; returns its number of tokens.
 
     One pass over the text. Each task packs the postings of its pages into lists; the only shuffle
-    brings these to their bucket.
+    brings these to their bucket, in parcels.
     """
     spark = pages.sparkSession
     if settings.copied:
         pages.write.mode("overwrite").parquet(f"{base}/pages/segment={segment}")
         pages = spark.read.schema(pages.schema).parquet(f"{base}/pages/segment={segment}")
-    lists = ranking.page_postings(pages, list(settings.stop_words), settings.stemmer)
-    _sorted_write(lists.withColumn("bucket", ranking.bucket_of(F.col("term"), settings.buckets)), f"{base}/postings/segment={segment}")
+    parts = ranking.bucket_parts(n_pages, settings.buckets)
+    parcels = ranking.page_parcels(pages, list(settings.stop_words), settings.stemmer, settings.buckets, parts)
+    _sorted_write(ranking.deliver(parcels, settings.buckets, parts), f"{base}/postings/segment={segment}")
     return _write_terms(spark, base, segment)
 
 
@@ -111,15 +112,17 @@ def merge_segments(index: ranking.SearchIndex, members: list[str], segment: str)
     base, spark = index.base, index.spark
     inside = F.col("segment").isin(members)
     smallest = min(row.n_pages for row in index.segments if row.segment in members)
+    n_pages = sum(row.n_pages for row in index.segments if row.segment in members)
     if index.n_dead or smallest <= SMALL_PAGES:
         # A block per so many documents: blocks of small segments would stay as small.
-        n_pages = sum(row.n_pages for row in index.segments if row.segment in members)
         block = F.pmod(F.xxhash64("doc_key"), F.lit(1 + n_pages // SMALL_PAGES))
-        packed = ranking.pack(index.postings.where(inside).withColumn("block", block))
-        lists = packed.withColumn("bucket", ranking.bucket_of(F.col("term"), index.settings.buckets))
+        lists = ranking.pack(index.postings.where(inside).withColumn("block", block))
     else:
-        lists = index.lists.where(inside).drop("segment")
-    _sorted_write(lists, f"{base}/postings/segment={segment}")
+        lists = index.lists.where(inside)
+    buckets = index.settings.buckets
+    parts = ranking.bucket_parts(n_pages, buckets)
+    parcels = ranking.parcels(lists, buckets, parts)
+    _sorted_write(ranking.deliver(parcels, buckets, parts), f"{base}/postings/segment={segment}")
     if index.segments[0].copied:
         pages = index.pages.where(F.col("segment").isin(members))
         if index.n_dead:

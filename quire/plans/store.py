@@ -288,7 +288,7 @@ class PageStore:
         if index is not None and not n_pages:  # deletions only
             name = index.segments[-1].segment
         else:
-            n_tokens = segments.write_segment(copy_pages(pages) if settings.copied else pages, base, name, settings)
+            n_tokens = segments.write_segment(copy_pages(pages) if settings.copied else pages, base, name, settings, n_pages)
             fixed = (settings.buckets, settings.stemmer, list(settings.stop_words), settings.copied)
             rows[name] = (name, n_pages, n_tokens, self.table(DOCUMENTS, at, fresh).count(), 0, last, *fixed)
         loads = dict.fromkeys(fresh, name)
