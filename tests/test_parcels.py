@@ -1,8 +1,9 @@
-"""Posting lists on their way to the tasks that write them."""
+"""Posting lists on their way to the tasks that write them, and the loads of the store of segments."""
 
 from pyspark.sql import functions as F
 
 from quire.operators import ranking
+from quire.plans import queries
 
 COLUMNS = ["block", "term", "doc_keys", "page_number", "tf", "page_len", "df", "total_tf", "max_tf", "min_len"]
 
@@ -45,3 +46,17 @@ def test_parts_grow_with_the_pages():
         buckets = ranking.bucket_count(n_pages)
         tasks = buckets * ranking.bucket_parts(n_pages, buckets)
         assert n_pages / ranking.PAGES_PER_TASK <= tasks <= n_pages / ranking.PAGES_PER_TASK + buckets
+
+
+def test_loads_of_the_segmented_store_skip_row_groups(spark, tmp_path, monkeypatch):
+    rows = [(i, f"text {i}", "en", "web", 6) for i in [*range(0, 23, 2), 23]]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    taken = []
+    monkeypatch.setattr(queries, "load_files", lambda store, files, options: taken.append(files))
+    monkeypatch.setattr(queries.PageStore, "update_index", lambda *args, **kept: 0)
+    queries.segmented_store(spark, str(tmp_path))
+    for number, files in enumerate(taken):
+        assert "GreaterThanOrEqual(doc_id" in files._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.ordinal for r in files.select("ordinal").collect()) == [r[0] for r in rows if r[0] * queries.PARTS // 24 == number]
+    assert len(taken) == queries.PARTS
